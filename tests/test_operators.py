@@ -1,0 +1,342 @@
+"""Operators on hand-made rows: nulls, ties, edges, repeated keys, hot keys."""
+
+from datetime import datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidemark.operators import (
+    EmptyTableError,
+    best_of,
+    duplicate_keys,
+    in_open_window,
+    key_metrics,
+    latest,
+    require_rows,
+    row_counts,
+    top_k,
+    top_k_enriched,
+    upsert,
+)
+
+VERSIONED = "k int, v int, p string"
+SIX = [
+    (1, 10, "a"), (1, 20, "b"), (1, 20, "c"), (2, None, "d"), (None, 5, "e"), (3, 1, "f"),
+]
+LOOSE = settings(
+    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+ROWS = st.lists(st.tuples(
+    st.one_of(st.none(), st.integers(0, 4)), st.one_of(st.none(), st.integers(0, 3)),
+    st.sampled_from("xyz"),
+))
+KEYED = st.lists(st.tuples(st.integers(0, 4), st.integers(0, 3), st.sampled_from("xyz")))
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def tuples(df):
+    return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
+def values(df, column):
+    return sorted(row[column] for row in df.collect())
+
+
+# ---------------------------------------------------------------- latest
+
+
+def test_latest_keeps_ties_and_drops_nulls(spark):
+    got = latest(spark.createDataFrame(SIX, VERSIONED), ["k"], "v")
+    assert values(got, "p") == ["b", "c", "f"]
+    assert got.columns == ["k", "v", "p"]
+
+
+def test_latest_keeps_column_order_whatever_the_key(spark):
+    df = spark.createDataFrame([("x", 1, 2), ("y", 3, 2)], "p string, v int, k int")
+    got = latest(df, ["k"], "v")
+    assert got.columns == ["p", "v", "k"]
+    assert tuples(got) == [("y", 3, 2)]
+
+
+def test_latest_of_two_keys(spark):
+    df = spark.createDataFrame(
+        [(1, 1, 5, "a"), (1, 2, 4, "b"), (1, 2, 6, "c")], "k int, l int, v int, p string"
+    )
+    assert values(latest(df, ["k", "l"], "v"), "p") == ["a", "c"]
+
+
+@LOOSE
+@given(ROWS)
+def test_latest_against_its_definition(spark, rows):
+    newest = {}
+    for k, v, _ in rows:
+        if k is not None and v is not None:
+            newest[k] = max(v, newest.get(k, v))
+    expected = [r for r in rows if r[1] is not None and newest.get(r[0]) == r[1]]
+    df = spark.createDataFrame(rows, VERSIONED)
+    got = latest(df, ["k"], "v")
+    assert tuples(got) == sorted(expected, key=repr)
+    assert tuples(latest(got, ["k"], "v")) == tuples(got)
+
+
+def test_latest_of_nothing(spark):
+    assert latest(spark.createDataFrame([], VERSIONED), ["k"], "v").isEmpty()
+
+
+# ---------------------------------------------------------------- hot keys
+
+
+@pytest.fixture
+def eager_splitting(spark):
+    """Thresholds low enough for small data to count as skewed, and no broadcast."""
+    wanted = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
+
+
+def hot(spark, rows=60_000):
+    """A third of the rows are copies: same key, same version."""
+    return spark.range(0, rows, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 5000).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 11).alias("v"),
+        F.sha2(F.col("id").cast("string"), 256).alias("p"),
+    )
+
+
+def test_latest_splits_a_large_group_of_copies(spark, eager_splitting, tmp_path):
+    hot(spark).write.parquet(str(tmp_path / "hot"))
+    df = spark.read.parquet(str(tmp_path / "hot"))
+    got = latest(df, ["k"], "v")
+    assert got.where("k = -1").count() == 20_000
+    got.collect()
+    assert "skew=true" in plan(got)
+
+
+def test_upsert_splits_a_hot_target_key(spark, eager_splitting, tmp_path):
+    hot(spark).write.parquet(str(tmp_path / "hot"))
+    target = spark.read.parquet(str(tmp_path / "hot"))
+    batch = target.where("k between 0 and 99").withColumn("p", F.lit("new"))
+    batch.write.parquet(str(tmp_path / "batch"))
+    got = upsert(target, spark.read.parquet(str(tmp_path / "batch")), ["k"])
+    got.collect()
+    assert "skew=true" in plan(got)
+    assert got.count() == 60_000
+    assert got.where("k = -1").count() == 20_000
+    assert got.where("p = 'new'").count() == batch.count()
+
+
+def test_upsert_thins_a_hot_batch_key_before_the_shuffle(spark, eager_splitting, tmp_path):
+    target = spark.createDataFrame([(-1, 0, "old"), (-2, 0, "kept")], VERSIONED)
+    hot(spark).write.parquet(str(tmp_path / "hot"))
+    got = upsert(target, spark.read.parquet(str(tmp_path / "hot")), ["k"])
+    assert values(got.where("p in ('old', 'kept')"), "p") == ["kept"]
+    assert got.count() == 60_001
+
+
+# ---------------------------------------------------------------- window
+
+
+def test_window_leaves_both_ends_out(spark):
+    moments = [
+        "2020-07-01 00:00:00", "2020-07-01 00:00:00.000001", "2020-07-31 23:59:59.999999",
+        "2020-08-01 00:00:00", None,
+    ]
+    df = spark.createDataFrame([(m,) for m in moments], "s string").select(
+        F.col("s").cast("timestamp_ntz").alias("t")
+    )
+    got = in_open_window(df, "t", "2020-07-01 00:00:00.000000", datetime(2020, 8, 1))
+    assert values(got.select(F.col("t").cast("string")), "t") == moments[1:3]
+
+
+def test_window_reaches_the_scan(spark, table):
+    df = in_open_window(table(spark, "lineitem"), "l_shipdate", "1995-01-01", "1996-01-01")
+    text = plan(df.select("l_suppkey"))
+    assert "GreaterThan(l_shipdate" in text and "LessThan(l_shipdate" in text
+    assert "ReadSchema: struct<l_suppkey:bigint,l_shipdate:timestamp_ntz>" in text
+
+
+# ---------------------------------------------------------------- lists
+
+
+FACT = "k int, r int, score double, t timestamp_ntz"
+DAY = datetime(2020, 7, 10)
+
+
+def facts(spark, groups):
+    """``groups``: key -> list of scores, one fact each."""
+    rows = [(k, i, s, DAY) for k, scores in groups for i, s in enumerate(scores)]
+    return spark.createDataFrame(rows, FACT)
+
+
+def listed(spark, groups, metric, dim_keys=range(20), k=10, nulls="last"):
+    dim = spark.createDataFrame([(i, f"n{i}") for i in dim_keys], "k int, name string")
+    return top_k_enriched(
+        facts(spark, groups), dim, key="k", metric=metric, name="m", attributes=["name"],
+        time="t", low="2020-07-01", high="2020-08-01", k=k, nulls=nulls,
+    )
+
+
+def test_ties_go_to_the_smaller_key(spark):
+    got = listed(spark, [(k, [1.0, 2.0]) for k in range(15)], F.count("r"))
+    assert values(got, "k") == list(range(10))
+
+
+def test_null_key_takes_a_place_and_leaves(spark):
+    groups = [(None, [1.0] * 5)] + [(k, [1.0]) for k in range(12)]
+    assert listed(spark, groups, F.count("r")).count() == 9
+
+
+def test_key_missing_from_the_dimension_is_not_replaced(spark):
+    groups = [(99, [1.0] * 5)] + [(k, [1.0]) for k in range(12)]
+    assert values(listed(spark, groups, F.count("r")), "k") == list(range(9))
+
+
+def test_repeated_dimension_key_is_repeated(spark):
+    got = listed(spark, [(1, [1.0]), (2, [1.0])], F.count("r"), dim_keys=[1, 1, 2])
+    assert values(got, "k") == [1, 1, 2]
+
+
+def test_count_is_of_values_not_rows(spark):
+    df = facts(spark, [(1, [1.0, None, None]), (2, [1.0, 2.0])])
+    got = key_metrics(df, "k", m=F.count("score"))
+    assert tuples(got) == [(1, 1), (2, 2)]
+
+
+def test_null_average_comes_last_unless_asked(spark):
+    groups = [(1, [None]), (2, [3.0, None]), (3, [5.0])]
+    last = listed(spark, groups, F.avg("score"), k=2)
+    first = listed(spark, groups, F.avg("score"), k=2, nulls="first")
+    assert values(last, "k") == [2, 3]
+    assert values(first, "k") == [1, 3]
+    assert tuples(last.select("k", "m")) == [(2, 3.0), (3, 5.0)]
+
+
+def test_unknown_null_placement_is_refused(spark):
+    with pytest.raises(ValueError, match="nulls"):
+        top_k(spark.range(3).withColumn("m", F.lit(1)), "id", "m", nulls="middle")
+
+
+def test_one_review_can_top_the_list(spark):
+    got = listed(spark, [(1, [5.0]), (2, [4.9] * 50)], F.avg("score"), k=1)
+    assert values(got, "k") == [1]
+
+
+def test_list_plan(spark, table):
+    got = top_k_enriched(
+        table(spark, "lineitem"), table(spark, "supplier").withColumnRenamed("s_suppkey", "l_suppkey"),
+        key="l_suppkey", metric=F.count("l_orderkey"), name="m", attributes=["s_name"],
+        time="l_shipdate", low="1995-01-01", high="1996-01-01",
+    )
+    text = plan(got)
+    assert "TakeOrderedAndProject(limit=10" in text
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "partial_count" in text and "BuildLeft" in text
+
+
+def test_two_lists_share_one_aggregation(spark, table):
+    metrics = key_metrics(
+        table(spark, "lineitem"), "l_partkey", n=F.count("l_orderkey"), mean=F.avg("l_quantity")
+    )
+    got = best_of(
+        top_k(metrics, "l_partkey", "mean", 100).drop("n"),
+        top_k(metrics, "l_partkey", "n", 100), "l_partkey", "n",
+    )
+    got.collect()
+    assert "ReusedExchange" in plan(got)
+    assert got.columns == ["l_partkey", "mean", "n"]
+
+
+def test_best_of_multiplies_repeated_keys(spark):
+    one = spark.createDataFrame([(1, 0.5), (1, 0.5), (2, 0.4)], "k int, mean double")
+    other = spark.createDataFrame([(1, 9), (1, 9), (3, 8)], "k int, n int")
+    assert best_of(one, other, "k", "n").count() == 4
+
+
+# ---------------------------------------------------------------- upsert
+
+
+def test_upsert_batch_wins_even_if_older(spark):
+    target = spark.createDataFrame(SIX, VERSIONED)
+    batch = spark.createDataFrame([(1, 5, "s"), (9, 1, "n")], VERSIONED)
+    once = upsert(target, batch, ["k"])
+    assert values(once, "p") == ["d", "e", "f", "n", "s"]
+    assert tuples(upsert(once, batch, ["k"])) == tuples(once)
+
+
+def test_upsert_null_keys_are_always_added(spark):
+    target = spark.createDataFrame(SIX, VERSIONED)
+    batch = spark.createDataFrame([(None, 1, "z")], VERSIONED)
+    twice = upsert(upsert(target, batch, ["k"]), batch, ["k"])
+    assert values(twice, "p").count("z") == 2
+    assert "e" in values(twice, "p")
+
+
+def test_upsert_inserts_all_copies_of_a_batch_key(spark):
+    target = spark.createDataFrame([(1, 1, "old")], VERSIONED)
+    batch = spark.createDataFrame([(1, 2, "x"), (1, 3, "y")], VERSIONED)
+    assert values(upsert(target, batch, ["k"]), "p") == ["x", "y"]
+
+
+def test_upsert_matches_columns_by_name_and_casts(spark):
+    target = spark.createDataFrame([(1, 1, "old")], VERSIONED)
+    batch = spark.createDataFrame([("new", "4", 1)], "p string, v string, k long")
+    got = upsert(target, batch, ["k"])
+    assert tuples(got) == [(1, 4, "new")]
+    assert got.schema.simpleString() == "struct<k:int,v:int,p:string>"
+
+
+def test_upsert_refuses_other_columns(spark):
+    target = spark.createDataFrame([(1, 1, "old")], VERSIONED)
+    with pytest.raises(ValueError, match="missing"):
+        upsert(target, spark.createDataFrame([(1, 1)], "k int, v int"), ["k"])
+    with pytest.raises(ValueError, match="surplus"):
+        upsert(target, target.withColumn("q", F.lit(1)), ["k"])
+
+
+@LOOSE
+@given(KEYED, KEYED)
+def test_upsert_against_its_definition(spark, target, batch):
+    taken = {row[0] for row in batch}
+    expected = [row for row in target if row[0] not in taken] + batch
+    target_df = spark.createDataFrame(target, VERSIONED)
+    batch_df = spark.createDataFrame(batch, VERSIONED)
+    once = upsert(target_df, batch_df, ["k"])
+    assert tuples(once) == sorted(expected, key=repr)
+    assert tuples(upsert(once, batch_df, ["k"])) == tuples(once)
+
+
+# ---------------------------------------------------------------- checks
+
+
+def test_empty_table_is_named(spark):
+    full, empty = spark.range(1), spark.range(0)
+    require_rows({"a": full})
+    with pytest.raises(EmptyTableError, match="warehouse.users"):
+        require_rows({"a": full, "warehouse.users": empty, "later": empty})
+
+
+def test_row_counts(spark):
+    assert tuples(row_counts({"a": spark.range(3), "b": spark.range(0)})) == [("a", 3), ("b", 0)]
+
+
+def test_duplicate_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "k int, p string")
+    assert tuples(duplicate_keys(df, ["k"])) == sorted([(1, 2), (None, 2)], key=repr)

@@ -1,0 +1,304 @@
+"""Cleaning jobs, the analytics lists, the whole refresh, incremental pick-up."""
+
+import uuid
+from datetime import datetime
+
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from tidemark.operators import EmptyTableError
+from tidemark.plans import (
+    AUTHOR_LISTS,
+    BOOK_LISTS,
+    check_warehouse,
+    clean_authors,
+    clean_books,
+    clean_reviews,
+    clean_users,
+    refresh,
+    refresh_lists,
+)
+from tidemark.schemas import (
+    ANALYTICS_TABLES,
+    AUTHORS,
+    BEST_BOOKS_INTEGER,
+    BOOKS,
+    REVIEWS,
+    USERS,
+    WAREHOUSE_TABLES,
+)
+from tidemark.sinks import Database
+from tidemark.streaming import ingest, read_landing
+
+LOW, HIGH = "2020-07-01 00:00:00.000000", "2020-08-01 00:00:00.000000"
+OLD, NEW = "2020-07-02 00:00:00", "2020-07-03 00:00:00"
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    return lambda: Database(spark, f"d{uuid.uuid4().hex}", str(tmp_path / "tables"))
+
+
+def raw(spark, spec, *rows):
+    """Rows of an entity from the columns that are given; all others are null."""
+    base = spark.createDataFrame(
+        [tuple(str(row[c]) if row.get(c) is not None else None for c in spec.columns)
+         for row in rows],
+        ", ".join(f"{c} string" for c in spec.columns),
+    )
+    return base.select(*(F.col(f.name).cast(f.dataType) for f in spec.raw_schema))
+
+
+def author(i, name, at=NEW):
+    return {"author_id": i, "name": name, "record_create_timestamp": at}
+
+
+def review(i, author_id, book_id, rating, at=NEW, added="Sat Jul 04 10:11:12 -0700 2020"):
+    return {
+        "review_id": i, "author_id": author_id, "book_id": book_id, "review_rating": rating,
+        "review_added_date": added, "review_updated_date": added, "review_text": 'a\n"b"|c',
+        "record_create_timestamp": at,
+    }
+
+
+def book(i, title, at=NEW):
+    return {"book_id": i, "title": title, "record_create_timestamp": at}
+
+
+def user(i, name, at=NEW):
+    return {"user_id": i, "user_name": name, "record_create_timestamp": at}
+
+
+def drop(df, path):
+    (
+        df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).csv(str(path))
+    )
+
+
+# ---------------------------------------------------------------- cleaning
+
+
+def test_clean_authors(spark):
+    rows = raw(spark, AUTHORS, author(1, "old", OLD), author(1, "  new \t name "), author(2, None))
+    got = clean_authors(rows)
+    assert got.columns == AUTHORS.columns
+    assert sorted((r.author_id, r["name"]) for r in got.collect()) == [(1, "new name"), (2, None)]
+
+
+def test_clean_reviews_counts_unreadable_dates(spark):
+    rows = raw(
+        spark, REVIEWS, review(1, 1, 1, 5.0), review(1, 1, 1, 1.0, OLD, "nonsense"),
+        review(2, 1, 1, 4.0, added=None), review(3, 1, 1, 3.0, added="Sat Jul 44"),
+    )
+    seen = Observation("dates")
+    got = {r.review_id: r for r in clean_reviews(rows, invalid=seen).collect()}
+    assert got[1].review_added_date == datetime(2020, 7, 4, 10, 11, 12)
+    assert got[1].review_rating == 5.0
+    assert got[2].review_added_date is None and got[3].review_updated_date is None
+    assert seen.get == {"review_added_date": 1, "review_updated_date": 1}
+    assert clean_reviews(rows).schema.names == REVIEWS.columns
+    with pytest.raises(Exception, match="Jul 44"):
+        clean_reviews(rows, strict=True).collect()
+
+
+def test_clean_books_and_users(spark):
+    books = clean_books(raw(spark, BOOKS, book(1, " a "), book(1, "b", OLD)))
+    users = clean_users(raw(spark, USERS, user(1, " a "), user(1, "b", OLD)))
+    assert [r.title for r in books.collect()] == [" a "]
+    assert [r.user_name for r in users.collect()] == [" a "]
+
+
+def test_no_cleaning_leaves_the_jvm(spark):
+    for spec, clean in (
+        (AUTHORS, clean_authors), (REVIEWS, clean_reviews), (BOOKS, clean_books),
+        (USERS, clean_users),
+    ):
+        plan = clean(spark.createDataFrame([], spec.raw_schema))
+        assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+# ---------------------------------------------------------------- lists
+
+
+@pytest.fixture
+def loaded(spark, database):
+    """12 authors and books; author i has i reviews, all with rating 12 - i."""
+    warehouse, analytics = database(), database()
+    warehouse.create(*WAREHOUSE_TABLES)
+    analytics.create(*ANALYTICS_TABLES)
+    reviews = [
+        review(100 * a + n, a, a, 12.5 - a) for a in range(1, 13) for n in range(a)
+    ] + [review(1, 1, 1, 99.0, LOW), review(2, 1, 1, 99.0, HIGH)]
+    warehouse.replace("reviews", clean_reviews(raw(spark, REVIEWS, *reviews)))
+    warehouse.replace("authors", raw(spark, AUTHORS, *(author(a, f"a{a}") for a in range(1, 13))))
+    warehouse.replace("books", raw(spark, BOOKS, *(book(a, f"b{a}") for a in range(1, 13))))
+    warehouse.replace("users", raw(spark, USERS, user(1, "u")))
+    return warehouse, analytics
+
+
+def rows(db, table, *columns):
+    return sorted(tuple(r) for r in db.read(table).select(*columns).collect())
+
+
+def test_author_lists(loaded):
+    warehouse, analytics = loaded
+    refresh_lists(warehouse, analytics, AUTHOR_LISTS, LOW, HIGH)
+    count = [(a, a, f"a{a}") for a in range(3, 13)]
+    rating = [(a, 12.5 - a, f"a{a}") for a in range(1, 11)]
+    best = [(a, a, 12.5 - a, f"a{a}") for a in range(3, 11)]
+    assert rows(analytics, "popular_authors_review_count",
+                "author_id", "review_count", "name") == count
+    assert rows(analytics, "popular_authors_average_rating",
+                "author_id", "average_review_rating", "name") == rating
+    assert rows(analytics, "best_authors", "author_id", "review_count",
+                "average_review_rating", "name") == best
+
+
+def test_book_lists_and_their_order(loaded):
+    warehouse, analytics = loaded
+    refresh_lists(warehouse, analytics, BOOK_LISTS, LOW, HIGH)
+    assert len(rows(analytics, "best_books", "book_id", "title")) == 8
+    reviews, books = warehouse.read("reviews"), warehouse.read("books")
+    by_count = BOOK_LISTS.most_reviewed(reviews, books, LOW, HIGH)
+    by_rating = BOOK_LISTS.best_rated(reviews, books, LOW, HIGH)
+    assert [r.review_count for r in by_count.collect()] == list(range(3, 13))
+    assert [r.average_reviews_rating for r in by_rating.collect()] == [
+        2.5 + n for n in range(10)
+    ]
+    assert by_count.columns == BOOK_LISTS.by_count.columns
+    assert by_rating.columns == BOOK_LISTS.by_rating.columns
+
+
+def test_single_lists_equal_the_shared_pass(loaded):
+    warehouse, _ = loaded
+    reviews, authors = warehouse.read("reviews"), warehouse.read("authors")
+    both = AUTHOR_LISTS.both(reviews, authors, LOW, HIGH)
+    singles = (
+        AUTHOR_LISTS.most_reviewed(reviews, authors, LOW, HIGH),
+        AUTHOR_LISTS.best_rated(reviews, authors, LOW, HIGH),
+    )
+    for shared, single in zip(AUTHOR_LISTS.split(both), singles):
+        assert shared.columns == single.columns
+        assert sorted(map(tuple, shared.collect())) == sorted(map(tuple, single.collect()))
+    both.collect()
+    assert "ReusedExchange" in both._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rerun_replaces_or_appends(loaded):
+    warehouse, analytics = loaded
+    for _ in range(2):
+        refresh_lists(warehouse, analytics, AUTHOR_LISTS, LOW, HIGH)
+    assert analytics.read("best_authors").count() == 8
+    refresh_lists(warehouse, analytics, AUTHOR_LISTS, LOW, HIGH, append=True)
+    assert analytics.read("popular_authors_review_count").count() == 20
+    # Two copies of a key in each list make four shared rows, on top of the one of before.
+    assert analytics.read("best_authors").where("author_id = 5").count() == 1 + 4
+
+
+def test_integer_average_is_rounded_half_to_even(loaded, database):
+    warehouse, _ = loaded
+    analytics = database().create(
+        *(t for t in ANALYTICS_TABLES if t.name != "best_books"), BEST_BOOKS_INTEGER
+    )
+    refresh_lists(warehouse, analytics, BOOK_LISTS, LOW, HIGH, k=12)
+    got = dict(rows(analytics, "best_books", "book_id", "average_reviews_rating"))
+    assert got == {a: round(12.5 - a) for a in range(1, 13)}
+    assert (got[10], got[9]) == (2, 4)
+
+
+def test_empty_table_stops(spark, loaded):
+    warehouse, _ = loaded
+    check_warehouse(warehouse)
+    warehouse.replace("users", warehouse.read("users").where("false"))
+    with pytest.raises(EmptyTableError, match="users"):
+        check_warehouse(warehouse)
+
+
+# ---------------------------------------------------------------- everything
+
+
+def test_refresh_twice(spark, database, tmp_path):
+    staging, warehouse, analytics = database(), database(), database()
+
+    def run(folder, authors, reviews, books, users):
+        source = tmp_path / folder
+        drop(raw(spark, AUTHORS, *authors), source / "author_1.csv")
+        drop(raw(spark, REVIEWS, *reviews), source / "reviews_1.csv")
+        drop(raw(spark, BOOKS, *books), source / "book_1.csv")
+        drop(raw(spark, USERS, *users), source / "user_1.csv")
+        refresh(
+            spark, source=str(source), processed=str(tmp_path / "processed"), staging=staging,
+            warehouse=warehouse, analytics=analytics, low=LOW, high=HIGH,
+        )
+
+    run(
+        "one",
+        [author(1, "  Ann   A "), author(1, "stale", OLD), author(2, "Bob")],
+        [review(1, 1, 7, 4.0), review(2, 1, 7, 2.0), review(3, 2, 8, 5.0)],
+        [book(7, "seven"), book(8, "eight")],
+        [user(1, "u")],
+    )
+    assert rows(analytics, "best_authors", "author_id", "review_count",
+                "average_review_rating", "name") == [(1, 2, 3.0, "Ann A"), (2, 1, 5.0, "Bob")]
+    texts = warehouse.read("reviews").select("review_text").distinct().collect()
+    assert [r.review_text for r in texts] == ['a\n"b"|c']
+
+    run(
+        "two",
+        [author(2, "Bobby", OLD)],
+        [review(3, 2, 8, 1.0, OLD), review(4, 2, 8, 2.0)],
+        [book(9, "nine")],
+        [user(2, "v")],
+    )
+    assert staging.read("authors").count() == 1
+    assert rows(warehouse, "authors", "author_id", "name") == [(1, "Ann A"), (2, "Bobby")]
+    assert rows(warehouse, "books", "book_id") == [(7,), (8,), (9,)]
+    assert rows(analytics, "popular_authors_average_rating", "author_id",
+                "average_review_rating") == [(1, 3.0), (2, 1.5)]
+
+
+# ---------------------------------------------------------------- pick-up
+
+
+def test_every_drop_is_picked_up_once(spark, database, tmp_path):
+    landing, warehouse = tmp_path / "landing", database().create(*WAREHOUSE_TABLES)
+    run = lambda: ingest(
+        spark, str(landing), AUTHORS, warehouse, str(tmp_path / "checkpoint"), files_per_batch=1
+    )
+    drop(raw(spark, AUTHORS, author(1, " a "), author(1, "stale", OLD)), landing / "author_1.csv")
+    drop(raw(spark, AUTHORS, author(9, "other")), landing / "authors_1.csv")
+    run()
+    assert rows(warehouse, "authors", "author_id", "name") == [(1, "a")]
+    warehouse.replace("authors", warehouse.read("authors").where("false"))
+    drop(raw(spark, AUTHORS, author(2, "b")), landing / "author_2.csv")
+    run()
+    assert rows(warehouse, "authors", "author_id", "name") == [(2, "b")]
+    run()
+    assert rows(warehouse, "authors", "author_id", "name") == [(2, "b")]
+
+
+def test_a_repeated_batch_changes_nothing(spark, database, tmp_path):
+    landing, warehouse = tmp_path / "landing", database().create(*WAREHOUSE_TABLES)
+    drop(raw(spark, REVIEWS, review(1, 1, 1, 5.0), review(2, 1, 1, 4.0)), landing / "reviews.csv")
+    for attempt in ("a", "b"):
+        ingest(spark, str(landing), REVIEWS, warehouse, str(tmp_path / attempt))
+    assert rows(warehouse, "reviews", "review_id") == [(1,), (2,)]
+
+
+def test_drop_time_comes_from_the_name(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    header = ",".join(AUTHORS.columns)
+    for name in ("author.csv", "author_1596807367990.csv"):
+        (landing / name).write_text(f"{header}\n1,n,r,u,1.5,2,3,2020-07-01 00:00:00\n")
+    stream = read_landing(spark, str(landing), AUTHORS)
+    name = f"drops_{uuid.uuid4().hex}"
+    query = (
+        stream.writeStream.format("memory").queryName(name)
+        .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    got = {r.drop_ms for r in spark.table(name).collect()}
+    assert got == {None, 1596807367990}

@@ -19,10 +19,11 @@ class Database:
     sees the old content or the new, and the new may be computed from the old. Old folders
     stay for readers that still use them.
 
-    ``buckets`` stores tables that are distributed by a column in that many buckets, which
-    saves the shuffle in aggregations and joins on it. It is off by default: a bucket is read
-    by one task, so it does not suit a column where one value may hold much of the table.
-    Either way a write groups rows by the column and splits the groups that are too large.
+    Rows are written by the tasks that computed them: a shuffle for the layout alone would
+    cost more than it saves. ``buckets`` is for tables whose aggregations and joins on the
+    column they are distributed by would otherwise shuffle: they are stored in that many
+    buckets of it. It is off by default, because a bucket is read by one task: it does not
+    suit a column where one value may hold much of the table.
     """
 
     def __init__(
@@ -75,7 +76,7 @@ class Database:
             f"CREATE TABLE {self._full(draft)} LIKE {self._full(table)} LOCATION '{folder}'"
         )
         try:
-            rows = self._spread(align(df, self.schema(table)), self._specs[table])
+            rows = self._laid_out(align(df, self.schema(table)), self._specs[table])
             rows.write.insertInto(self._full(draft))
             self.spark.sql(f"ALTER TABLE {self._full(table)} SET LOCATION '{folder}'")
         finally:
@@ -87,16 +88,12 @@ class Database:
         key = self._specs[table].key
         self.replace(table, upsert(self.read(table), batch, [key]))
 
-    def _spread(self, df: DataFrame, spec: TableSpec) -> DataFrame:
-        if not spec.distribute_on:
-            spread = df.hint("rebalance")
-        elif not self.buckets:
-            spread = df.hint("rebalance", spec.distribute_on)
-        else:
+    def _laid_out(self, df: DataFrame, spec: TableSpec) -> DataFrame:
+        if self.buckets and spec.distribute_on:
             # Hash partitions and buckets number their values alike, so with as many of the
-            # one as of the other a task writes whole buckets. Spark sorts each of them.
+            # one as of the other a task writes whole buckets; too large ones are split.
             return df.hint("rebalance", self.buckets, spec.distribute_on)
-        return spread.sortWithinPartitions(spec.sort_by) if spec.sort_by else spread
+        return df.sortWithinPartitions(spec.sort_by) if spec.sort_by else df
 
     def _full(self, table: str) -> str:
         return f"`{self.name}`.`{table}`"
