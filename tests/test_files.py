@@ -1,6 +1,7 @@
 """Delimited sources and the processed zone."""
 
 import gzip
+import random
 from datetime import datetime
 from pathlib import Path
 
@@ -107,6 +108,90 @@ def test_inference_is_opt_in_and_fragile(spark, tmp_path):
     )
 
 
+# ---------------------------------------------------------------- files read in blocks
+
+
+@pytest.fixture
+def small_blocks(spark):
+    before = {
+        name: spark.conf.get(name)
+        for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    }
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def messy(seed, line_end, malformed):
+    """Records with quotes, separators and line breaks, some longer than a block."""
+    choose = random.Random(seed)
+
+    def value():
+        length = choose.choice([0, 1, 3, 10, 40, 900])
+        return "".join(choose.choice('ab,"\n x') for _ in range(length))
+
+    def field(text):
+        if choose.random() < 0.3 or any(c in text for c in ',"\n'):
+            text = '"' + text.replace('"', '""') + '"'
+        return text
+
+    faults = ("{0}", "{0},a,b,more", '{0},a"b,5" pipe', '{0},"a" tail "q,z', "", "bad,c,d")
+    lines = ["id,s,t"]
+    for i in range(120):
+        line = f"{i},{field(value())},{field(value())}"
+        if malformed and choose.random() < 0.3:
+            line = choose.choice(faults).format(i)
+        lines.append(line)
+    return line_end.join(lines) + choose.choice(["", line_end])
+
+
+def as_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("malformed", [False, True])
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_blocks_give_what_the_reader_gives(
+    spark, tmp_path, small_blocks, seed, line_end, malformed
+):
+    (tmp_path / "f.csv").write_bytes(messy(seed, line_end, malformed).encode())
+    path, columns = str(tmp_path / "f.csv"), schema(spark, "id long, s string, t string")
+    assert spark.read.text(path).rdd.getNumPartitions() > 10
+    split = read_delimited(spark, path, columns, corrupt_column="bad", split_above=0)
+    whole = read_delimited(spark, path, columns, corrupt_column="bad")
+    assert as_rows(split) == as_rows(whole)
+    assert len(as_rows(split)) > 50
+
+
+def test_only_large_files_are_read_in_blocks(spark, tmp_path, small_blocks):
+    columns = schema(spark, "id long, s string, t string")
+    for seed in (3, 4):
+        (tmp_path / f"{seed}.csv").write_text(messy(seed, "\n", False))
+    put(tmp_path, "small.csv", 'id,s,t\n1000,"a\nb",c\n')
+    got = read_delimited(spark, str(tmp_path), columns, split_above=100)
+    assert as_rows(got) == as_rows(read_delimited(spark, str(tmp_path), columns))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" in plan and "FileScan csv" in plan
+    none = read_delimited(spark, str(tmp_path), columns)
+    assert "FileScan text" not in none._jdf.queryExecution().executedPlan().toString()
+
+
+def test_blocks_check_the_header_too(spark, tmp_path):
+    path = put(tmp_path, "h.csv", "a,id\nx,1\n")
+    columns = schema(spark, "id int, a string")
+    with pytest.raises(Exception, match="header"):
+        read_delimited(spark, path, columns, split_above=0).collect()
+    assert as_rows(read_delimited(spark, path, schema(spark, "a string, id int"), split_above=0)) == [
+        ("x", 1)
+    ]
+
+
+# ---------------------------------------------------------------- the processed zone
+
+
 def test_processed_format(spark, tmp_path):
     out = str(tmp_path / "out")
     df = spark.createDataFrame(

@@ -263,9 +263,11 @@ def test_refresh_twice(spark, database, tmp_path):
 
 
 def test_every_drop_is_picked_up_once(spark, database, tmp_path):
-    landing, warehouse = tmp_path / "landing", database().create(*WAREHOUSE_TABLES)
+    landing = tmp_path / "landing"
+    staging, warehouse = (database().create(*WAREHOUSE_TABLES) for _ in range(2))
     run = lambda: ingest(
-        spark, str(landing), AUTHORS, warehouse, str(tmp_path / "checkpoint"), files_per_batch=1
+        spark, str(landing), AUTHORS, staging, warehouse, str(tmp_path / "checkpoint"),
+        files_per_batch=1,
     )
     drop(raw(spark, AUTHORS, author(1, " a "), author(1, "stale", OLD)), landing / "author_1.csv")
     drop(raw(spark, AUTHORS, author(9, "other")), landing / "authors_1.csv")
@@ -280,10 +282,11 @@ def test_every_drop_is_picked_up_once(spark, database, tmp_path):
 
 
 def test_a_repeated_batch_changes_nothing(spark, database, tmp_path):
-    landing, warehouse = tmp_path / "landing", database().create(*WAREHOUSE_TABLES)
+    landing = tmp_path / "landing"
+    staging, warehouse = (database().create(*WAREHOUSE_TABLES) for _ in range(2))
     drop(raw(spark, REVIEWS, review(1, 1, 1, 5.0), review(2, 1, 1, 4.0)), landing / "reviews.csv")
     for attempt in ("a", "b"):
-        ingest(spark, str(landing), REVIEWS, warehouse, str(tmp_path / attempt))
+        ingest(spark, str(landing), REVIEWS, staging, warehouse, str(tmp_path / attempt))
     assert rows(warehouse, "reviews", "review_id") == [(1,), (2,)]
 
 

@@ -435,6 +435,17 @@ def csv_roundtrip_documents(spark: SparkSession, sf: str) -> DataFrame:
     return read_processed(spark, path, documents.schema)
 
 
+@register("""
+    SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents
+""")
+def csv_split_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The same text from files that are read in blocks, whatever their size."""
+    documents = _table(spark, sf, "documents")
+    path = scratch_path(spark, "csv_split_documents")
+    documents.write.option("header", True).option("escape", '"').csv(path)
+    return read_delimited(spark, path, documents.schema, split_above=0)
+
+
 @register("""
     SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey,
            o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
@@ -494,11 +505,12 @@ def landing_orders(spark: SparkSession, sf: str) -> DataFrame:
     target, batch = _upsert_sides(spark, sf)
     landing = scratch_path(spark, "landing")
     checkpoint = scratch_path(spark, "landing_checkpoint")
+    staging = _database(spark, "staging").create(ORDERS)
     warehouse = _database(spark, "landed").create(ORDERS)
     for stamp, drop in ((1596807367990, target), (1596893767990, batch)):
         drop.write.option("header", True).csv(f"{landing}/order_{stamp}.csv")
         ingest(
-            spark, landing, ORDERS, warehouse, checkpoint,
+            spark, landing, ORDERS, staging, warehouse, checkpoint,
             clean=lambda rows: latest(rows, ["o_orderkey"], "o_orderdate"),
         )
     return warehouse.read("orders")

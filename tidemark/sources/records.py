@@ -1,0 +1,170 @@
+"""Records with line breaks inside quotes, from files too large for one task.
+
+Spark's own reader hands such a file to a single task, because where a record ends depends on
+all quotes before it. Here the file is read as lines, in blocks like any splittable text:
+
+1. A line maps the state at its start, outside or inside quotes, to the state at its end.
+   Regular expressions give both answers without knowing the start.
+2. The maps of a block's lines combine into a map of the block, and those of the blocks, a
+   row each, into the state at the start of every block.
+3. Lines that begin and end outside are records. The others are put together, by the line that
+   opened them, before Spark's CSV expression parses each record.
+
+Only the dialect that escapes a quote by doubling it is covered.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+_RECORD = "_record"
+
+
+def _line_maps(line: Column, separator: str, quote: str) -> tuple[Column, Column]:
+    """Whether the line ends inside quotes, begun outside and begun inside."""
+    s, q = re.escape(separator), re.escape(quote)
+    quoted = rf"[^{q}]*+(?:{q}{q}[^{q}]*+)*+"
+    field = rf"(?:{q}{quoted}{q}[^{s}]*+|[^{q}{s}][^{s}]*+|)"
+    opens = rf"(?:{field}{s})*+{q}{quoted}\z"
+    has_quote = line.contains(quote)
+    from_outside = has_quote & line.rlike(rf"^{opens}")
+    from_inside = ~has_quote | line.rlike(rf"^{quoted}(?:\z|{q}[^{s}]*+{s}{opens})")
+    return from_outside, from_inside
+
+
+def _lines(spark: SparkSession, paths: list[str], separator: str, quote: str) -> DataFrame:
+    """Lines in their place, with the combined map from the block's start to their end.
+
+    A map is a constant state, in ``fixed``, or else changes the state if ``flips`` is odd.
+    """
+    text = spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        # Grows along the lines of a block; a task that runs again gives the same numbers.
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    )
+    from_outside, from_inside = _line_maps(F.col("value"), separator, quote)
+    mapped = text.withColumns({"out": from_outside.cast("int"), "in": from_inside.cast("int")})
+    so_far = Window.partitionBy("file", "block").orderBy("line").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    flips = F.sum(F.when((F.col("out") == 1) & (F.col("in") == 0), 1).otherwise(0))
+    mapped = mapped.withColumn("flips", flips.over(so_far))
+    # The last line that ignores its start, with the flips up to it taken off beforehand.
+    constant = F.when(F.col("out") == F.col("in"), (F.col("out") + F.col("flips")) % 2)
+    fixed = F.last(constant, ignorenulls=True)
+    return mapped.withColumn("fixed", fixed.over(so_far)).drop("out", "in")
+
+
+def _state(fixed: Column, flips: Column, start: Column) -> Column:
+    """1 inside quotes, 0 outside."""
+    return (F.coalesce(fixed, start) + flips) % 2
+
+
+def _before(column: str, default: int | None, window) -> Column:
+    return F.lag(column, 1, default).over(window)
+
+
+def _blocks(lines: DataFrame) -> DataFrame:
+    """Per block: its state at the start, and the record that is open then.
+
+    One row per block of a file meets in one task here, never its lines.
+    """
+    in_block = Window.partitionBy("file", "block").orderBy("line")
+    placed = lines.withColumns({
+        "fixed_before": _before("fixed", None, in_block),
+        "flips_before": _before("flips", 0, in_block),
+    })
+
+    def records(start: int) -> Column:
+        state = _state(F.col("fixed_before"), F.col("flips_before"), F.lit(start))
+        return F.count_if(state == 0)
+
+    summed = placed.groupBy("file", "block").agg(
+        F.max_by("fixed", "line").alias("fixed"),
+        F.max_by("flips", "line").alias("flips"),
+        records(0).alias("records_outside"),
+        records(1).alias("records_inside"),
+    )
+    in_file = Window.partitionBy("file").orderBy("block")
+    so_far = in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    summed = summed.withColumn("all_flips", F.sum("flips").over(so_far))
+    # Within a block the constant already carries the flips of its block, not those before.
+    carried = (F.col("fixed") + F.col("all_flips") - F.col("flips")) % 2
+    summed = summed.withColumn("all_fixed", F.last(carried, ignorenulls=True).over(so_far))
+    end = _state(F.col("all_fixed"), F.col("all_flips"), F.lit(0))
+    started = summed.withColumn("end", end).withColumn("start", _before("end", 0, in_file))
+    started = started.withColumn(
+        "records",
+        F.when(F.col("start") == 0, F.col("records_outside")).otherwise(F.col("records_inside")),
+    )
+    opened = F.when(F.col("records") > 0, F.struct("block", "records"))
+    return started.select(
+        "file", "block", "start", F.last(opened, ignorenulls=True).over(earlier).alias("opened")
+    )
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """One row per record: file, block and number of its first line, and its text."""
+    in_block = Window.partitionBy("file", "block").orderBy("line")
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = lines.join(_blocks(lines), ["file", "block"])
+    ends = _state(F.col("fixed"), F.col("flips"), F.col("start"))
+    placed = placed.withColumn("ends", ends)
+    begins = F.coalesce(_before("ends", None, in_block), F.col("start"))
+    placed = placed.withColumn("begins", begins)
+    placed = placed.withColumn("number", F.count_if(F.col("begins") == 0).over(so_far))
+    whole = (F.col("begins") == 0) & (F.col("ends") == 0)
+    single = placed.where(whole).select("file", "block", "number", F.col("value").alias(_RECORD))
+    # Lines at the head of a block may belong to a record that an earlier block opened.
+    headless = F.col("number") == 0
+    pieces = placed.where(~whole).select(
+        "file",
+        F.when(headless, F.col("opened.block")).otherwise(F.col("block")).alias("at"),
+        F.when(headless, F.col("opened.records")).otherwise(F.col("number")).alias("number"),
+        F.struct("block", "line", "value").alias("piece"),
+    )
+    pieces_in_order = F.array_sort(F.collect_list("piece"))
+    joined = pieces.groupBy("file", "at", "number").agg(
+        F.array_join(F.transform(pieces_in_order, lambda p: p["value"]), "\n").alias(_RECORD)
+    )
+    return single.unionAll(joined)
+
+
+def read_split(
+    spark: SparkSession,
+    paths: list[str],
+    schema: StructType,
+    *,
+    header: bool = True,
+    separator: str = ",",
+    quote: str = '"',
+    mode: str = "PERMISSIVE",
+    corrupt_column: str | None = None,
+) -> DataFrame:
+    """What Spark's reader gives with ``multiLine``, with each file read by many tasks."""
+    options = {"sep": separator, "quote": quote, "escape": quote, "mode": mode}
+    records = _records(_lines(spark, paths, separator, quote)).withColumn(
+        _RECORD, F.regexp_replace(_RECORD, r"\r\z", "")
+    )
+    if header:
+        names = StructType([StructField(f"_{i}", StringType()) for i in range(len(schema))])
+        found = F.from_csv(_RECORD, names.simpleString()[7:-1].replace(":", " "), options)
+        wanted = F.struct(*(F.lit(f.name).alias(f"_{i}") for i, f in enumerate(schema)))
+        refused = F.raise_error(F.concat(F.lit("header does not fit the schema: "), _RECORD))
+        first = (F.col("block") == 0) & (F.col("number") == 1)
+        records = records.where(
+            F.when(~first, F.lit(True)).when(found == wanted, F.lit(False)).otherwise(refused)
+        )
+    if corrupt_column is not None:
+        schema = StructType([*schema, StructField(corrupt_column, StringType())])
+        options["columnNameOfCorruptRecord"] = corrupt_column
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    parsed = F.from_csv(_RECORD, ddl, options).alias("parsed")
+    return records.where(F.col(_RECORD) != "").select(parsed).select("parsed.*")
