@@ -23,8 +23,8 @@ TIMED = TableSpec("timed", _schema(k=LONG, t=TIME), key="k", sort_by="t")
 
 @pytest.fixture
 def database(spark, tmp_path):
-    def make(buckets=None):
-        return Database(spark, f"d{uuid.uuid4().hex}", str(tmp_path), buckets)
+    def make(buckets=None, fold_at=None):
+        return Database(spark, f"d{uuid.uuid4().hex}", str(tmp_path), buckets, fold_at)
 
     return make
 
@@ -131,3 +131,71 @@ def test_rows_are_sorted_by_time_within_a_file(spark, database):
         times = [r.t for r in spark.read.parquet(file).collect()]
         assert times == sorted(times)
     assert db.read("timed").count() == 1000
+
+
+# ---------------------------------------------------------------- collected upserts
+
+
+BATCHES = (
+    [(2, "x"), (3, "y"), (None, "m")],
+    [(3, "z"), (3, "zz"), (4, "w")],
+    [(1, "q"), (None, "m")],
+)
+
+
+def table_names(spark, db):
+    return sorted(t.name for t in spark.catalog.listTables(db.name))
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_collected_upserts_read_like_plain_ones(spark, database, buckets):
+    plain, collecting = database(buckets), database(buckets, fold_at=1e9)
+    for db in (plain, collecting):
+        db.create(PAIR)
+        db.upsert("pair", pairs(spark, (1, "a"), (2, "b"), (None, "n"), (5, "e")))
+    untouched = spark.table(f"`{collecting.name}`.pair").inputFiles()
+    for batch in BATCHES:
+        for db in (plain, collecting):
+            db.upsert("pair", pairs(spark, *batch))
+        assert content(collecting) == content(plain)
+    assert spark.table(f"`{collecting.name}`.pair").inputFiles() == untouched
+    assert table_names(spark, collecting) == ["pair", "pair__recent"]
+    collecting.fold("pair")
+    assert content(collecting) == content(plain)
+    assert table_names(spark, collecting) == ["pair"]
+
+
+def test_collected_upserts_are_folded_at_their_share(spark, database):
+    db = database(fold_at=0.5).create(PAIR)
+    base = spark.range(5000).select("id", F.sha2(F.col("id").cast("string"), 256))
+    db.replace("pair", base.toDF("k", "p"))
+    db.upsert("pair", pairs(spark, (1, "a")))
+    assert table_names(spark, db) == ["pair", "pair__recent"]
+    db.upsert("pair", base.toDF("k", "p").where("k < 4000"))
+    assert table_names(spark, db) == ["pair"]
+    assert db.read("pair").count() == 5000
+
+
+def test_folding_again_after_a_crash_changes_nothing(spark, database):
+    db = database(fold_at=1e9).create(PAIR)
+    db.replace("pair", pairs(spark, (1, "a"), (2, "b")))
+    db.upsert("pair", pairs(spark, (2, "x"), (3, "y")))
+    spec = db._specs["pair"]
+    db._point(spec, db._write(spec, db.read("pair")))
+    assert content(db) == [(1, "a"), (2, "x"), (3, "y")]
+    db.fold("pair")
+    assert content(db) == [(1, "a"), (2, "x"), (3, "y")]
+
+
+def test_other_writes_do_not_meet_collected_upserts(spark, database):
+    db = database(fold_at=1e9).create(PAIR)
+    db.replace("pair", pairs(spark, (1, "a")))
+    db.upsert("pair", pairs(spark, (1, "b")))
+    db.append("pair", pairs(spark, (1, "c")))
+    assert content(db) == [(1, "b"), (1, "c")]
+    db.upsert("pair", pairs(spark, (1, "d")))
+    db.replace("pair", pairs(spark, (1, "e")))
+    assert content(db) == [(1, "e")]
+    db.upsert("pair", pairs(spark, (1, "f")))
+    db.drop("pair")
+    assert table_names(spark, db) == []

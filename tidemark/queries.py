@@ -65,10 +65,8 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _database(spark: SparkSession, label: str, buckets: int | None = None) -> Database:
-    return Database(
-        spark, f"{label}_{uuid.uuid4().hex}", scratch_path(spark, label), buckets
-    )
+def _database(spark: SparkSession, label: str, **layout) -> Database:
+    return Database(spark, f"{label}_{uuid.uuid4().hex}", scratch_path(spark, label), **layout)
 
 
 # ---------------------------------------------------------------- latest record per key
@@ -397,6 +395,17 @@ def upsert_orders_tables(spark: SparkSession, sf: str) -> DataFrame:
     return warehouse.read("orders")
 
 
+@register(UPSERT_ORDERS_SQL)
+def upsert_orders_collected(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in two batches that are kept beside the table and laid over it on reading."""
+    target, batch = _upsert_sides(spark, sf)
+    warehouse = _database(spark, "warehouse", fold_at=100.0).create(ORDERS)
+    warehouse.replace("orders", target)
+    warehouse.upsert("orders", batch.withColumn("o_orderstatus", F.lit("early")))
+    warehouse.upsert("orders", batch)
+    return warehouse.read("orders")
+
+
 @register("""
     SELECT o_custkey, count(o_orderkey) AS n, max(o_orderdate) AS newest
     FROM orders GROUP BY o_custkey

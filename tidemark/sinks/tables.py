@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -10,6 +11,9 @@ from pyspark.sql.types import StructType
 from tidemark.operators.upsert import align, upsert
 from tidemark.schemas import TableSpec
 
+# Ending of the table that collects upserts.
+RECENT = "__recent"
+
 
 class Database:
     """The tables of one database, each below ``<root>/<database>/<table>/``.
@@ -24,69 +28,134 @@ class Database:
     column they are distributed by would otherwise shuffle: they are stored in that many
     buckets of it. It is off by default, because a bucket is read by one task: it does not
     suit a column where one value may hold much of the table.
+
+    An upsert rewrites the table. With ``fold_at`` it does not: upserts are collected in a
+    second table beside it, upserted in turn, and folded into the first once they reach that
+    share of its size. ``read`` lays the one over the other, which gives the same rows because
+    two batches may be merged before they meet the table. Small batches then cost in
+    proportion to the recent changes; a query that does not go through ``read`` misses them.
     """
 
     def __init__(
-        self, spark: SparkSession, name: str, root: str, buckets: int | None = None
+        self,
+        spark: SparkSession,
+        name: str,
+        root: str,
+        buckets: int | None = None,
+        fold_at: float | None = None,
     ) -> None:
         self.spark = spark
         self.name = name
         self.root = f"{root.rstrip('/')}/{name}"
         self.buckets = buckets
+        self.fold_at = fold_at
         self._specs: dict[str, TableSpec] = {}
 
     def create(self, *specs: TableSpec) -> Database:
         """Creates the database and the given tables where they do not exist."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.name}` LOCATION '{self.root}'")
         for spec in specs:
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
-            clustered = ""
-            if self.buckets and spec.distribute_on:
-                ordered = f"SORTED BY (`{spec.sort_by}`)" if spec.sort_by else ""
-                clustered = (
-                    f"CLUSTERED BY (`{spec.distribute_on}`) {ordered} INTO {self.buckets} BUCKETS"
-                )
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self._full(spec.name)} ({columns}) USING parquet "
-                f"{clustered} LOCATION '{self._new_folder(spec.name)}'"
-            )
             self._specs[spec.name] = spec
+            self._create(spec)
         return self
 
     def drop(self, *tables: str) -> None:
         """Forgets tables where they exist; their files stay."""
         for table in tables:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._full(table)}")
+            for name in (table, f"{table}{RECENT}"):
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._full(name)}")
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(self._full(table))
+        rows = self.spark.table(self._full(table))
+        recent = self._recent(table)
+        if recent is None:
+            return rows
+        return upsert(rows, self.spark.table(self._full(recent.name)), [recent.key])
 
     def schema(self, table: str) -> StructType:
         return self._specs[table].schema
 
     def append(self, table: str, df: DataFrame) -> None:
         """Adds rows. Columns are matched by position, whatever they are called."""
+        self.fold(table)
         df.write.insertInto(self._full(table))
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Makes ``df`` the content of the table. Columns are matched by name."""
-        folder = self._new_folder(table)
-        draft = f"{table}__{folder.rsplit('/', 1)[1]}"
+        spec = self._specs[table]
+        folder = self._write(spec, df)
+        # Changes kept for the old content must not be laid over the new one.
+        self.drop(f"{table}{RECENT}")
+        self._point(spec, folder)
+
+    def upsert(self, table: str, batch: DataFrame) -> None:
+        """Rows of ``batch`` take the place of the rows that have their key."""
+        spec = self._specs[table]
+        if not self.fold_at or not self._bytes(table):
+            self.replace(table, upsert(self.read(table), batch, [spec.key]))
+            return
+        recent = self._recent(table)
+        if recent is None:
+            recent = self._recent_spec(table)
+            merged = batch
+        else:
+            merged = upsert(self.spark.table(self._full(recent.name)), batch, [spec.key])
+        self._create(recent)
+        self._point(recent, self._write(recent, merged))
+        if self._bytes(recent.name) > self.fold_at * self._bytes(table):
+            self.fold(table)
+
+    def fold(self, table: str) -> None:
+        """Brings collected upserts into the table.
+
+        Should this stop after the table was replaced, the changes are laid over it once more,
+        which leaves it as it is but for rows with a null key.
+        """
+        if self._recent(table) is not None:
+            self._point(self._specs[table], self._write(self._specs[table], self.read(table)))
+            self.drop(f"{table}{RECENT}")
+
+    def _create(self, spec: TableSpec) -> None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
+        clustered = ""
+        if self.buckets and spec.distribute_on:
+            ordered = f"SORTED BY (`{spec.sort_by}`)" if spec.sort_by else ""
+            clustered = (
+                f"CLUSTERED BY (`{spec.distribute_on}`) {ordered} INTO {self.buckets} BUCKETS"
+            )
         self.spark.sql(
-            f"CREATE TABLE {self._full(draft)} LIKE {self._full(table)} LOCATION '{folder}'"
+            f"CREATE TABLE IF NOT EXISTS {self._full(spec.name)} ({columns}) USING parquet "
+            f"{clustered} LOCATION '{self._new_folder(spec.name)}'"
+        )
+
+    def _write(self, spec: TableSpec, df: DataFrame) -> str:
+        """Writes rows in the layout of the table to a new folder, and names it."""
+        folder = self._new_folder(spec.name)
+        draft = f"{spec.name}__{folder.rsplit('/', 1)[1]}"
+        self.spark.sql(
+            f"CREATE TABLE {self._full(draft)} LIKE {self._full(spec.name)} LOCATION '{folder}'"
         )
         try:
-            rows = self._laid_out(align(df, self.schema(table)), self._specs[table])
-            rows.write.insertInto(self._full(draft))
-            self.spark.sql(f"ALTER TABLE {self._full(table)} SET LOCATION '{folder}'")
+            self._laid_out(align(df, spec.schema), spec).write.insertInto(self._full(draft))
         finally:
             self.drop(draft)
-        self.spark.catalog.refreshTable(self._full(table))
+        return folder
 
-    def upsert(self, table: str, batch: DataFrame) -> None:
-        """Rows of ``batch`` take the place of the rows that have their key."""
-        key = self._specs[table].key
-        self.replace(table, upsert(self.read(table), batch, [key]))
+    def _point(self, spec: TableSpec, folder: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self._full(spec.name)} SET LOCATION '{folder}'")
+        self.spark.catalog.refreshTable(self._full(spec.name))
+
+    def _recent_spec(self, table: str) -> TableSpec:
+        return replace(self._specs[table], name=f"{table}{RECENT}")
+
+    def _recent(self, table: str) -> TableSpec | None:
+        spec = self._recent_spec(table)
+        return spec if self.spark.catalog.tableExists(self._full(spec.name)) else None
+
+    def _bytes(self, table: str) -> int:
+        # The size of its files, which Spark knows from listing them.
+        plan = self.spark.table(self._full(table))._jdf.queryExecution().optimizedPlan()
+        return int(str(plan.stats().sizeInBytes()))
 
     def _laid_out(self, df: DataFrame, spec: TableSpec) -> DataFrame:
         if self.buckets and spec.distribute_on:
