@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -28,16 +29,20 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
     return builder.getOrCreate()
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused folder name below the shared folder in ``spark.checkpoint.dir``.
 
-    A cluster must name that folder: every executor has to see it. Only a local session
-    falls back to a temporary folder, which it then also sets for the rest of the session.
+    A cluster must name that folder: every executor has to see it. Only a local session may
+    leave it out, and then gets a temporary folder for the life of the process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
