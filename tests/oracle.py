@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 from decimal import Decimal
@@ -28,11 +27,7 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    if isinstance(value, Decimal):
-        value = float(value)
-    if isinstance(value, float) and not math.isnan(value):
-        return round(value, 9)
-    return value
+    return float(value) if isinstance(value, Decimal) else value
 
 
 def _rows(names, rows):

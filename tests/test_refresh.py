@@ -228,18 +228,19 @@ def test_refresh_twice(spark, database, tmp_path):
         drop(raw(spark, REVIEWS, *reviews), source / "reviews_1.csv")
         drop(raw(spark, BOOKS, *books), source / "book_1.csv")
         drop(raw(spark, USERS, *users), source / "user_1.csv")
-        refresh(
+        return refresh(
             spark, source=str(source), processed=str(tmp_path / "processed"), staging=staging,
             warehouse=warehouse, analytics=analytics, low=LOW, high=HIGH,
         )
 
-    run(
+    unread = run(
         "one",
         [author(1, "  Ann   A "), author(1, "stale", OLD), author(2, "Bob")],
-        [review(1, 1, 7, 4.0), review(2, 1, 7, 2.0), review(3, 2, 8, 5.0)],
+        [review(1, 1, 7, 4.0), review(2, 1, 7, 2.0), review(3, 2, 8, 5.0, added="no date")],
         [book(7, "seven"), book(8, "eight")],
         [user(1, "u")],
     )
+    assert unread == {"review_added_date": 1, "review_updated_date": 1}
     assert rows(analytics, "best_authors", "author_id", "review_count",
                 "average_review_rating", "name") == [(1, 2, 3.0, "Ann A"), (2, 1, 5.0, "Bob")]
     texts = warehouse.read("reviews").select("review_text").distinct().collect()
