@@ -41,6 +41,8 @@ def compare(spark, db, name: str, sf: str) -> int:
     """Rows of the query; raises where columns or rows differ from the SQL's."""
     df = queries()[name](spark, sf)
     ours = df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "CartesianProduct" not in plan, f"{name}: {plan}"
     result = db.execute(oracle_sql()[name])
     columns = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(columns), (name, df.columns, columns)

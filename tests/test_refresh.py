@@ -16,6 +16,7 @@ from tidemark.plans import (
     clean_books,
     clean_reviews,
     clean_users,
+    process_raw,
     refresh,
     refresh_lists,
 )
@@ -260,6 +261,42 @@ def test_refresh_twice(spark, database, tmp_path):
                 "average_review_rating") == [(1, 3.0), (2, 1.5)]
 
 
+def test_refresh_stops_at_an_empty_table(spark, database, tmp_path):
+    source, analytics = tmp_path / "raw", database()
+    drop(raw(spark, AUTHORS, author(1, "a")), source / "author.csv")
+    drop(raw(spark, REVIEWS, review(1, 1, 7, 4.0)), source / "reviews.csv")
+    drop(raw(spark, BOOKS, book(7, "seven")), source / "book.csv")
+    drop(raw(spark, USERS, user(1, "u")).where("false"), source / "user.csv")
+    with pytest.raises(EmptyTableError, match="users"):
+        refresh(
+            spark, source=str(source), processed=str(tmp_path / "processed"),
+            staging=database(), warehouse=database(), analytics=analytics, low=LOW, high=HIGH,
+        )
+    assert not spark.catalog.databaseExists(analytics.name)
+
+
+def test_refresh_needs_all_four_entities(spark, database, tmp_path):
+    drop(raw(spark, AUTHORS, author(1, "a")), tmp_path / "raw" / "author.csv")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        process_raw(spark, str(tmp_path / "raw"), str(tmp_path / "processed"))
+
+
+def test_refresh_with_inferred_types(spark, database, tmp_path):
+    source, warehouse, analytics = tmp_path / "raw", database(), database()
+    drop(raw(spark, AUTHORS, author(1, " a  b "), author(1, "stale", OLD)), source / "author.csv")
+    drop(raw(spark, REVIEWS, review(1, 1, 7, 4.0)), source / "reviews.csv")
+    drop(raw(spark, BOOKS, book(7, "seven")), source / "book.csv")
+    drop(raw(spark, USERS, user(1, "u")), source / "user.csv")
+    refresh(
+        spark, source=str(source), processed=str(tmp_path / "processed"), staging=database(),
+        warehouse=warehouse, analytics=analytics, low=LOW, high=HIGH, infer=True,
+    )
+    assert rows(warehouse, "authors", "author_id", "name", "record_create_timestamp") == [
+        (1, "a b", datetime(2020, 7, 3))
+    ]
+    assert rows(analytics, "best_books", "book_id", "title") == [(7, "seven")]
+
+
 # ---------------------------------------------------------------- pick-up
 
 
@@ -305,4 +342,5 @@ def test_drop_time_comes_from_the_name(spark, tmp_path):
     )
     query.awaitTermination()
     got = {r.drop_ms for r in spark.table(name).collect()}
+    spark.catalog.dropTempView(name)
     assert got == {None, 1596807367990}

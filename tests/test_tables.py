@@ -37,6 +37,10 @@ def content(db, table="pair"):
     return sorted((tuple(r) for r in db.read(table).collect()), key=repr)
 
 
+def table_names(spark, db):
+    return sorted(t.name for t in spark.catalog.listTables(db.name) if not t.isTemporary)
+
+
 def test_creation_is_idempotent(spark, database):
     db = database().create(PAIR)
     db.append("pair", pairs(spark, (1, "a")))
@@ -49,9 +53,9 @@ def test_all_declared_tables(spark, database):
     for spec in (*WAREHOUSE_TABLES, *ANALYTICS_TABLES):
         assert db.read(spec.name).schema == spec.schema
     assert [len(s.columns) for s in ANALYTICS_TABLES] == [9, 9, 10, 15, 15, 16]
-    assert len(spark.catalog.listTables(db.name)) == 10
+    assert len(table_names(spark, db)) == 10
     db.drop("users", "users", "never_there")
-    assert len(spark.catalog.listTables(db.name)) == 9
+    assert len(table_names(spark, db)) == 9
 
 
 def test_append_is_by_position_and_does_not_replace(spark, database):
@@ -85,7 +89,7 @@ def test_failed_replacement_leaves_the_table_as_it_was(spark, database):
     with pytest.raises(Exception, match="half way"):
         db.replace("pair", broken)
     assert content(db) == [(1, "a")]
-    assert [t.name for t in spark.catalog.listTables(db.name)] == ["pair"]
+    assert table_names(spark, db) == ["pair"]
 
 
 def test_a_reader_keeps_the_content_it_started_with(spark, database):
@@ -143,10 +147,6 @@ BATCHES = (
 )
 
 
-def table_names(spark, db):
-    return sorted(t.name for t in spark.catalog.listTables(db.name))
-
-
 @pytest.mark.parametrize("buckets", [None, 4])
 def test_collected_upserts_read_like_plain_ones(spark, database, buckets):
     plain, collecting = database(buckets), database(buckets, fold_at=1e9)

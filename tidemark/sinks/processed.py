@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from tidemark.sources.delimited import PROCESSED_SEPARATOR, PROCESSED_TIMESTAMP
 
 # A gzip file, and one with line breaks inside quotes, is read back by one task each.
-ROWS_PER_FILE = 1_000_000
+ROWS_PER_FILE = 250_000
 
 
 def write_processed(
