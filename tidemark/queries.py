@@ -23,7 +23,6 @@ from tidemark.operators import (
     duplicate_keys,
     enrich,
     in_open_window,
-    key_metrics,
     latest,
     require_rows,
     row_counts,
