@@ -64,7 +64,7 @@ if __name__ == "__main__":
     )
     session.sparkContext.setLogLevel("ERROR")
     connection = connect(sf)
-    for name in sys.argv[2:] or queries():
+    for name in sys.argv[2:] or oracle_sql():
         start = time.time()
         try:
             print(f"{name}: {compare(session, connection, name, sf)} rows, "

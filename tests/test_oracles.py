@@ -5,6 +5,7 @@ from oracle import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import SF_DIR
+from tidemark.queries import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,10 +14,12 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert queries().keys() >= QUERIES.keys()
+    assert oracle_sql().keys() >= ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
     compare(spark, db, name, SF_DIR)
 
