@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, quality, simhash_dedup, substring_dedup
+from tidemark.llm import (
+    chat_format,
+    license_scan,
+    minhash,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    simhash_dedup,
+    substring_dedup,
+    token_counts,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +27,14 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.against_next(table(spark, sf_dir, "documents"))
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -27,10 +46,25 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(
+        license_scan.document_files(table(spark, sf_dir, "documents"))
+    )
+
+
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.recovered(table(spark, sf_dir, "conversations"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = quality.fit(documents, table(spark, sf_dir, "labels"))
@@ -41,7 +75,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pack, op4_mix, op5_substring_dedup, op8_simhash, op10_quality,
+    op1_pack, op2_token_counts, op3_minhash, op4_mix, op5_substring_dedup, op6_license_scan,
+    op7_neighbours, op8_simhash, op9_chat_format, op10_quality,
 )}
 
 ORACLES = {
