@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
+from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,36 +16,50 @@ from tidemark.llm import mixing, packing, quality, simhash_dedup, substring_dedu
 from tidemark.llm.common import written  # noqa: E402
 
 
-def _others(docs: DataFrame) -> tuple[str, ...]:
-    return tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _stage(work: Callable) -> Callable:
+    """A stage that gets and gives all columns; those not of documents wait under other names."""
+
+    @wraps(work)
+    def apply(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names, given = [], docs.columns
+        for i, name in enumerate(given):
+            names.append(name if name in COLUMNS and name not in names else f"o{i}")
+        others = tuple(n for n in names if n not in ("doc_id", "text"))
+        out = work(spark, docs.toDF(*names), others, sf_dir)
+        if "n_chars" in names:
+            out = out.withColumn("n_chars", F.length("text").cast("long"))
+        return out.select(*names).toDF(*given)
+
+    return apply
+
+
+@_stage
+def quality_filter(spark, docs, others, sf_dir):
     """Drops the documents that the quality classifier rejects."""
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.classify(docs, model, carry=_others(docs), keep_text=True)
-    return scored.filter("predicted = 1").select(*docs.columns)
+    return quality.classify(docs, model, carry=others, keep_text=True).filter("predicted = 1")
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+@_stage
+def near_dedup(spark, docs, others, sf_dir):
     """Keeps one document of each group of near copies."""
-    return simhash_dedup.deduplicated(docs, carry=_others(docs)).select(*docs.columns)
+    return simhash_dedup.deduplicated(docs, carry=others)
 
 
-def repeat_cut(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+@_stage
+def repeat_cut(spark, docs, others, sf_dir):
     """Cuts passages that an earlier document holds; n_chars is counted anew."""
-    cut = substring_dedup.substring_dedup(docs, carry=_others(docs), rejoin=False)
-    return cut.withColumn("text", F.col("kept")).withColumn(
-        "n_chars", F.length("text").cast("long")
-    ).select(*docs.columns)
+    cut = substring_dedup.substring_dedup(docs, carry=others, rejoin=False)
+    return cut.withColumn("text", F.col("kept"))
 
 
-def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+@_stage
+def source_mix(spark, docs, others, sf_dir):
     """Repeats and cuts the documents of each source to its share of words."""
-    mixed = mixing.mix(docs, carry=("text", *_others(docs)))
-    return mixing.repeated(mixed).withColumn(
-        "n_chars", F.length("text").cast("long")
-    ).select(*docs.columns)
+    return mixing.mixed_documents(docs, carry=others)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

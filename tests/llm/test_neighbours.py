@@ -1,0 +1,82 @@
+import numpy as np
+from helpers import SF_DIR, sample
+
+from tidemark.llm.neighbours import Forest, nearest
+from tidemark.llm.queries import op7_neighbours
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def exact(rows, asked, k=20):
+    """The k largest inner products of each query, by comparing everything."""
+    out = {}
+    for q, v in asked:
+        scores = [(-float(np.dot(np.float64(v), np.float64(x))), i) for i, x in rows if i != q]
+        out[q] = [(i, -s) for s, i in sorted(scores)[:k]]
+    return out
+
+
+def test_recall_on_the_given_vectors(spark):
+    rows = [(r["vec_id"], r["embedding"]) for r in sample(spark, "embeddings").collect()]
+    want = exact(rows, [r for r in rows if r[0] % 20 == 0])
+    got = {}
+    for r in op7_neighbours(spark, SF_DIR).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    assert got.keys() == want.keys()
+    hits = 0
+    vectors = dict(rows)
+    for q, ranked in got.items():
+        assert sorted(ranked) == list(range(1, 21))
+        found = [ranked[i] for i in sorted(ranked)]
+        assert found == sorted(found, key=lambda x: (-x[1], x[0]))
+        for i, score in found:
+            dot = np.dot(np.float64(vectors[i]), np.float64(vectors[q]))
+            assert abs(score - dot) < 1e-12 and i != q
+        hits += len({i for i, _ in found} & {i for i, _ in want[q]})
+    assert hits >= 0.9 * 20 * len(want)
+
+
+def test_copies_ties_and_vectors_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, [1.0, 0.0]) for i in range(60)]
+    rows += [(i, [0.5, 0.5]) for i in range(100, 110)]
+    rows += [(200, None), (201, [0.0, 0.0]), (202, [nan, 1.0]), (203, [1.0, None]),
+             (204, [inf, 1.0]), (205, [1.0]), (206, []), (None, [1.0, 1.0]), (5, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS id", "2 AS VEC_ID", "3 AS q")
+    from tidemark.llm.common import take
+    asked = take(df, "vec_id", "embedding").filter("vec_id IN (0, 50, 100, 200, 201, 202)")
+    got = {}
+    for r in nearest(df, asked).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert got[0] == [(i, 1.0) for i in range(1, 21)]
+    assert got[50] == [(i, 1.0) for i in range(20)]
+    assert got[100] == [(i, 0.5) for i in range(20)]
+    assert got.keys() == {0, 50, 100}
+
+
+def test_few_candidates_and_none(spark):
+    few = spark.createDataFrame([(0, [1.0, 2.0]), (1, [2.0, 0.0]), (2, [0.0, 3.0])], SCHEMA)
+    got = [tuple(r) for r in nearest(few, few).orderBy("query_id", "rank").collect()]
+    assert got[:2] == [(0, 1, 2, 6.0), (0, 2, 1, 2.0)] and len(got) == 6
+    none = spark.createDataFrame([], SCHEMA)
+    assert nearest(none, none).collect() == []
+    assert nearest(few, none).collect() == []
+
+
+def test_blocks_change_nothing(spark):
+    df = sample(spark, "embeddings")
+    asked = df.filter("vec_id % 50 = 0")
+    one, two = (sorted(map(tuple, nearest(df, asked, leaves_visited=40, **o).collect()))
+                for o in ({}, {"vectors_per_block": 90, "queries_per_block": 3}))
+    assert one == two
+
+
+def test_all_leaves_are_an_exact_search(spark):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((300, 8)).astype(np.float32)
+    forest = Forest(x, 3, 4)
+    for chosen in forest.visited(x[:20], 3 * 16):
+        assert sorted(chosen) == list(range(48))
+    own = forest.leaves(x[:20])
+    for mine, chosen in zip(own, forest.visited(x[:20], 3)):
+        assert chosen[0] in {16 * t + leaf for t, leaf in enumerate(mine)}

@@ -22,8 +22,9 @@ class Fingerprinter:
 
     The leading bits of a shingle's hash name its bin, and each bin keeps its smallest hash, so
     a text is hashed once. An empty bin asks other bins, in an order that depends on the bin
-    alone, and takes the value of the first that is not empty. Of each value the lowest bits are
-    stored. A text of fewer words than a shingle has one shingle, all its words.
+    alone, and takes the value of the first that is not empty. Each value is scrambled with its
+    bin, so that bins with one value differ by chance alone, and its lowest bits are stored. A
+    text of fewer words than a shingle has one shingle, all its words.
     """
 
     def __init__(self, bins: int = BINS, bits: int = BITS, shingle: int = SHINGLE):
@@ -32,6 +33,7 @@ class Fingerprinter:
         self.bins, self.bits, self.shingle = bins, bits, shingle
         self.shift = np.uint64(64 - bins.bit_length() + 1)
         self.starts = np.arange(bins, dtype=np.uint64) << self.shift
+        self.salt = mixed(np.arange(1, bins + 1, dtype=np.uint64))
         self.asked = np.empty((0, bins), np.int64)
 
     def values(self, text: str | None) -> np.ndarray:
@@ -50,7 +52,8 @@ class Fingerprinter:
             done = hit.any(axis=0)
             source[empty[done]] = asked[hit.argmax(axis=0), np.arange(len(empty))][done]
             empty, tries = empty[~done], tries + 1
-        return (found[first[source]] & np.uint64((1 << self.bits) - 1)).astype(np.uint8)
+        kept = mixed(found[first[source]] ^ self.salt)
+        return (kept & np.uint64((1 << self.bits) - 1)).astype(np.uint8)
 
     def _order(self, tries: int, at_once: int = 64) -> np.ndarray:
         """The bins that each bin asks, a block of tries at a time."""

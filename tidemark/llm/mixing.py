@@ -37,9 +37,36 @@ def mix(
     A null text has size 0, and size 0 takes 0. Null doc_ids and repeated rows count as rows of
     their own; wholly equal rows are interchangeable. An empty table gives no rows.
     """
-    names = list(dict.fromkeys(["doc_id", "text", "source", *carry]))
-    plain = take(docs, *names)
-    kept = [n for n in names if n != "doc_id" and n in carry]
+    mixed = _mix(docs, weights, most_epochs, seed, carry, rows_per_bucket)
+    return mixed.withColumnsRenamed({f"k{i}": name for i, name in enumerate(carry)})
+
+
+def mixed_documents(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: int = MOST_EPOCHS,
+    seed: str = "mix", carry: tuple[str, ...] = (), rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
+    """What ``mix`` takes, as documents: doc_id, text and the carried columns.
+
+    A document has a row per epoch; the last may be its first words only, joined by one space.
+    Documents that the mix does not take have no row.
+    """
+    mixed = _mix(docs, weights, most_epochs, seed, (*carry, "text"), rows_per_bucket)
+    text = f"k{len(carry)}"
+    rest = (F.col("taken") % F.col("size")).cast("int")
+    words = F.slice(F.regexp_extract_all(text, F.lit(WORD), 0), F.lit(1), rest)
+    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    taken = mixed.filter("taken > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    partial = F.col("copy") * F.col("size") > F.col("taken")
+    return taken.select(
+        "doc_id",
+        F.when(partial, F.array_join(words, " ")).otherwise(F.col(text)).alias("text"),
+        *[F.col(f"k{i}").alias(name) for i, name in enumerate(carry)],
+    )
+
+
+def _mix(docs, weights, most_epochs, seed, carry, rows_per_bucket) -> DataFrame:
+    """As ``mix``, with the carried columns still called k0, k1, ..."""
+    plain = take(docs, *dict.fromkeys(["doc_id", "text", "source", *carry]))
     buckets = max(1, -(-docs.count() // rows_per_bucket))
     text = F.coalesce("text", F.lit(""))
     key = F.md5(F.concat_ws(
@@ -48,7 +75,7 @@ def mix(
     lead = F.conv(F.substring(key, 1, 8), 16, 10).cast("long")
     keyed = plain.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        *[F.col(n).alias(f"k{i}") for i, n in enumerate(kept)],
+        *[F.col(n).alias(f"k{i}") for i, n in enumerate(carry)],
         F.coalesce("source", F.lit("")).alias("s"),
         F.col("source").isNull().alias("s_null"),
         word_count().alias("size"),
@@ -78,7 +105,7 @@ def mix(
         .withColumn("start", start)
         .withColumn("epochs", epochs)
         .select(
-            "doc_id", *[F.col(f"k{i}").alias(n) for i, n in enumerate(kept)],
+            "doc_id", *[f"k{i}" for i in range(len(carry))],
             "size", "source_size", "target",
             (F.col("epochs") * F.col("size") + F.greatest(
                 F.lit(0), F.least(F.col("size"), rest)
@@ -129,19 +156,3 @@ def _placed(df: DataFrame, *order: str) -> DataFrame:
     return split.join(starts, "p").withColumn("place", F.col("ahead") + F.col("n")).drop(
         "p", "n", "ahead"
     )
-
-
-def repeated(mixed: DataFrame) -> DataFrame:
-    """The mix as documents: a row per epoch of a document, the last with its first words only.
-
-    Needs ``text`` among the carried columns; drops the columns that ``mix`` adds.
-    """
-    rest = F.col("taken") % F.col("size")
-    words = F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), F.lit(1), rest.cast("int"))
-    copies = mixed.filter("taken > 0").withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int")))
-    )
-    partial = F.col("copy") * F.col("size") > F.col("taken")
-    return copies.withColumn(
-        "text", F.when(partial, F.array_join(words, " ")).otherwise(F.col("text"))
-    ).drop("size", "source_size", "target", "taken", "copy")

@@ -20,6 +20,7 @@ WIDTH = WORDS + SHAPES + PROFILE
 SAMPLE = 4000
 RANK = 64
 NEIGHBOURS = 15
+SHARPNESS = 4
 BLOCK = 512
 
 _SHAPE = bytes(
@@ -155,7 +156,7 @@ def _axes(x: np.ndarray, rank: int, seed: int = 7) -> np.ndarray:
 
 
 def vote(model: Model, found, neighbours: int = NEIGHBOURS) -> np.ndarray:
-    """The mean label of the nearest labelled vectors, weighted by cosine (negative: 0).
+    """The mean label of the nearest labelled vectors, weighted by cosine (negative: 0) ** 4.
 
     The cosines with all labelled vectors are one product per block of documents. Where no
     neighbour has a positive cosine, the score is the mean of all labels.
@@ -168,6 +169,7 @@ def vote(model: Model, found, neighbours: int = NEIGHBOURS) -> np.ndarray:
         k = min(neighbours, near.shape[1])
         top = np.argpartition(near, -k, axis=1)[:, -k:]
         weight = np.maximum(np.take_along_axis(near, top, axis=1), 0).astype(np.float64)
+        weight **= SHARPNESS
         total = weight.sum(axis=1)
         mean = (weight * model.labels[top]).sum(axis=1) / np.where(total > 0, total, 1)
         scores.append(np.where(total > 0, mean, model.base))
