@@ -160,31 +160,95 @@ def test_blocks_give_what_the_reader_gives(
     (tmp_path / "f.csv").write_bytes(messy(seed, line_end, malformed).encode())
     path, columns = str(tmp_path / "f.csv"), schema(spark, "id long, s string, t string")
     assert spark.read.text(path).rdd.getNumPartitions() > 10
-    split = read_delimited(spark, path, columns, corrupt_column="bad", split_above=0)
+    split = read_delimited(spark, path, columns, corrupt_column="bad", split=True)
     whole = read_delimited(spark, path, columns, corrupt_column="bad")
     assert as_rows(split) == as_rows(whole)
     assert len(as_rows(split)) > 50
 
 
-def test_only_large_files_are_read_in_blocks(spark, tmp_path, small_blocks):
+ENDS = {"lf": "\n", "crlf": "\r\n"}
+CASES = {
+    "break in quotes": 'id,s,t{e}1,"a{e}b",c{e}2,"x{e}{e}y",z{e}',
+    "blank first lines": '{e}{e}id,s,t{e}1,a,b{e}',
+    "blank lines between": 'id,s,t{e}{e}1,a,b{e}{e}{e}2,c,d',
+    "short, long and bad": 'id,s,t{e}1{e}2,a,b,c{e}x,a,b{e}3,a,b{e}',
+    "quotes in quotes": 'id,s,t{e}1,"a ""b""{e}""",""{e}',
+    "header only": 'id,s,t{e}',
+}
+
+
+@pytest.mark.parametrize("mode", ["PERMISSIVE", "DROPMALFORMED"])
+@pytest.mark.parametrize("end", list(ENDS))
+def test_split_reads_alike(spark, tmp_path, small_blocks, end, mode):
+    columns = schema(spark, "id long, s string, t string")
+    for i, (case, text) in enumerate(CASES.items()):
+        path = tmp_path / f"{i}.csv"
+        path.write_bytes(text.format(e=ENDS[end]).encode())
+        both = [read_delimited(spark, str(path), columns, mode=mode, split=s)
+                for s in (False, True)]
+        assert as_rows(both[1]) == as_rows(both[0]), case
+        assert both[1].columns == both[0].columns
+    both = [as_rows(read_delimited(spark, str(tmp_path), columns, mode=mode, split=s,
+                                   corrupt_column="bad")) for s in (False, True)]
+    assert both[1] == both[0]
+
+
+def test_mixed_line_ends_read_alike(spark, tmp_path):
+    path = tmp_path / "f.csv"
+    path.write_bytes(b'id,s,t\n1,"a\r\nb",c\n2,x,"y\r\n"\n')
     columns = schema(spark, "id long, s string, t string")
-    for seed in (3, 4):
-        (tmp_path / f"{seed}.csv").write_text(messy(seed, "\n", False))
-    put(tmp_path, "small.csv", 'id,s,t\n1000,"a\nb",c\n')
-    got = read_delimited(spark, str(tmp_path), columns, split_above=100)
-    assert as_rows(got) == as_rows(read_delimited(spark, str(tmp_path), columns))
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "FileScan text" in plan and "FileScan csv" in plan
-    none = read_delimited(spark, str(tmp_path), columns)
-    assert "FileScan text" not in none._jdf.queryExecution().executedPlan().toString()
+    whole, split = (as_rows(read_delimited(spark, str(path), columns, split=s))
+                    for s in (False, True))
+    assert split == whole == [(1, "a\r\nb", "c"), (2, "x", "y\r\n")]
+
+
+@pytest.mark.parametrize("mode", ["PERMISSIVE", "DROPMALFORMED"])
+def test_split_fails_fast_too(spark, tmp_path, mode):
+    path = put(tmp_path, "f.csv", "id,s\nx,1\n")
+    columns = schema(spark, "id long, s string")
+    for split in (False, True):
+        assert len(as_rows(read_delimited(spark, path, columns, mode=mode, split=split))) == (
+            mode == "PERMISSIVE")
+        with pytest.raises(Exception):
+            read_delimited(spark, path, columns, mode="FAILFAST", split=split).collect()
+
+
+@pytest.mark.parametrize("text, said", [
+    (b'id,s\n1,a\n2,"b\n3,c\n', "never closed"),
+    (b"id,s\r1,a\r", "carriage return"),
+])
+def test_split_refuses_and_names_the_file(spark, tmp_path, text, said):
+    (tmp_path / "odd.csv").write_bytes(text)
+    columns = schema(spark, "id long, s string")
+    with pytest.raises(Exception, match=said) as error:
+        read_delimited(spark, str(tmp_path), columns, split=True).collect()
+    assert "odd.csv" in str(error.value)
+
+
+def test_a_stray_quote_is_not_collected(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.sources.records.LONGEST", 100)
+    path = put(tmp_path, "f.csv", 'id,s\n1,"a\n' + "x,y\n" * 100 + '2,b"\n')
+    with pytest.raises(Exception, match="too long"):
+        read_delimited(spark, path, schema(spark, "id long, s string"), split=True).collect()
+
+
+def test_splitting_is_a_choice(spark, tmp_path):
+    columns = schema(spark, "id long, s string")
+    path = put(tmp_path, "f.csv", "id,s\n1,a\n")
+    for split, scan in ((False, "FileScan csv"), (True, "FileScan text")):
+        plan = read_delimited(spark, path, columns, split=split)
+        assert scan in plan._jdf.queryExecution().executedPlan().toString()
+    for options in ({"escape": "\\"}, {"multi_line": False}):
+        with pytest.raises(ValueError, match="split"):
+            read_delimited(spark, path, columns, split=True, **options)
 
 
 def test_blocks_check_the_header_too(spark, tmp_path):
     path = put(tmp_path, "h.csv", "a,id\nx,1\n")
     columns = schema(spark, "id int, a string")
     with pytest.raises(Exception, match="header"):
-        read_delimited(spark, path, columns, split_above=0).collect()
-    fitting = read_delimited(spark, path, schema(spark, "a string, id int"), split_above=0)
+        read_delimited(spark, path, columns, split=True).collect()
+    fitting = read_delimited(spark, path, schema(spark, "a string, id int"), split=True)
     assert as_rows(fitting) == [("x", 1)]
 
 

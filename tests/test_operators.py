@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import (
+    enrich,
     EmptyTableError,
     best_of,
     duplicate_keys,
@@ -342,3 +343,10 @@ def test_duplicate_keys(spark):
     rows = [(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")]
     df = spark.createDataFrame(rows, "k int, p string")
     assert tuples(duplicate_keys(df, ["k"])) == sorted([(1, 2), (None, 2)], key=repr)
+
+
+def test_enrich_takes_no_more_rows_than_it_says(spark):
+    long = spark.range(50).withColumnRenamed("id", "k")
+    dim = long.withColumn("name", F.lit("n"))
+    assert enrich(long, dim, "k", ["name"], 3).count() == 3
+    assert enrich(long, dim, "k", ["name"], 50).count() == 50

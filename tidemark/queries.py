@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark import standins
 from tidemark.functions import (
@@ -19,6 +21,7 @@ from tidemark.functions import (
     legacy_timestamp_invalid,
 )
 from tidemark.operators import (
+    EmptyTableError,
     best_of,
     duplicate_keys,
     enrich,
@@ -30,8 +33,17 @@ from tidemark.operators import (
     top_k_enriched,
     upsert,
 )
-from tidemark.plans import AUTHOR_LISTS, BOOK_LISTS, refresh
-from tidemark.schemas import DOUBLE, INT, LONG, TEXT, TIME, TableSpec, _schema
+from tidemark.plans import AUTHOR_LISTS, BOOK_LISTS, KeyLists, refresh, refresh_lists
+from tidemark.schemas import (
+    BEST_BOOKS_INTEGER,
+    DOUBLE,
+    INT,
+    LONG,
+    TEXT,
+    TIME,
+    TableSpec,
+    struct,
+)
 from tidemark.session import scratch_path
 from tidemark.sinks import Database, write_processed
 from tidemark.sources import read_delimited, read_processed
@@ -219,7 +231,7 @@ def best_books_bigint(spark: SparkSession, sf: str) -> DataFrame:
 
 
 NATIONS = TableSpec(
-    "best", _schema(nation_key=LONG, average=DOUBLE, lines=LONG, nation=TEXT), key="nation_key"
+    "best", struct(nation_key=LONG, average=DOUBLE, lines=LONG, nation=TEXT), key="nation_key"
 )
 
 
@@ -267,6 +279,28 @@ def dq_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     return row_counts(tables)
 
 
+@register("""
+    SELECT 'rows' AS what, count(*) + (SELECT count(*) FROM orders WHERE o_orderkey % 3 = 0) AS n
+    FROM orders
+    UNION ALL
+    SELECT 'repeated keys', count(*) FROM orders WHERE o_orderkey % 3 = 0
+""")
+def dq_collected_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Checks on a table that collects upserts, after a batch that repeats its keys."""
+    orders = _table(spark, sf, "orders")
+    twice = orders.where("o_orderkey % 3 = 0")
+    tables = _database(spark, "checked", fold_at=100.0).create(ORDERS)
+    tables.replace("orders", orders)
+    tables.upsert("orders", twice.unionAll(twice))
+    if tables.is_empty("orders"):
+        raise EmptyTableError("orders has no rows")
+    rows = tables.read("orders")
+    repeated = duplicate_keys(rows, [ORDERS.key]).agg(F.count("*").alias("n"))
+    return row_counts({"rows": rows}).withColumnRenamed("t", "what").unionAll(
+        repeated.select(F.lit("repeated keys"), "n")
+    )
+
+
 # ---------------------------------------------------------------- text and legacy dates
 
 
@@ -347,21 +381,25 @@ def clean_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 UPSERT_ORDERS_SQL = """
-    SELECT * FROM orders
-    WHERE o_orderkey % 2 = 0 AND o_orderkey NOT IN (
-        SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0
-    )
+    SELECT * FROM orders WHERE o_orderkey % 3 <> 0
     UNION ALL
     SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice, o_orderdate,
            o_orderpriority
     FROM orders WHERE o_orderkey % 3 = 0
+    UNION ALL
+    SELECT -o_orderkey, o_custkey, 'N' AS o_orderstatus, o_totalprice, o_orderdate,
+           o_orderpriority
+    FROM orders WHERE o_orderkey % 3 = 0
 """
 
 
 def _upsert_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """All orders, and a batch: a third of them changed, and as many under new keys."""
     orders = _table(spark, sf, "orders")
-    batch = orders.where("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("U"))
-    return orders.where("o_orderkey % 2 = 0"), batch
+    some = orders.where("o_orderkey % 3 = 0")
+    changed = some.withColumn("o_orderstatus", F.lit("U"))
+    new = some.withColumn("o_orderstatus", F.lit("N")).withColumn("o_orderkey", -F.col("o_orderkey"))
+    return orders, changed.unionByName(new)
 
 
 @register(UPSERT_ORDERS_SQL)
@@ -372,7 +410,7 @@ def upsert_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 ORDERS = TableSpec(
     "orders",
-    _schema(
+    struct(
         o_orderkey=LONG, o_custkey=LONG, o_orderstatus=TEXT, o_totalprice=DOUBLE,
         o_orderdate=TIME, o_orderpriority=TEXT,
     ),
@@ -384,14 +422,18 @@ ORDERS = TableSpec(
 
 @register(UPSERT_ORDERS_SQL)
 def upsert_orders_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """The same through tables: the batch replaces staging, staging is upserted."""
+    """The same through tables: the batch replaces staging, staging is upserted.
+
+    The tables are read through another object than the one that wrote them.
+    """
     target, batch = _upsert_sides(spark, sf)
     staging = _database(spark, "staging").create(ORDERS)
-    warehouse = _database(spark, "warehouse").create(ORDERS)
+    root = scratch_path(spark, "warehouse")
+    warehouse = Database(spark, "warehouse", root).create(ORDERS)
     warehouse.replace("orders", target)
     staging.replace("orders", batch)
-    warehouse.upsert("orders", staging.read("orders"))
-    return warehouse.read("orders")
+    Database(spark, "warehouse", root).upsert("orders", staging.read("orders"))
+    return Database(spark, "warehouse", root).read("orders")
 
 
 @register(UPSERT_ORDERS_SQL)
@@ -411,7 +453,7 @@ def upsert_orders_collected(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def bucketed_orders(spark: SparkSession, sf: str) -> DataFrame:
     """A table bucketed by the grouping key: no shuffle in the aggregation."""
-    tables = _database(spark, "bucketed", buckets=8).create(ORDERS)
+    tables = _database(spark, "bucketed", buckets=True).create(ORDERS)
     tables.replace("orders", _table(spark, sf, "orders"))
     return tables.read("orders").groupBy("o_custkey").agg(
         F.count("o_orderkey").alias("n"), F.max("o_orderdate").alias("newest")
@@ -444,14 +486,20 @@ def csv_roundtrip_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("""
-    SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents
+    SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars, reader
+    FROM documents CROSS JOIN (VALUES ('whole'), ('split')) AS r(reader)
 """)
 def csv_split_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """The same text from files that are read in blocks, whatever their size."""
+    """The same files read whole, a task each, and split among tasks."""
     documents = _table(spark, sf, "documents")
     path = scratch_path(spark, "csv_split_documents")
     documents.write.option("header", True).option("escape", '"').csv(path)
-    return read_delimited(spark, path, documents.schema, split_above=0)
+    whole, split = (
+        read_delimited(spark, path, documents.schema, split=s) for s in (False, True)
+    )
+    return whole.withColumn("reader", F.lit("whole")).unionAll(
+        split.withColumn("reader", F.lit("split"))
+    )
 
 
 @register("""
@@ -470,11 +518,18 @@ def csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
 @register("""
     SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_name END AS name,
            CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_nationkey END AS nation,
-           c_custkey % 3 <> 2 AS malformed
-    FROM customer
+           c_custkey % 3 <> 2 AS malformed, reader
+    FROM customer CROSS JOIN (VALUES ('lines'), ('split')) AS r(reader)
+    UNION ALL
+    SELECT c_custkey, c_name, c_nationkey, FALSE, reader FROM customer
+    CROSS JOIN (VALUES ('lines, dropping'), ('split, dropping')) AS r(reader)
+    WHERE c_custkey % 3 = 2
 """)
 def csv_malformed(spark: SparkSession, sf: str) -> DataFrame:
-    """Short records are filled with null, surplus fields dropped, and both are kept apart."""
+    """Short records are filled with null, surplus fields dropped, and both are kept apart.
+
+    Or such records are left out; each by both ways of reading.
+    """
     path = scratch_path(spark, "csv_malformed")
     kind = F.col("c_custkey") % 3
     line = (
@@ -483,11 +538,15 @@ def csv_malformed(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.concat_ws(",", "c_custkey", "c_name", "c_nationkey"))
     )
     _table(spark, sf, "customer").select(line.alias("value")).write.text(path)
-    schema = _schema(id=LONG, name=TEXT, nation=INT)
-    read = read_delimited(
-        spark, path, schema, header=False, corrupt_column="malformed", multi_line=False
-    )
-    return read.withColumn("malformed", F.col("malformed").isNotNull())
+    schema = struct(id=LONG, name=TEXT, nation=INT)
+    return reduce(DataFrame.unionAll, (
+        read_delimited(
+            spark, path, schema, header=False, corrupt_column="malformed", mode=mode, **how
+        ).select("id", "name", "nation", F.col("malformed").isNotNull().alias("malformed"),
+                 F.lit(name + label).alias("reader"))
+        for mode, label in (("PERMISSIVE", ""), ("DROPMALFORMED", ", dropping"))
+        for name, how in (("lines", {"multi_line": False}), ("split", {"split": True}))
+    ))
 
 
 @register("""
@@ -507,18 +566,33 @@ def csv_author_escape(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- incremental pick-up
 
 
-@register(UPSERT_ORDERS_SQL)
+LANDED_ORDERS = TableSpec(
+    "orders",
+    StructType([*ORDERS.schema, *struct(drop_ms=LONG)]),
+    key="o_orderkey",
+    raw_name="order",
+    added=("drop_ms",),
+)
+
+
+@register(f"""
+    SELECT *, CASE WHEN o_orderstatus IN ('U', 'N') THEN 1596893767990 ELSE 1596807367990 END
+        AS drop_ms
+    FROM ({UPSERT_ORDERS_SQL})
+""")
 def landing_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Two drops that arrive one after the other, each picked up once and upserted."""
     target, batch = _upsert_sides(spark, sf)
     landing = scratch_path(spark, "landing")
     checkpoint = scratch_path(spark, "landing_checkpoint")
-    staging = _database(spark, "staging").create(ORDERS)
-    warehouse = _database(spark, "landed").create(ORDERS)
+    staging = _database(spark, "staging").create(LANDED_ORDERS)
+    warehouse = _database(spark, "landed").create(LANDED_ORDERS)
     for stamp, drop in ((1596807367990, target), (1596893767990, batch)):
-        drop.write.option("header", True).csv(f"{landing}/order_{stamp}.csv")
+        drop.write.option("header", True).option("maxRecordsPerFile", standins.ROWS_PER_FILE).csv(
+            f"{landing}/order_{stamp}.csv"
+        )
         ingest(
-            spark, landing, ORDERS, staging, warehouse, checkpoint,
+            spark, landing, LANDED_ORDERS, staging, warehouse, checkpoint,
             clean=lambda rows: latest(rows, ["o_orderkey"], "o_orderdate"),
         )
     return warehouse.read("orders")
@@ -527,81 +601,109 @@ def landing_orders(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- the whole refresh
 
 
-def _refreshed(spark: SparkSession, sf: str) -> Database:
+def _refreshed(spark: SparkSession, sf: str, k: int = 10) -> tuple[Database, Database]:
+    """The warehouse and the analytics tables of a whole refresh."""
     source = scratch_path(spark, "raw")
     standins.write_raw(spark, sf, source)
-    analytics = _database(spark, "analytics")
+    warehouse, analytics = _database(spark, "warehouse"), _database(spark, "analytics")
     refresh(
         spark, source=source, processed=scratch_path(spark, "processed"),
-        staging=_database(spark, "staging"), warehouse=_database(spark, "warehouse"),
-        analytics=analytics, low=LOW, high=HIGH,
+        staging=_database(spark, "staging"), warehouse=warehouse, analytics=analytics,
+        low=LOW, high=HIGH, k=k,
     )
-    return analytics
+    return warehouse, analytics
 
 
-REFRESHED_AUTHORS_SQL = standins.LATEST_REVIEWS_SQL + f"""
+def _labelled(*parts: tuple[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionAll, (df.select(F.lit(name).alias("list"), *df.columns)
+                                       for name, df in parts))
+
+
+@register(standins.LATEST_REVIEWS_SQL + f"""
     , listed AS (
-        SELECT author_id, {{metric}} AS m FROM reviews WHERE
+        SELECT author_id, count(review_id) AS m FROM reviews WHERE
         record_create_timestamp > TIMESTAMP '{LOW}'
         AND record_create_timestamp < TIMESTAMP '{HIGH}'
         GROUP BY author_id ORDER BY m DESC, author_id LIMIT 10
     )
-    SELECT l.author_id, l.m AS {{name}}, s.s_name AS name, 'supplier' AS role,
+    SELECT l.author_id, l.m AS review_count, s.s_name AS name, 'supplier' AS role,
            'https://example.org/author/' || s.s_suppkey AS profile_url,
            s.s_acctbal AS average_rating, s.s_nationkey AS rating_count,
            CAST(NULL AS INTEGER) AS text_review_count,
            TIMESTAMP '2020-07-02 00:00:00' AS record_create_timestamp
     FROM listed l JOIN supplier s ON l.author_id = s.s_suppkey
-"""
-
-
-@register(REFRESHED_AUTHORS_SQL.format(metric="count(review_id)", name="review_count"))
+""")
 def refreshed_popular_authors(spark: SparkSession, sf: str) -> DataFrame:
     """Raw files to analytics tables; the most reviewed authors at the end of it."""
-    return _refreshed(spark, sf).read(AUTHOR_LISTS.by_count.name)
+    return _refreshed(spark, sf)[1].read(AUTHOR_LISTS.by_count.name)
 
 
-@register(REFRESHED_AUTHORS_SQL.format(
-    metric="avg(review_rating)", name="average_review_rating"
-))
-def refreshed_best_rated_authors(spark: SparkSession, sf: str) -> DataFrame:
-    return _refreshed(spark, sf).read(AUTHOR_LISTS.by_rating.name)
-
+# Long enough that keys are in both lists at every size of the supplied tables.
+LONG_LIST = 100
 
-@register(standins.LATEST_REVIEWS_SQL + f"""
+LISTS_SQL = standins.LATEST_REVIEWS_SQL + f"""
     , windowed AS (
         SELECT * FROM reviews WHERE record_create_timestamp > TIMESTAMP '{LOW}'
         AND record_create_timestamp < TIMESTAMP '{HIGH}'
     ), by_count AS (
-        SELECT book_id, count(review_id) AS review_count FROM windowed
-        GROUP BY book_id ORDER BY 2 DESC, 1 LIMIT 10
+        SELECT {{key}} AS id, count(review_id) AS n FROM windowed
+        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {LONG_LIST}
     ), by_rating AS (
-        SELECT book_id, avg(review_rating) AS average_reviews_rating FROM windowed
-        GROUP BY book_id ORDER BY 2 DESC, 1 LIMIT 10
+        SELECT {{key}} AS id, avg(review_rating) AS rating FROM windowed
+        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {LONG_LIST}
+    ), best AS (
+        SELECT id, rating, n FROM by_rating JOIN by_count USING (id)
+    ), lists AS (
+        SELECT 'count' AS list, id, CAST(NULL AS DOUBLE) AS rating, n FROM by_count
+        UNION ALL SELECT 'rating', id, rating, NULL FROM by_rating
+        UNION ALL SELECT 'best', id, rating, n FROM best
+        {{more}}
     )
-    SELECT 'count' AS list, book_id, CAST(review_count AS DOUBLE) AS metric, p_name AS title
-    FROM by_count JOIN part ON book_id = p_partkey
-    UNION ALL
-    SELECT 'rating', book_id, average_reviews_rating, p_name
-    FROM by_rating JOIN part ON book_id = p_partkey
-    UNION ALL
-    SELECT 'best', book_id, average_reviews_rating, p_name
-    FROM by_rating JOIN by_count USING (book_id) JOIN part ON book_id = p_partkey
-""")
+    SELECT list, id, rating, n, {{name}} AS name FROM lists JOIN {{dim}} ON id = {{dim_key}}
+"""
+
+
+def _lists_of(analytics: Database, lists: KeyLists, name: str) -> list[tuple[str, DataFrame]]:
+    """The three tables of a key, each with all of: id, rating, number of reviews, name."""
+    found = []
+    for label, spec in (("count", lists.by_count), ("rating", lists.by_rating),
+                        ("best", lists.best)):
+        has = spec.columns
+        found.append((label, analytics.read(spec.name).select(
+            F.col(lists.key).alias("id"),
+            F.col(lists.rating).cast("double").alias("rating")
+            if lists.rating in has else F.lit(None).cast("double").alias("rating"),
+            F.col("review_count").alias("n")
+            if "review_count" in has else F.lit(None).cast("long").alias("n"),
+            F.col(name).alias("name"),
+        )))
+    return found
+
+
+@register(LISTS_SQL.format(
+    key="author_id", more="", name="s_name", dim="supplier", dim_key="s_suppkey"
+))
+def refreshed_best_rated_authors(spark: SparkSession, sf: str) -> DataFrame:
+    """The three author tables after a refresh with long lists, one below the other."""
+    _, analytics = _refreshed(spark, sf, LONG_LIST)
+    return _labelled(*_lists_of(analytics, AUTHOR_LISTS, "name"))
+
+
+@register(LISTS_SQL.format(
+    key="book_id", name="p_name", dim="part", dim_key="p_partkey",
+    more="UNION ALL SELECT 'best in whole numbers', id, round_even(rating, 0), n FROM best",
+))
 def refreshed_book_lists(spark: SparkSession, sf: str) -> DataFrame:
-    """The three book tables after a refresh, one below the other."""
-    analytics = _refreshed(spark, sf)
-    parts = (
-        ("count", BOOK_LISTS.by_count.name, F.col("review_count").cast("double")),
-        ("rating", BOOK_LISTS.by_rating.name, F.col(BOOK_LISTS.rating)),
-        ("best", BOOK_LISTS.best.name, F.col(BOOK_LISTS.rating)),
+    """The three book tables after a refresh with long lists, the shared one in both its types.
+
+    The second refresh of the lists finds a shared table with an integer average.
+    """
+    warehouse, analytics = _refreshed(spark, sf, LONG_LIST)
+    whole = _database(spark, "analytics").create(
+        BOOK_LISTS.by_count, BOOK_LISTS.by_rating, BEST_BOOKS_INTEGER
     )
-    first, *others = (
-        analytics.read(table).select(
-            F.lit(label).alias("list"), "book_id", metric.alias("metric"), "title"
-        )
-        for label, table, metric in parts
+    refresh_lists(warehouse, whole, BOOK_LISTS, LOW, HIGH, k=LONG_LIST)
+    *_, (_, rounded) = _lists_of(whole, BOOK_LISTS, "title")
+    return _labelled(
+        *_lists_of(analytics, BOOK_LISTS, "title"), ("best in whole numbers", rounded)
     )
-    for other in others:
-        first = first.unionAll(other)
-    return first

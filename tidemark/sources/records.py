@@ -1,4 +1,4 @@
-"""Records with line breaks inside quotes, from files too large for one task.
+"""Records with line breaks inside quotes, from files that one task is not to read alone.
 
 Spark's own reader hands such a file to a single task, because where a record ends depends on
 all quotes before it. Here the file is read as lines, in blocks like any splittable text:
@@ -10,7 +10,10 @@ all quotes before it. Here the file is read as lines, in blocks like any splitta
 3. Lines that begin and end outside are records. The others are put together, by the line that
    opened them, before Spark's CSV expression parses each record.
 
-Only the dialect that escapes a quote by doubling it is covered.
+Only the dialect that escapes a quote by doubling it is covered. A file's first line tells its
+line end, as it does for Spark's reader: after ``\\r\\n``, such pairs within quotes become ``\\n``.
+Refused are files whose lines end in ``\\r`` alone, quotes that are never closed, and records of
+more than LONGEST characters, which a stray quote makes.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 _RECORD = "_record"
+LONGEST = 1 << 26
 
 
 def _line_maps(line: Column, separator: str, quote: str) -> tuple[Column, Column]:
@@ -36,7 +40,7 @@ def _line_maps(line: Column, separator: str, quote: str) -> tuple[Column, Column
     return from_outside, from_inside
 
 
-def _lines(spark: SparkSession, paths: list[str], separator: str, quote: str) -> DataFrame:
+def _lines(spark: SparkSession, paths: str | list[str], separator: str, quote: str) -> DataFrame:
     """Lines in their place, with the combined map from the block's start to their end.
 
     A map is a constant state, in ``fixed``, or else changes the state if ``flips`` is odd.
@@ -70,8 +74,17 @@ def _before(column: str, default: int | None, window) -> Column:
     return F.lag(column, 1, default).over(window)
 
 
+def _blank(value: Column) -> Column:
+    return value.isin("", "\r")
+
+
+def _refuse_if(condition: Column, *message) -> Column:
+    """True, or an error that says why."""
+    return F.when(~condition, F.lit(True)).otherwise(F.raise_error(F.concat(*message)))
+
+
 def _blocks(lines: DataFrame) -> DataFrame:
-    """Per block: its state at the start, and the record that is open then.
+    """Per block: its state at the start, the record that is open then, what its file is like.
 
     One row per block of a file meets in one task here, never its lines.
     """
@@ -83,11 +96,12 @@ def _blocks(lines: DataFrame) -> DataFrame:
 
     def records(start: int) -> Column:
         state = _state(F.col("fixed_before"), F.col("flips_before"), F.lit(start))
-        return F.count_if(state == 0)
+        return F.count_if((state == 0) & ~_blank(F.col("value")))
 
     summed = placed.groupBy("file", "block").agg(
         F.max_by("fixed", "line").alias("fixed"),
         F.max_by("flips", "line").alias("flips"),
+        F.min_by("value", "line").alias("head"),
         records(0).alias("records_outside"),
         records(1).alias("records_inside"),
     )
@@ -105,8 +119,22 @@ def _blocks(lines: DataFrame) -> DataFrame:
         F.when(F.col("start") == 0, F.col("records_outside")).otherwise(F.col("records_inside")),
     )
     opened = F.when(F.col("records") > 0, F.struct("block", "records"))
-    return started.select(
-        "file", "block", "start", F.last(opened, ignorenulls=True).over(earlier).alias("opened")
+    holding = F.when(F.col("records") > 0, F.col("block"))
+    whole = Window.partitionBy("file")
+    described = started.select(
+        "file", "block", "start", F.last(opened, ignorenulls=True).over(earlier).alias("opened"),
+        F.first("head").over(so_far).alias("head"),
+        F.min(holding).over(whole).alias("header_block"),
+        (F.lead("block").over(in_file).isNull() & (F.col("end") == 1)).alias("unclosed"),
+    )
+    return described.where(
+        _refuse_if(F.col("unclosed"), F.lit("a quote is never closed in "), F.col("file"))
+    ).where(
+        _refuse_if(F.col("head").rlike("\r(?!\\z)"),
+                   F.lit("lines end in a carriage return alone in "), F.col("file"))
+    ).select(
+        "file", "block", "start", "opened", "header_block",
+        F.col("head").endswith("\r").alias("pairs"),
     )
 
 
@@ -114,32 +142,44 @@ def _records(lines: DataFrame) -> DataFrame:
     """One row per record: file, block and number of its first line, and its text."""
     in_block = Window.partitionBy("file", "block").orderBy("line")
     so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = lines.join(_blocks(lines), ["file", "block"])
+    placed = lines.join(_blocks(lines), ["file", "block"]).withColumn(
+        "value",
+        F.when(F.col("pairs"), F.regexp_replace("value", r"\r\z", "")).otherwise(F.col("value")),
+    )
     ends = _state(F.col("fixed"), F.col("flips"), F.col("start"))
     placed = placed.withColumn("ends", ends)
     begins = F.coalesce(_before("ends", None, in_block), F.col("start"))
     placed = placed.withColumn("begins", begins)
-    placed = placed.withColumn("number", F.count_if(F.col("begins") == 0).over(so_far))
+    begun = (F.col("begins") == 0) & ~_blank(F.col("value"))
+    placed = placed.withColumn("number", F.count_if(begun).over(so_far))
     whole = (F.col("begins") == 0) & (F.col("ends") == 0)
-    single = placed.where(whole).select("file", "block", "number", F.col("value").alias(_RECORD))
+    single = placed.where(whole).select(
+        "file", "block", "number", "header_block", F.col("value").alias(_RECORD)
+    )
     # Lines at the head of a block may belong to a record that an earlier block opened.
     headless = F.col("number") == 0
     pieces = placed.where(~whole).select(
-        "file",
+        "file", "header_block",
         F.when(headless, F.col("opened.block")).otherwise(F.col("block")).alias("at"),
         F.when(headless, F.col("opened.records")).otherwise(F.col("number")).alias("number"),
         F.struct("block", "line", "value").alias("piece"),
     )
+    name = ["file", "at", "number"]
+    # Sizes are added up before any line is collected.
+    sizes = pieces.groupBy(*name).agg(F.sum(F.length("piece.value") + 1).alias("size"))
+    bounded = pieces.join(sizes, name).where(_refuse_if(
+        F.col("size") > LONGEST, F.lit("a record is too long (a stray quote?) in "), F.col("file")
+    ))
     pieces_in_order = F.array_sort(F.collect_list("piece"))
-    joined = pieces.groupBy("file", "at", "number").agg(
+    joined = bounded.groupBy(*name, "header_block").agg(
         F.array_join(F.transform(pieces_in_order, lambda p: p["value"]), "\n").alias(_RECORD)
-    )
-    return single.unionAll(joined)
+    ).select(*name, "header_block", _RECORD)
+    return single.unionAll(joined).where(F.col(_RECORD) != "")
 
 
 def read_split(
     spark: SparkSession,
-    paths: list[str],
+    paths: str | list[str],
     schema: StructType,
     *,
     header: bool = True,
@@ -150,21 +190,27 @@ def read_split(
 ) -> DataFrame:
     """What Spark's reader gives with ``multiLine``, with each file read by many tasks."""
     options = {"sep": separator, "quote": quote, "escape": quote, "mode": mode}
-    records = _records(_lines(spark, paths, separator, quote)).withColumn(
-        _RECORD, F.regexp_replace(_RECORD, r"\r\z", "")
-    )
+    dropping = mode.upper() == "DROPMALFORMED"
+    if dropping:
+        # What is malformed is known by the text that is then kept of it.
+        options["mode"] = "PERMISSIVE"
+    records = _records(_lines(spark, paths, separator, quote))
     if header:
         names = StructType([StructField(f"_{i}", StringType()) for i in range(len(schema))])
         found = F.from_csv(_RECORD, names.simpleString()[7:-1].replace(":", " "), options)
         wanted = F.struct(*(F.lit(f.name).alias(f"_{i}") for i, f in enumerate(schema)))
         refused = F.raise_error(F.concat(F.lit("header does not fit the schema: "), _RECORD))
-        first = (F.col("block") == 0) & (F.col("number") == 1)
+        first = (F.col("block") == F.col("header_block")) & (F.col("number") == 1)
         records = records.where(
             F.when(~first, F.lit(True)).when(found == wanted, F.lit(False)).otherwise(refused)
         )
-    if corrupt_column is not None:
-        schema = StructType([*schema, StructField(corrupt_column, StringType())])
-        options["columnNameOfCorruptRecord"] = corrupt_column
+    kept = corrupt_column or ("_malformed" if dropping else None)
+    if kept is not None:
+        schema = StructType([*schema, StructField(kept, StringType())])
+        options["columnNameOfCorruptRecord"] = kept
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     parsed = F.from_csv(_RECORD, ddl, options).alias("parsed")
-    return records.where(F.col(_RECORD) != "").select(parsed).select("parsed.*")
+    rows = records.select(parsed).select("parsed.*")
+    if dropping:
+        rows = rows.where(F.col(kept).isNull())
+    return rows if corrupt_column is not None or not dropping else rows.drop(kept)
