@@ -38,6 +38,8 @@ class TableSpec:
     raw_name: str | None = None
     raw_escape: str = '"'
     raw_text: tuple[str, ...] = field(default=())
+    # Columns that the pick-up adds, which the raw file does not have.
+    added: tuple[str, ...] = field(default=())
 
     @property
     def columns(self) -> list[str]:
@@ -47,11 +49,11 @@ class TableSpec:
     def raw_schema(self) -> StructType:
         return StructType([
             StructField(f.name, TEXT if f.name in self.raw_text else f.dataType)
-            for f in self.schema
+            for f in self.schema if f.name not in self.added
         ])
 
 
-def _schema(**columns: DataType) -> StructType:
+def struct(**columns: DataType) -> StructType:
     return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
@@ -70,7 +72,7 @@ BOOK_ATTRIBUTES = dict(
 
 AUTHORS = TableSpec(
     "authors",
-    _schema(author_id=LONG, **AUTHOR_ATTRIBUTES),
+    struct(author_id=LONG, **AUTHOR_ATTRIBUTES),
     key="author_id",
     distribute_on="author_id",
     raw_name="author",
@@ -78,7 +80,7 @@ AUTHORS = TableSpec(
 )
 REVIEWS = TableSpec(
     "reviews",
-    _schema(
+    struct(
         review_id=LONG, user_id=LONG, book_id=LONG, author_id=LONG, review_text=TEXT,
         review_rating=DOUBLE, review_votes=INT, spoiler_flag=BOOL, spoiler_state=TEXT,
         review_added_date=TIME, review_updated_date=TIME, review_read_count=INT,
@@ -92,7 +94,7 @@ REVIEWS = TableSpec(
 )
 BOOKS = TableSpec(
     "books",
-    _schema(
+    struct(
         book_id=LONG, title=TEXT, title_without_series=TEXT, image_url=TEXT, book_url=TEXT,
         num_pages=INT, format=TEXT, edition_information=TEXT, publisher=TEXT,
         publication_day=SHORT, publication_year=SHORT, publication_month=SHORT,
@@ -104,7 +106,7 @@ BOOKS = TableSpec(
 )
 USERS = TableSpec(
     "users",
-    _schema(
+    struct(
         user_id=LONG, user_name=TEXT, user_display_name=TEXT, location=TEXT, profile_link=TEXT,
         uri=TEXT, user_image_url=TEXT, small_image_url=TEXT, has_image=BOOL,
         record_create_timestamp=TIME,
@@ -116,19 +118,19 @@ WAREHOUSE_TABLES = (AUTHORS, REVIEWS, BOOKS, USERS)
 
 POPULAR_AUTHORS_COUNT = TableSpec(
     "popular_authors_review_count",
-    _schema(author_id=LONG, review_count=LONG, **AUTHOR_ATTRIBUTES),
+    struct(author_id=LONG, review_count=LONG, **AUTHOR_ATTRIBUTES),
     key="author_id",
     distribute_on="author_id",
 )
 POPULAR_AUTHORS_RATING = TableSpec(
     "popular_authors_average_rating",
-    _schema(author_id=LONG, average_review_rating=DOUBLE, **AUTHOR_ATTRIBUTES),
+    struct(author_id=LONG, average_review_rating=DOUBLE, **AUTHOR_ATTRIBUTES),
     key="author_id",
     distribute_on="author_id",
 )
 BEST_AUTHORS = TableSpec(
     "best_authors",
-    _schema(
+    struct(
         author_id=LONG, review_count=LONG, average_review_rating=DOUBLE, **AUTHOR_ATTRIBUTES,
     ),
     key="author_id",
@@ -136,17 +138,17 @@ BEST_AUTHORS = TableSpec(
 )
 POPULAR_BOOKS_COUNT = TableSpec(
     "popular_books_review_count",
-    _schema(book_id=LONG, review_count=LONG, **BOOK_ATTRIBUTES),
+    struct(book_id=LONG, review_count=LONG, **BOOK_ATTRIBUTES),
     key="book_id",
 )
 POPULAR_BOOKS_RATING = TableSpec(
     "popular_books_average_rating",
-    _schema(book_id=LONG, average_reviews_rating=DOUBLE, **BOOK_ATTRIBUTES),
+    struct(book_id=LONG, average_reviews_rating=DOUBLE, **BOOK_ATTRIBUTES),
     key="book_id",
 )
 BEST_BOOKS = TableSpec(
     "best_books",
-    _schema(
+    struct(
         book_id=LONG, average_reviews_rating=DOUBLE, review_count=LONG, **BOOK_ATTRIBUTES,
     ),
     key="book_id",
@@ -155,7 +157,7 @@ BEST_BOOKS = TableSpec(
 # fraction is the default; this variant holds the half-even rounded value instead.
 BEST_BOOKS_INTEGER = TableSpec(
     "best_books",
-    _schema(
+    struct(
         book_id=LONG, average_reviews_rating=LONG, review_count=LONG, **BOOK_ATTRIBUTES,
     ),
     key="book_id",

@@ -1,4 +1,5 @@
+from tidemark.sinks.manifest import ConcurrentChangeError
 from tidemark.sinks.processed import write_processed
 from tidemark.sinks.tables import Database
 
-__all__ = ["Database", "write_processed"]
+__all__ = ["ConcurrentChangeError", "Database", "write_processed"]

@@ -1,0 +1,137 @@
+"""The current state of a table as a numbered file beside its data."""
+
+from __future__ import annotations
+
+import json
+import uuid
+from dataclasses import asdict, dataclass, replace
+
+from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
+
+from tidemark.schemas import TableSpec
+
+
+class ConcurrentChangeError(RuntimeError):
+    """Another writer changed the table since this one looked at it."""
+
+
+@dataclass(frozen=True)
+class Folder:
+    """A folder of rows; ``buckets`` of the table's distribution column, if any."""
+
+    path: str
+    buckets: int | None = None
+
+
+@dataclass(frozen=True)
+class Manifest:
+    version: int
+    schema: str
+    key: str
+    distribute_on: str | None = None
+    sort_by: str | None = None
+    base: tuple[Folder, ...] = ()
+    recent: tuple[Folder, ...] = ()
+    dropped: bool = False
+
+    @classmethod
+    def of(cls, spec: TableSpec, version: int = 0) -> Manifest:
+        return cls(version, spec.schema.json(), spec.key, spec.distribute_on, spec.sort_by)
+
+    def spec(self, name: str) -> TableSpec:
+        schema = StructType.fromJson(json.loads(self.schema))
+        return TableSpec(name, schema, self.key, self.distribute_on, self.sort_by)
+
+    def follow(self, **changes) -> Manifest:
+        return replace(self, version=self.version + 1, **changes)
+
+    def folders(self) -> set[str]:
+        return {f.path for f in (*self.base, *self.recent)}
+
+
+class Manifests:
+    """The manifests of one table; the highest number holds.
+
+    A new one is written under another name and moved to its number, which fails if that number
+    is taken: readers see a whole manifest, and of two writers one wins. The file system must
+    refuse to move a file onto another, as HDFS does in one step.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._spark = spark
+        self._jvm = spark._jvm
+        self._conf = spark._jsc.hadoopConfiguration()
+        self.folder = folder
+        self._fs = self.path(folder).getFileSystem(self._conf)
+
+    def path(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(name)
+
+    def versions(self) -> list[int]:
+        at = self.path(f"{self.folder}/_manifest")
+        if not self._fs.exists(at):
+            return []
+        names = [status.getPath().getName() for status in self._fs.listStatus(at)]
+        return sorted(int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json"))
+
+    def load(self, version: int) -> Manifest:
+        stream = self._fs.open(self.path(self._name(version)))
+        try:
+            text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        held = json.loads(text)
+        for name in ("base", "recent"):
+            held[name] = tuple(Folder(**f) for f in held[name])
+        return Manifest(**held)
+
+    def latest(self) -> Manifest | None:
+        found = self.versions()
+        return self.load(found[-1]) if found else None
+
+    def commit(self, manifest: Manifest) -> None:
+        draft = self.path(f"{self.folder}/_manifest/.draft-{uuid.uuid4().hex}")
+        stream = self._fs.create(draft, False)
+        try:
+            stream.write(bytearray(json.dumps(asdict(manifest)).encode()))
+        finally:
+            stream.close()
+        name = self.path(self._name(manifest.version))
+        files = self._jvm.org.apache.hadoop.fs
+        kind = getattr(files, "Options$Rename")
+        options = self._spark.sparkContext._gateway.new_array(kind, 1)
+        options[0] = kind.NONE
+        try:
+            files.FileContext.getFileContext(self._fs.getUri(), self._conf).rename(
+                draft, name, options
+            )
+        except Exception as error:
+            self._fs.delete(draft, False)
+            if not self._fs.exists(name):
+                raise
+            raise ConcurrentChangeError(f"{name} exists already") from error
+
+    def bytes(self, folders) -> int:
+        """The size of the files in some folders."""
+        return sum(self._fs.getContentSummary(self.path(f.path)).getLength() for f in folders)
+
+    def expire(self, keep: int, older_than_ms: int) -> list[str]:
+        """Removes manifests before the last ``keep``, and folders that no other one names."""
+        found = self.versions()
+        held = set().union(*(self.load(v).folders() for v in found[-keep:]))
+        for version in found[:-keep]:
+            self._fs.delete(self.path(self._name(version)), False)
+        gone = []
+        for status in self._fs.listStatus(self.path(self.folder)):
+            at = status.getPath()
+            unused = f"{self.folder}/{at.getName()}" not in held
+            # A folder that is not named yet may belong to a writer that is still at work.
+            if at.getName() != "_manifest" and unused \
+                    and status.getModificationTime() < older_than_ms:
+                self._fs.delete(at, True)
+                gone.append(at.getName())
+        return gone
+
+    def _name(self, version: int) -> str:
+        return f"{self.folder}/_manifest/v{version:010d}.json"

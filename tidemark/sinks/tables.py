@@ -1,39 +1,44 @@
-"""Parquet tables in the session catalog: creation, append, whole replacement."""
+"""Parquet tables that outlive the session: creation, append, whole replacement, upsert."""
 
 from __future__ import annotations
 
+import time
 import uuid
-from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tidemark.operators.upsert import align, upsert
 from tidemark.schemas import TableSpec
+from tidemark.sinks.manifest import Folder, Manifest, Manifests
 
-# Ending of the table that collects upserts.
-RECENT = "__recent"
+BUCKET_BYTES = 256 << 20
+MOST_BUCKETS = 4096
 
 
 class Database:
     """The tables of one database, each below ``<root>/<database>/<table>/``.
 
-    A table is never overwritten in place. Its new content is written to a new folder, and the
-    table is pointed there once the write is complete: a reader, or a job that fails half way,
-    sees the old content or the new, and the new may be computed from the old. Old folders
-    stay for readers that still use them.
+    A table is a list of folders in a small manifest (schema and key included). Folders are
+    never written to again: new content goes to a new folder, and the change becomes visible,
+    whole, when the next manifest is put beside the last. A reader, or a job that fails half
+    way, sees the old content or the new, and the new may be computed from the old. Nothing is
+    kept in the session or a catalog, so any other session reads and changes the tables too; of
+    two writers at once, one gets ``ConcurrentChangeError`` and changes nothing. ``expire``
+    removes what no manifest names any more.
 
-    Rows are written by the tasks that computed them: a shuffle for the layout alone would
-    cost more than it saves. ``buckets`` is for tables whose aggregations and joins on the
-    column they are distributed by would otherwise shuffle: they are stored in that many
-    buckets of it. It is off by default, because a bucket is read by one task: it does not
-    suit a column where one value may hold much of the table.
+    Rows of a table with a time column are ranged by it, so that a window opens few files; other
+    rows are written by the tasks that computed them. With ``buckets`` (a number, or True for one
+    per BUCKET_BYTES of the table) a table is stored by the column it is distributed by, which
+    saves the shuffle of aggregations and joins on it. It is off by default, because a bucket is
+    read by one task: it does not suit a column where one value may hold much of the table.
 
     An upsert rewrites the table. With ``fold_at`` it does not: upserts are collected in a
-    second table beside it, upserted in turn, and folded into the first once they reach that
+    second list of folders, upserted in turn, and folded into the first once they reach that
     share of its size. ``read`` lays the one over the other, which gives the same rows because
-    two batches may be merged before they meet the table. Small batches then cost in
-    proportion to the recent changes; a query that does not go through ``read`` misses them.
+    two batches may be merged before they meet the table. Small batches then cost in proportion
+    to the recent changes.
     """
 
     def __init__(
@@ -41,7 +46,7 @@ class Database:
         spark: SparkSession,
         name: str,
         root: str,
-        buckets: int | None = None,
+        buckets: int | bool | None = None,
         fold_at: float | None = None,
     ) -> None:
         self.spark = spark
@@ -49,123 +54,157 @@ class Database:
         self.root = f"{root.rstrip('/')}/{name}"
         self.buckets = buckets
         self.fold_at = fold_at
-        self._specs: dict[str, TableSpec] = {}
 
     def create(self, *specs: TableSpec) -> Database:
-        """Creates the database and the given tables where they do not exist."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.name}` LOCATION '{self.root}'")
+        """Creates tables that do not exist; one that exists with another schema is an error."""
         for spec in specs:
-            self._specs[spec.name] = spec
-            self._create(spec)
+            manifests = self._manifests(spec.name)
+            now = manifests.latest()
+            if now is None or now.dropped:
+                manifests.commit(Manifest.of(spec, now.version + 1 if now else 0))
+            elif now.spec(spec.name).schema != spec.schema:
+                raise ValueError(f"table {self.name}.{spec.name} exists with another schema")
         return self
 
+    def exists(self, table: str) -> bool:
+        now = self._manifests(table).latest()
+        return now is not None and not now.dropped
+
     def drop(self, *tables: str) -> None:
-        """Forgets tables where they exist; their files stay."""
+        """Forgets tables where they exist; their files stay until they expire."""
         for table in tables:
-            for name in (table, f"{table}{RECENT}"):
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._full(name)}")
+            if self.exists(table):
+                manifests = self._manifests(table)
+                manifests.commit(manifests.latest().follow(base=(), recent=(), dropped=True))
 
     def read(self, table: str) -> DataFrame:
-        rows = self.spark.table(self._full(table))
-        recent = self._recent(table)
-        if recent is None:
-            return rows
-        return upsert(rows, self.spark.table(self._full(recent.name)), [recent.key])
+        return self._rows(table, self._now(table))
+
+    def is_empty(self, table: str) -> bool:
+        """Looks for one row; collected upserts replace rows, so neither side hides the other."""
+        now = self._now(table)
+        spec = now.spec(table)
+        return all(self._load(spec, side).isEmpty() for side in (now.recent, now.base) if side)
 
     def schema(self, table: str) -> StructType:
-        return self._specs[table].schema
+        return self._now(table).spec(table).schema
 
     def append(self, table: str, df: DataFrame) -> None:
         """Adds rows. Columns are matched by position, whatever they are called."""
         self.fold(table)
-        df.write.insertInto(self._full(table))
+        now = self._now(table)
+        spec = now.spec(table)
+        added = self._write(spec, df.toDF(*spec.columns), now)
+        self._commit(table, now.follow(base=(*now.base, added)))
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Makes ``df`` the content of the table. Columns are matched by name."""
-        spec = self._specs[table]
-        folder = self._write(spec, df)
-        # Changes kept for the old content must not be laid over the new one.
-        self.drop(f"{table}{RECENT}")
-        self._point(spec, folder)
+        now = self._now(table)
+        folder = self._write(now.spec(table), df, now)
+        self._commit(table, now.follow(base=(folder,), recent=()))
 
     def upsert(self, table: str, batch: DataFrame) -> None:
         """Rows of ``batch`` take the place of the rows that have their key."""
-        spec = self._specs[table]
-        if not self.fold_at or not self._bytes(table):
-            self.replace(table, upsert(self.read(table), batch, [spec.key]))
+        now = self._now(table)
+        spec = now.spec(table)
+        manifests = self._manifests(table)
+        size = manifests.bytes(now.base) if self.fold_at else 0
+        if not size:
+            rows = upsert(self._rows(table, now), batch, [spec.key])
+            folder = self._write(spec, rows, now)
+            self._commit(table, now.follow(base=(folder,), recent=()))
             return
-        recent = self._recent(table)
-        if recent is None:
-            recent = self._recent_spec(table)
-            merged = batch
-        else:
-            merged = upsert(self.spark.table(self._full(recent.name)), batch, [spec.key])
-        self._create(recent)
-        self._point(recent, self._write(recent, merged))
-        if self._bytes(recent.name) > self.fold_at * self._bytes(table):
+        merged = align(batch, spec.schema)
+        if now.recent:
+            merged = upsert(self._load(spec, now.recent), batch, [spec.key])
+        recent = self._write(spec, merged, now)
+        self._commit(table, now.follow(recent=(recent,)))
+        if manifests.bytes([recent]) > self.fold_at * size:
             self.fold(table)
 
     def fold(self, table: str) -> None:
-        """Brings collected upserts into the table.
-
-        Should this stop after the table was replaced, the changes are laid over it once more,
-        which leaves it as it is but for rows with a null key.
-        """
-        if self._recent(table) is not None:
-            self._point(self._specs[table], self._write(self._specs[table], self.read(table)))
-            self.drop(f"{table}{RECENT}")
-
-    def _create(self, spec: TableSpec) -> None:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
-        clustered = ""
-        if self.buckets and spec.distribute_on:
-            ordered = f"SORTED BY (`{spec.sort_by}`)" if spec.sort_by else ""
-            clustered = (
-                f"CLUSTERED BY (`{spec.distribute_on}`) {ordered} INTO {self.buckets} BUCKETS"
-            )
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self._full(spec.name)} ({columns}) USING parquet "
-            f"{clustered} LOCATION '{self._new_folder(spec.name)}'"
-        )
+        """Brings collected upserts into the table."""
+        now = self._now(table)
+        if now.recent:
+            folder = self._write(now.spec(table), self._rows(table, now), now)
+            self._commit(table, now.follow(base=(folder,), recent=()))
 
-    def _write(self, spec: TableSpec, df: DataFrame) -> str:
-        """Writes rows in the layout of the table to a new folder, and names it."""
-        folder = self._new_folder(spec.name)
-        draft = f"{spec.name}__{folder.rsplit('/', 1)[1]}"
-        self.spark.sql(
-            f"CREATE TABLE {self._full(draft)} LIKE {self._full(spec.name)} LOCATION '{folder}'"
-        )
-        try:
-            self._laid_out(align(df, spec.schema), spec).write.insertInto(self._full(draft))
-        finally:
-            self.drop(draft)
-        return folder
+    def expire(self, table: str, keep: int = 2, min_age_hours: float = 24) -> list[str]:
+        """Removes the folders that the last ``keep`` states of a table do not name.
 
-    def _point(self, spec: TableSpec, folder: str) -> None:
-        self.spark.sql(f"ALTER TABLE {self._full(spec.name)} SET LOCATION '{folder}'")
-        self.spark.catalog.refreshTable(self._full(spec.name))
+        Folders younger than ``min_age_hours`` stay: a writer may be filling them, and readers
+        that began with an older state need its folders for as long as they run.
+        """
+        before = int((time.time() - 3600 * min_age_hours) * 1000)
+        return self._manifests(table).expire(max(1, keep), before)
 
-    def _recent_spec(self, table: str) -> TableSpec:
-        return replace(self._specs[table], name=f"{table}{RECENT}")
+    def _now(self, table: str) -> Manifest:
+        now = self._manifests(table).latest()
+        if now is None or now.dropped:
+            raise ValueError(f"there is no table {self.name}.{table} below {self.root}")
+        return now
 
-    def _recent(self, table: str) -> TableSpec | None:
-        spec = self._recent_spec(table)
-        return spec if self.spark.catalog.tableExists(self._full(spec.name)) else None
+    def _commit(self, table: str, manifest: Manifest) -> None:
+        self._manifests(table).commit(manifest)
 
-    def _bytes(self, table: str) -> int:
-        # The size of its files, which Spark knows from listing them.
-        plan = self.spark.table(self._full(table))._jdf.queryExecution().optimizedPlan()
-        return int(str(plan.stats().sizeInBytes()))
+    def _manifests(self, table: str) -> Manifests:
+        return Manifests(self.spark, f"{self.root}/{table}")
 
-    def _laid_out(self, df: DataFrame, spec: TableSpec) -> DataFrame:
+    def _rows(self, table: str, now: Manifest) -> DataFrame:
+        spec = now.spec(table)
+        rows = self._load(spec, now.base)
+        if not now.recent:
+            return rows
+        return upsert(rows, self._load(spec, now.recent), [spec.key])
+
+    def _load(self, spec: TableSpec, folders: tuple[Folder, ...]) -> DataFrame:
+        plain = [f.path for f in folders if not f.buckets]
+        frames = [self.spark.table(self._view(spec, f)) for f in folders if f.buckets]
+        if plain:
+            frames.append(self.spark.read.schema(spec.schema).parquet(*plain))
+        if not frames:
+            return self.spark.createDataFrame([], spec.schema)
+        return reduce(DataFrame.unionAll, frames)
+
+    def _write(self, spec: TableSpec, df: DataFrame, now: Manifest) -> Folder:
+        """Writes rows in the layout of the table to a new folder."""
+        path = f"{self.root}/{spec.name}/d{uuid.uuid4().hex}"
+        rows = align(df, spec.schema)
         if self.buckets and spec.distribute_on:
+            folder = Folder(path, self._bucket_count(df, spec.name, now))
             # Hash partitions and buckets number their values alike, so with as many of the
             # one as of the other a task writes whole buckets; too large ones are split.
-            return df.hint("rebalance", self.buckets, spec.distribute_on)
-        return df.sortWithinPartitions(spec.sort_by) if spec.sort_by else df
-
-    def _full(self, table: str) -> str:
-        return f"`{self.name}`.`{table}`"
-
-    def _new_folder(self, table: str) -> str:
-        return f"{self.root}/{table}/v{uuid.uuid4().hex}"
+            spread = rows.hint("rebalance", folder.buckets, spec.distribute_on)
+            spread.write.insertInto(self._view(spec, folder))
+            return folder
+        if spec.sort_by:
+            # The key as well, so that one time with very many rows is many files.
+            rows = rows.repartitionByRange(spec.sort_by, spec.key).sortWithinPartitions(
+                spec.sort_by, spec.key
+            )
+        rows.write.parquet(path)
+        return Folder(path)
+
+    def _bucket_count(self, df: DataFrame, table: str, now: Manifest) -> int:
+        if self.buckets is not True:
+            return self.buckets
+        size = self._manifests(table).bytes(now.base)
+        if not size:
+            size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return min(MOST_BUCKETS, max(1, -(-size // BUCKET_BYTES)))
+
+    def _view(self, spec: TableSpec, folder: Folder) -> str:
+        """The name under which this session's catalog shows a folder in buckets.
+
+        Spark uses buckets of catalog tables only; the entry holds nothing that the manifest
+        does not, and any session makes its own.
+        """
+        name = f"`{spec.name}_{folder.path.rsplit('/', 1)[1]}`"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
+        ordered = f"SORTED BY (`{spec.sort_by}`)" if spec.sort_by else ""
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+            f"CLUSTERED BY (`{spec.distribute_on}`) {ordered} INTO {folder.buckets} BUCKETS "
+            f"LOCATION '{folder.path}'"
+        )
+        return name
