@@ -1,10 +1,9 @@
 from collections import defaultdict
 
-import duckdb
 from helpers import ROWS, SF_DIR, empty, sample, small, words
 
 from tidemark.llm.mixing import mix, mixed_documents
-from tidemark.llm.queries import ORACLES, op4_mix
+from tidemark.llm.queries import op4_mix
 
 
 def targets(sizes, weights=(5, 2, 1), most=3):
@@ -56,15 +55,6 @@ def test_many_small_sources(spark):
     check(mix(df).collect(), rows)
 
 
-def test_sql(spark):
-    db = duckdb.connect()
-    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
-    result = db.execute(ORACLES["op4_mix"])
-    names = [d[0] for d in result.description]
-    got = op4_mix(spark, SF_DIR).select(*names).collect()
-    assert sorted(map(tuple, got)) == sorted(result.fetchall())
-
-
 def test_repeats_follow_what_is_taken(spark):
     mixed = mix(small(spark), carry=("size", "lang", "source", "n_chars"))
     assert mixed.columns[:5] == ["doc_id", "size", "lang", "source", "n_chars"]

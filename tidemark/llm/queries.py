@@ -79,6 +79,66 @@ QUERIES = {f.__name__: f for f in (
     op7_neighbours, op8_simhash, op9_chat_format, op10_quality,
 )}
 
+def _license_sql() -> str:
+    idf, largest, vectors = license_scan.weights()
+    terms = ", ".join(f"('{t}', {w!r}::DOUBLE)" for t, w in sorted(idf.items()))
+    postings = ", ".join(
+        f"({i}, '{t}', {w!r}::DOUBLE)" for i, v in enumerate(vectors) for t, w in sorted(v.items())
+    )
+    names = ", ".join(f"({i}, '{n}')" for i, (n, _) in enumerate(license_scan.TEMPLATES))
+    return f"""
+WITH idf(term, idf) AS (VALUES {terms}), postings(t, term, weight) AS (VALUES {postings}),
+names(t, license) AS (VALUES {names}),
+files AS (
+    SELECT doc_id, lower(coalesce(text, '')) AS text,
+        coalesce(source, 'none') || '/' || coalesce(lang, 'none') || '/' || (doc_id // 1000)
+            || CASE WHEN doc_id % 1000 = 0 THEN '' ELSE '/' || (doc_id // 100) END AS folder,
+        CASE WHEN doc_id % 100 = 0 THEN 'LICENSE' ELSE doc_id || '.txt' END AS name
+    FROM documents
+), lines AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM files),
+units AS (
+    SELECT doc_id, 0 AS unit, text AS part FROM files UNION ALL
+    SELECT doc_id, generate_subscripts(parts, 1), unnest(parts) FROM lines
+), words AS (
+    SELECT doc_id, unit, unnest(regexp_extract_all(part, '[a-z0-9]+')) AS term FROM units
+), tf AS (
+    SELECT doc_id, unit, term, count(*) AS n FROM words GROUP BY ALL
+), w AS (
+    SELECT doc_id, unit, tf.term, n * coalesce(idf, {largest!r}::DOUBLE) AS w
+    FROM tf LEFT JOIN idf ON tf.term = idf.term
+), lengths AS (
+    SELECT doc_id, unit, sqrt(sum(w * w)) AS length FROM w GROUP BY ALL
+), scores AS (
+    SELECT d.doc_id, d.unit, d.t, round(d.dot / l.length, 6) AS score FROM (
+        SELECT doc_id, unit, t, sum(w * weight) AS dot
+        FROM w JOIN postings p ON w.term = p.term GROUP BY ALL
+    ) d JOIN lengths l ON d.doc_id = l.doc_id AND d.unit = l.unit
+), own AS (
+    SELECT * FROM scores WHERE score >= 0.8 QUALIFY
+        row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, unit = 0 DESC, t, unit) = 1
+), marked AS (
+    SELECT f.folder, f.folder || '/' || f.name AS path, f.name, n.license, o.score, o.unit
+    FROM files f LEFT JOIN own o ON f.doc_id = o.doc_id LEFT JOIN names n ON o.t = n.t
+), held AS (
+    SELECT folder AS above, path, license, score FROM marked
+    WHERE name = 'LICENSE' AND license IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY folder ORDER BY score DESC, path) = 1
+), ups AS (
+    SELECT folder, unnest(range(0, len(string_split(folder, '/')) + 1)) AS depth
+    FROM (SELECT DISTINCT folder FROM marked)
+), nearest AS (
+    SELECT u.folder, h.* FROM ups u
+    JOIN held h ON array_to_string(string_split(u.folder, '/')[1:u.depth], '/') = h.above
+    QUALIFY row_number() OVER (PARTITION BY u.folder ORDER BY u.depth DESC) = 1
+)
+SELECT m.path, coalesce(m.license, g.license) AS license, coalesce(m.score, g.score) AS score,
+    CASE WHEN m.unit = 0 THEN 'file' WHEN m.unit > 0 THEN 'header'
+        WHEN g.license IS NOT NULL THEN 'inherited' END AS found,
+    CASE WHEN m.license IS NOT NULL THEN m.path ELSE g.path END AS from_path
+FROM marked m LEFT JOIN nearest g ON m.folder = g.folder
+"""
+
+
 ORACLES = {
     "op4_mix": r"""
 WITH d AS (
@@ -114,4 +174,33 @@ SELECT doc_id, size, source_size, target,
         + greatest(0, least(size, budget % source_size - start)) ELSE 0 END)::BIGINT AS taken
 FROM p
 """,
+    "op5_substring_dedup": r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), r AS (
+    SELECT doc_id, generate_subscripts(words, 1) AS i, unnest(words) AS word FROM d
+), g AS (
+    SELECT doc_id, i, word, count(*) OVER ahead AS c, string_agg(word, ' ') OVER ahead AS k
+    FROM r WINDOW ahead AS (
+        PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)
+), m AS (
+    SELECT k, min(doc_id) AS least FROM g WHERE c = 13 GROUP BY k
+), h AS (
+    SELECT g.doc_id, g.i, g.word, CASE WHEN m.least < g.doc_id THEN 1 ELSE 0 END AS hit
+    FROM g LEFT JOIN m ON g.k = m.k AND g.c = 13
+), v AS (
+    SELECT doc_id, i, word, max(hit) OVER (
+        PARTITION BY doc_id ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+    FROM h
+), s AS (
+    SELECT doc_id, sum(gone)::BIGINT AS n_removed,
+        string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept
+    FROM v GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(s.n_removed, 0) AS n_removed,
+    sha256(coalesce(s.kept, '')) AS kept_sha256
+FROM d LEFT JOIN s ON d.doc_id = s.doc_id
+""",
+    "op6_license_scan": _license_sql(),
 }
