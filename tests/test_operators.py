@@ -8,10 +8,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import (
-    enrich,
     EmptyTableError,
     best_of,
     duplicate_keys,
+    enrich,
     in_open_window,
     key_metrics,
     latest,

@@ -187,8 +187,12 @@ def read_split(
     quote: str = '"',
     mode: str = "PERMISSIVE",
     corrupt_column: str | None = None,
+    file_column: str | None = None,
 ) -> DataFrame:
-    """What Spark's reader gives with ``multiLine``, with each file read by many tasks."""
+    """What Spark's reader gives with ``multiLine``, with each file read by many tasks.
+
+    ``file_column`` names an added last column with the path of each record's file.
+    """
     options = {"sep": separator, "quote": quote, "escape": quote, "mode": mode}
     dropping = mode.upper() == "DROPMALFORMED"
     if dropping:
@@ -210,7 +214,9 @@ def read_split(
         options["columnNameOfCorruptRecord"] = kept
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     parsed = F.from_csv(_RECORD, ddl, options).alias("parsed")
-    rows = records.select(parsed).select("parsed.*")
+    rows = records.select(parsed, F.col("file").alias("_file")).select("parsed.*", "_file")
     if dropping:
         rows = rows.where(F.col(kept).isNull())
-    return rows if corrupt_column is not None or not dropping else rows.drop(kept)
+        if corrupt_column is None:
+            rows = rows.drop(kept)
+    return rows.withColumnRenamed("_file", file_column) if file_column else rows.drop("_file")
