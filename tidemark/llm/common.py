@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from tidemark.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+SPARKS_BATCH_BYTES = "67108864b"
+BATCH_BYTES = "2m"
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -31,7 +34,14 @@ def take(df: DataFrame, *names: str) -> DataFrame:
 
 
 def texts(df: DataFrame, *carry: str) -> DataFrame:
-    """doc_id as long, text with null as empty, then the carried columns as k0, k1, ..."""
+    """doc_id as long, text with null as empty, then the carried columns as k0, k1, ...
+
+    Bounds the session's Arrow batches, on their way into Python tasks, to BATCH_BYTES where it
+    leaves them at Spark's default, so that a task holds little more than one long text.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING) == SPARKS_BATCH_BYTES:
+        conf.set(BATCH_SETTING, BATCH_BYTES)
     rows = take(df, "doc_id", "text", *[name for name in carry])
     return rows.select(
         F.col("doc_id").cast("long").alias("doc_id"),
