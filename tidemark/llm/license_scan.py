@@ -35,6 +35,13 @@ TEMPLATES = (
             "Software without restriction"),
 )
 
+# Frequent words (English, and German "mit"), which make poor anchors.
+FREQUENT = frozenset(
+    "a an and any are as at be by can do for free from had has have if in is it may mit more not of on "
+    "one or other so that the their then there this to under up use was will with without you "
+    "your".split()
+)
+
 
 def _terms(text: str) -> Counter:
     return Counter(re.findall(r"[a-z0-9]+", text.lower()))
@@ -56,14 +63,15 @@ def weights(templates=TEMPLATES):
 def anchors(vectors, threshold: float) -> list[str]:
     """Terms of which a text must hold one to come near any template.
 
-    The cosine is at most the length of the template's part that the text shares. So the terms
-    left when the heaviest are taken away, if their part is shorter than the threshold, cannot
-    reach it alone.
+    The cosine is at most the length of the template's part that the text shares. So if the terms
+    left, when some are taken away, make a part shorter than the threshold, they cannot reach it
+    alone. Taken are the heaviest, frequent words and numbers last: few texts should hold one.
     """
     found = set()
     for vector in vectors:
         left = 1.0
-        for term, weight in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+        poor = {t for t in vector if t in FREQUENT or t.isdigit()}
+        for term, weight in sorted(vector.items(), key=lambda x: (x[0] in poor, -x[1], x[0])):
             if left < threshold * threshold - 1e-9:
                 break
             found.add(term)
