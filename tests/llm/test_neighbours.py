@@ -66,7 +66,7 @@ def test_few_candidates_and_none(spark):
 def test_blocks_change_nothing(spark):
     df = sample(spark, "embeddings")
     asked = df.filter("vec_id % 50 = 0")
-    one, two = (sorted(map(tuple, nearest(df, asked, leaves_visited=40, **o).collect()))
+    one, two = (sorted(map(tuple, nearest(df, asked, visited=0.03, **o).collect()))
                 for o in ({}, {"vectors_per_block": 90, "queries_per_block": 3}))
     assert one == two
 

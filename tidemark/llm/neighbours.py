@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,8 @@ from tidemark.llm.common import take
 TREES = 16
 DEPTH = 8
 SAMPLE = 16_384
-LEAVES_VISITED = 340
+SMALLEST_LEAF = 32
+VISITED = 1 / 12
 VECTORS_PER_BLOCK = 8192
 QUERIES_PER_BLOCK = 4096
 
@@ -60,7 +62,7 @@ class Forest:
         distance to a split on the wrong side of which it lies; the closest is opened first.
         """
         trees, inner = self.cuts.shape
-        flat = self.axes.reshape(trees * inner, -1)
+        flat = self.axes.reshape(trees * inner, self.axes.shape[2])
         found = []
         for margins in x @ flat.T - self.cuts.ravel():
             margins = margins.tolist()
@@ -81,17 +83,19 @@ class Forest:
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 20, id_column: str = "vec_id",
     vector_column: str = "embedding", trees: int = TREES, depth: int = DEPTH,
-    sample: int = SAMPLE, leaves_visited: int = LEAVES_VISITED,
+    sample: int = SAMPLE, visited: float = VISITED,
     vectors_per_block: int = VECTORS_PER_BLOCK, queries_per_block: int = QUERIES_PER_BLOCK,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id and score (inner product): the ``k`` best found per query.
 
     Directions are random; their cut points are medians over at most ``sample`` vectors (those
-    with the smallest hash of the id). Every vector is in the index. A query opens
-    ``leaves_visited`` leaves of all trees together, of 2 ** depth per tree, and every vector in
-    them is compared exactly, in double precision. The share of vectors compared, and so the
-    recall, does not depend on how many there are; with vectors that have no clusters it takes
-    half of them for a recall of 0.9.
+    with the smallest hash of the id). Every vector is in the index. Trees have 2 ** ``depth``
+    leaves, or as many as get SMALLEST_LEAF vectors each. A query opens the share ``visited`` of
+    the leaves of all trees together, and every vector in them is compared exactly, in double
+    precision. The share of vectors compared, and so the recall, does not depend on how many
+    there are; with vectors that have no clusters it takes half of them for a recall of 0.9. A
+    query that finds fewer than ``k`` vectors in a block is compared with the whole block, so that
+    no result is short.
 
     Vectors and queries meet in blocks of bounded size. Equal vectors beyond the k + 1 with the
     smallest ids can be in no result and are left out before the shuffle that finds them ends.
@@ -116,9 +120,12 @@ def nearest(
     ).drop("copy")
     asked = asked.distinct()
     drawn = index.orderBy(F.xxhash64("id"), "id").limit(sample).select("vector").collect()
+    size = index.count()
+    depth = min(depth, max(0, (size // SMALLEST_LEAF).bit_length() - 1))
+    opened = math.ceil(visited * trees * 2**depth)
     forest = Forest(np.array([r[0] for r in drawn], np.float32), trees, depth)
     shared = spark.sparkContext.broadcast((forest.axes, forest.cuts))
-    v_blocks = max(1, -(-index.count() // vectors_per_block))
+    v_blocks = max(1, -(-size // vectors_per_block))
     q_blocks = max(1, -(-asked.count() // queries_per_block))
 
     def grown() -> Forest:
@@ -131,7 +138,7 @@ def nearest(
         own = grown()
         for batch in batches:
             x = _matrix(batch.column("vector"))
-            chosen = own.visited(x.astype(np.float32), leaves_visited)
+            chosen = own.visited(x.astype(np.float32), opened)
             yield batch.append_column(
                 "leaves", pa.array([np.array(c, np.int32).tobytes() for c in chosen], pa.binary())
             )
@@ -152,6 +159,8 @@ def nearest(
                 at = np.flatnonzero(marked)
                 marked[at] = False
                 at = at[ids[at] != name]
+                if len(at) < k:
+                    at = np.flatnonzero(ids != name)
                 if not len(at):
                     continue
                 rough = x[at] @ vector
