@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import take, texts, written
+from tidemark.llm.common import restored, take, texts, written
 
 ROLES = ("system", "user", "assistant")
 STATES = 2 * len(ROLES)  # of each role, the first line of a turn (even) and a later one (odd)
@@ -171,14 +171,17 @@ def fit(examples: DataFrame, sample: int = SAMPLE) -> Speakers:
     return Speakers(*(np.log(x / x.sum(axis=-1, keepdims=True)) for x in (start, step, emit)))
 
 
-def format_chats(docs: DataFrame, model: Speakers) -> DataFrame:
-    """Per row: doc_id, n_lines, roles (in order, comma-separated), turns and rendered.
+def format_chats(
+    docs: DataFrame, model: Speakers, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Per row: doc_id, carried columns, n_lines, roles (comma-separated), turns and rendered.
 
     ``docs`` has doc_id and text, one transcript each. Blank lines only separate; a line's marker
     goes, its other text stays. A null, empty or blank text has no turns and renders as an empty
     text. A transcript is one task's; its memory is six states a line. An empty table gives no
     rows.
     """
+    rows = texts(docs, *carry)
     shared = docs.sparkSession.sparkContext.broadcast((model.start, model.step, model.emit))
 
     def parse(batches):
@@ -194,19 +197,20 @@ def format_chats(docs: DataFrame, model: Speakers) -> DataFrame:
                     "rendered": render(turns),
                 })
             kind = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
-            yield pa.record_batch(
-                [batch.column("doc_id"), pa.array([o["n_lines"] for o in out], pa.int64()),
-                 pa.array([o["roles"] for o in out], pa.string()),
-                 pa.array([o["turns"] for o in out], kind),
-                 pa.array([o["rendered"] for o in out], pa.string())],
-                names=["doc_id", "n_lines", "roles", "turns", "rendered"],
-            )
-
-    return texts(docs).mapInArrow(
+            made = batch.drop_columns(["text"])
+            for name, of in (("n_lines", pa.int64()), ("roles", pa.string()), ("turns", kind),
+                             ("rendered", pa.string())):
+                made = made.append_column(name, pa.array([o[name] for o in out], of))
+            yield made
+
+    kinds = "".join(
+        f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema if f.name != "text"
+    )
+    return restored(rows.mapInArrow(
         parse,
-        "doc_id long, n_lines long, roles string, turns array<struct<role: string, text: string>>, "
+        f"{kinds}n_lines long, roles string, turns array<struct<role: string, text: string>>, "
         "rendered string",
-    )
+    ), carry)
 
 
 def recovered(conversations: DataFrame) -> DataFrame:
@@ -217,10 +221,9 @@ def recovered(conversations: DataFrame) -> DataFrame:
     made = written(transcripts(conversations), "transcripts")
     model = fit(made)
     named = made.select(
-        F.xxhash64("conv_id", "chunk").alias("doc_id"), "text", "conv_id", "chunk",
+        F.col("conv_id").alias("doc_id"), "text", "chunk",
         F.array_join(F.transform("turns", lambda t: t["role"]), ",").alias("true_roles"),
     )
-    parsed = format_chats(named, model).drop("turns")
-    return named.drop("text").join(parsed, "doc_id").select(
-        "conv_id", "chunk", "n_lines", "roles", "true_roles", "rendered"
+    return format_chats(named, model, carry=("chunk", "true_roles")).select(
+        F.col("doc_id").alias("conv_id"), "chunk", "n_lines", "roles", "true_roles", "rendered"
     )
