@@ -10,7 +10,7 @@ from tidemark.session import scratch_path
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 4096
 
 
 def word_count(text: str = "text") -> Column:
