@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from helpers import ROWS, empty, sample, small
 
-from tidemark.llm.token_counts import Counter, Vocabulary, piece_vocabulary, token_counts
+from tidemark.llm.token_counts import KEPT, Counter, Vocabulary, piece_vocabulary, token_counts
 
 
 def tokenizer(vocabulary):
@@ -26,7 +26,7 @@ def tokenizer(vocabulary):
 
 def test_against_the_tokenizers_library(spark):
     vocabulary = piece_vocabulary()
-    assert vocabulary.whole_words and vocabulary.by_bytes
+    assert vocabulary.parts is not None and vocabulary.by_bytes
     reference, counter = tokenizer(vocabulary), Counter(vocabulary)
     texts = [r[0] for r in sample(spark).select("text").collect()]
     texts += [r[1] or "" for r in ROWS] + ["  a   b ", "\n\n", "梦 x \u0000ሴ"]
@@ -72,6 +72,21 @@ def test_against_all_segmentations(seed, text):
     assert found[0] == len(reference.encode(text, add_special_tokens=False).ids)
 
 
+def test_parts_give_what_the_whole_text_gives(spark):
+    vocabulary = piece_vocabulary()
+    apart, whole = Counter(vocabulary), Counter(vocabulary)
+    whole.parts = None
+    for row in sample(spark).select("text").limit(40).collect():
+        assert apart.count(row[0]) == whole.count(row[0])
+    for text in ("\n", "a\n\n b", "  \n x", "a b\n"):
+        assert apart.count(text) == whole.count(text)
+    long = " ".join(f"longer{i}" for i in range(9000)) * 2
+    assert len(long) > 10 * KEPT and apart.count(long) == whole.count(long)
+    fractions = {p: s - 0.25 for p, s in vocabulary.pieces.items()}
+    assert Vocabulary(fractions, True).parts is None
+    assert Vocabulary({"a": -1.0, "a▁b": -2.0, "▁": -1.0}, True).parts is None
+
+
 def test_small_rows(spark):
     counter = Counter(piece_vocabulary())
     got = {(r["doc_id"], r["n_tokens"]) for r in token_counts(small(spark)).collect()}
