@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import take, written
+from tidemark.llm.license_texts import FULL, KEYS, SHORT
 
 THRESHOLD = 0.8
 LICENSE_FILE = r"(?i)^(licen[cs]e|copying)([.-].*)?$"
@@ -35,6 +37,18 @@ TEMPLATES = (
             "Software without restriction"),
 )
 
+
+
+def _words(text: str) -> list[str]:
+    return re.findall(r"[a-z0-9]+", text.lower())
+
+
+# All templates: of those with the same words the first counts.
+ALL = {}
+for _template in (*TEMPLATES, *SHORT, *FULL):
+    ALL.setdefault(tuple(_words(_template[1])), _template)
+ALL = tuple(ALL.values())
+
 # Frequent words (English, and German "mit"), which make poor anchors.
 FREQUENT = frozenset(
     "a an and any are as at be by can do for free from had has have if in is it may mit more not of on "
@@ -44,7 +58,7 @@ FREQUENT = frozenset(
 
 
 def _terms(text: str) -> Counter:
-    return Counter(re.findall(r"[a-z0-9]+", text.lower()))
+    return Counter(_words(text))
 
 
 def weights(templates=TEMPLATES):
@@ -69,36 +83,53 @@ def anchors(vectors, threshold: float) -> list[str]:
     """
     found = set()
     for vector in vectors:
-        left = 1.0
         poor = {t for t in vector if t in FREQUENT or t.isdigit()}
-        for term, weight in sorted(vector.items(), key=lambda x: (x[0] in poor, -x[1], x[0])):
-            if left < threshold * threshold - 1e-9:
-                break
-            found.add(term)
-            left -= weight * weight
+        found |= _taken(vector, sorted(vector, key=lambda t: (t in poor, -vector[t], t)), threshold)
     return sorted(found)
 
 
+def _taken(vector, terms, threshold: float) -> set[str]:
+    found, left = set(), 1.0
+    for term in terms:
+        if left < threshold * threshold - 1e-9:
+            break
+        found.add(term)
+        left -= vector[term] ** 2
+    return found
+
+
+def key_words(vector, threshold: float) -> set[str]:
+    """KEYS, the heaviest first, without which a text cannot come near, or all that there are.
+
+    A text with none of them names no licence, whatever it shares.
+    """
+    return _taken(vector, sorted(KEYS & vector.keys(), key=lambda t: (-vector[t], t)), threshold)
+
+
 def license_scan(
-    files: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES,
+    files: DataFrame, threshold: float = THRESHOLD, templates=ALL,
 ) -> DataFrame:
     """Per row: path, license, score, found ('file', 'header', 'inherited' or null), from_path.
 
-    ``files`` has path and text. Lines, and whole texts, are compared with the templates as
-    vectors of lower-cased words weighted by frequency times inverse document frequency; a file's
-    own licence is the one of the largest cosine (rounded to six digits) from ``threshold`` on,
-    of equals the whole text before lines, then the first template, then the first line. A file
-    without one inherits from the nearest directory above it that holds a licence file (by its
-    name) with a licence of its own; of several the largest score, then the smallest path.
+    ``files`` has path and text. Whole texts, lines, paragraphs (between lines without words)
+    and, for each template, windows of as many words as it has (over line ends, without comment
+    signs) are compared with the templates as vectors of lower-cased words weighted by frequency
+    times inverse document frequency; a file's own licence is the one of the largest cosine
+    (rounded to six digits) from ``threshold`` on: templates of FULL before others, as a licence's
+    first sentence may be that of several; of equals the whole text before parts, then the first
+    template, then the first part. A file without one inherits from the nearest directory above it
+    that holds a licence file (by its name) with a licence of its own; of several the largest score, then the smallest path.
 
-    Only lines and texts that hold an anchor word are cut into words; no other can reach the
+    Only parts and texts that hold an anchor word are cut into words; no other can reach the
     threshold. Inheritance is solved for directories, a row each, before files join them, so a
     directory with most files costs rows of one join that Spark can split. A null path keeps its
     own licence and inherits nothing; a path without a slash lies in the root directory. A null
     text has no licence. Repeated rows stay. An empty table gives no rows.
     """
-    idf, largest, vectors = weights(templates)
-    hold = "(^|[^a-z0-9])(" + "|".join(anchors(vectors, threshold)) + ")([^a-z0-9]|$)"
+    _, _, vectors = weights(templates)
+    needed = set(anchors(weights()[2], threshold)).union(
+        *[key_words(v, threshold) or anchors([v], threshold) for v in vectors])
+    hold = "(^|[^a-z0-9])(" + "|".join(sorted(needed)) + ")([^a-z0-9]|$)"
     plain = take(files, "path", "text")
     lowered = plain.select(
         F.col("path"), F.lower(F.coalesce("text", F.lit(""))).alias("text"),
@@ -106,8 +137,8 @@ def license_scan(
     slash = F.length("path") - F.length(F.substring_index("path", "/", -1)) - 1
     folder = F.when(slash > 0, F.expr("left(path, cast(length(path) - "
                                       "length(substring_index(path, '/', -1)) - 1 as int))"))
-    own = _own(lowered.filter(F.col("text").rlike(hold)), hold, idf, largest, vectors, threshold)
-    named = F.element_at(F.array(*[F.lit(name) for name, _ in templates]), F.col("template"))
+    own = _own(lowered.filter(F.col("text").rlike(hold)), hold, templates, threshold)
+    named = F.element_at(_constant("array<string>", [n for n, _ in templates]), F.col("template"))
     own = written(own.withColumn("license", named), "licenses")
     keyed = plain.select("path", F.xxhash64(
         F.lower(F.coalesce("text", F.lit("")))).alias("text_key"), F.coalesce(folder, F.lit(""))
@@ -149,57 +180,118 @@ def license_scan(
     )
 
 
-def _own(texts, hold, idf, largest, vectors, threshold):
-    """own_path, own_key, template (from 1), score, whole: the best of a file's lines and text."""
-    parts = F.concat(
-        F.array(F.struct(F.lit(0).alias("unit"), F.col("text").alias("words"))),
-        F.transform(F.split("text", "\n"), lambda line, i: F.struct(
-            (i + 1).alias("unit"), line.alias("words"))),
-    )
-    units = texts.select("path", F.xxhash64("text").alias("key"), "text").distinct().select(
-        "path", "key",
-        F.explode(F.filter(parts, lambda p: p["words"].rlike(hold))).alias("part"),
-    ).select(
-        "path", "key", "part.unit",
-        F.explode(F.regexp_extract_all("part.words", F.lit("[a-z0-9]+"), 0)).alias("term"),
+def _constant(kind: str, value):
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def _own(texts, hold, templates, threshold):
+    """own_path, own_key, template (from 1), score, whole: the best of a file's parts and text."""
+    idf, largest, vectors = weights(templates)
+    spark, lengths = texts.sparkSession, [len(_words(text)) for _, text in templates]
+    base = written(
+        texts.select("path", F.xxhash64("text").alias("key"), "text").distinct()
+        .withColumn("id", F.monotonically_increasing_id())
+        .withColumn("words", F.regexp_extract_all("text", F.lit("[a-z0-9]+"), 0)), "license-texts",
     )
-    tf = units.groupBy("path", "key", "unit", "term").agg(F.count("*").alias("tf"))
-    rows = [
-        F.struct(F.lit(t).alias("term"), F.lit(w).alias("idf"),
-                 F.array(*[F.lit(v.get(t, 0.0)) for v in vectors]).alias("posting"))
-        for t, w in sorted(idf.items())
-    ]
-    postings = texts.sparkSession.range(1).select(F.inline(F.array(*rows)))
-    weighed = tf.join(F.broadcast(postings), "term", "left").withColumn(
+    units = _units(base, hold, templates, vectors, threshold).repartition("id", "unit")
+    tf = units.select("id", "unit", "size", F.explode("words").alias("term")).groupBy(
+        "id", "unit", "size", "term").agg(F.count("*").alias("tf"))
+    held = {(term, size): [] for term in idf for size in {0, *lengths}}
+    for t, vector in enumerate(vectors):
+        for term, w in vector.items():
+            for size in (0, lengths[t]):
+                held[term, size].append({"t": t, "w": w})
+    postings = spark.range(1).select(F.inline(_constant(
+        "array<struct<term string, size int, idf double, held array<struct<t int, w double>>>>",
+        [{"term": term, "size": size, "idf": idf[term], "held": found}
+         for (term, size), found in sorted(held.items())],
+    )))
+    weighed = tf.join(F.broadcast(postings), ["term", "size"], "left").withColumn(
         "w", F.col("tf") * F.coalesce("idf", F.lit(largest))
     )
-    dots = [
-        F.sum(F.when(F.col("posting").isNotNull(), F.col("w") * F.col("posting")[i]))
-        .alias(f"d{i}") for i in range(len(vectors))
-    ]
-    scored = weighed.groupBy("path", "key", "unit").agg(
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"), *dots
+    near = F.coalesce("held", _constant("array<struct<t int, w double>>", []))
+    sums = weighed.select("id", "unit", F.inline(F.concat(
+        F.array(F.struct(F.lit(-1).alias("t"), (F.col("w") * F.col("w")).alias("v"))),
+        F.transform(near, lambda p: F.struct(p["t"].alias("t"), (F.col("w") * p["w"]).alias("v"))),
+    ))).groupBy("id", "unit", "t").agg(F.sum("v").alias("v"))
+    scored = sums.groupBy("id", "unit").agg(
+        F.sqrt(F.max(F.when(F.col("t") < 0, F.col("v")))).alias("length"),
+        F.collect_list(F.when(F.col("t") >= 0, F.struct("t", "v"))).alias("dots"),
     )
-    best = F.array_max(F.array(*[
-        F.struct(
-            F.round(F.coalesce(F.col(f"d{i}"), F.lit(0.0)) / F.col("length"), 6).alias("score"),
-            F.lit(-1 - i).alias("minus"),
-        ) for i in range(len(vectors))
-    ]))
-    return (
-        scored.select("path", "key", "unit", best.alias("best"))
-        .filter(F.col("best.score") >= threshold)
-        .groupBy("path", "key")
-        .agg(F.max(F.struct(
-            "best.score", (F.col("unit") == 0).alias("whole"), "best.minus",
+    full = [t for t, template in enumerate(templates) if template in FULL]
+    best = F.array_max(F.filter(
+        F.transform("dots", lambda d: F.struct(
+            d["t"].isin(full).alias("full"), F.round(d["v"] / F.col("length"), 6).alias("score"),
+            (-1 - d["t"]).alias("minus"),
+        )), lambda s: s["score"] >= threshold,
+    ))
+    top = scored.select("id", "unit", best.alias("best")).filter("best IS NOT NULL").groupBy(
+        "id").agg(F.max(F.struct(
+            "best.full", "best.score", (F.col("unit") == 0).alias("whole"), "best.minus",
             (-F.col("unit")).alias("first"),
         )).alias("top"))
-        .select(
-            F.col("path").alias("own_path"), F.col("key").alias("own_key"),
-            (-F.col("top.minus")).alias("template"), F.col("top.score").alias("score"),
-            F.col("top.whole").alias("whole"),
-        )
+    return base.select("id", "path", "key").join(top, "id").select(
+        F.col("path").alias("own_path"), F.col("key").alias("own_key"),
+        (-F.col("top.minus")).alias("template"), F.col("top.score").alias("score"),
+        F.col("top.whole").alias("whole"),
+    )
+
+
+def _units(base, hold, templates, vectors, threshold):
+    """id, unit, size, words: size is 0 for texts, lines and paragraphs, else a window's length.
+
+    A window lies so that a key word of the text is on the same word of a template, and is left out
+    if the words it shares make too short a part of that template to reach the threshold.
+    """
+    lines, blocks = F.split("text", "\n"), F.split("text", "\n[^a-z0-9\n]*\n")
+    parts = F.concat(
+        F.array(F.struct(F.lit(0).cast("long").alias("unit"), F.col("text").alias("part"))),
+        F.transform(lines, lambda line, i: F.struct(
+            (i + 1).cast("long").alias("unit"), line.alias("part"))),
+        F.transform(blocks, lambda block, i: F.struct(
+            (i + F.lit(1 << 32)).alias("unit"), block.alias("part"))),
+    )
+    plain = base.select("id", F.inline(F.filter(parts, lambda p: p["part"].rlike(hold)))).select(
+        "id", "unit", F.lit(0).alias("size"),
+        F.regexp_extract_all("part", F.lit("[a-z0-9]+"), 0).alias("words"))
+    places, widest = {}, 1
+    for (_, text), vector in zip(templates, vectors):
+        words, found = _words(text), key_words(vector, threshold)
+        widest = max(widest, len(words))
+        for at, word in enumerate(words):
+            if word in found:
+                places.setdefault(word, []).append({
+                    "size": len(words), "shift": at,
+                    "shares": [{"term": t, "part": w * w} for t, w in sorted(vector.items())]})
+    kind = "struct<size int, shift int, shares array<struct<term string, part double>>>"
+    table = base.sparkSession.range(1).select(F.inline(_constant(
+        f"array<struct<term string, places array<{kind}>>>",
+        [{"term": t, "places": p} for t, p in sorted(places.items())],
+    )))
+    low = F.greatest(F.col("pos") - F.lit(widest), F.lit(0))
+    keyed = base.select("id", "words", F.explode(F.filter(
+        F.sequence(F.lit(0), F.size("words") - 1),
+        lambda i: F.get("words", i).isin(sorted(places)),
+    )).alias("pos")).select(
+        "id", "pos", F.get("words", F.col("pos")).alias("term"), low.alias("low"),
+        F.slice("words", low + 1, F.lit(2 * widest)).alias("around"),
+    )
+    start = F.greatest(F.col("pos") - F.col("shift"), F.lit(0))
+    shared = F.aggregate(
+        F.filter("shares", lambda x: F.array_contains("words", x["term"])), F.lit(0.0),
+        lambda total, x: total + x["part"],
+    )
+    windows = (
+        keyed.join(F.broadcast(table), "term")
+        .select("id", "pos", "low", "around", F.inline("places"))
+        .select("id", "size", "shares", start.alias("start"), F.slice(
+            "around", start - F.col("low") + 1, F.col("size")).alias("words"))
+        .filter(shared >= threshold * threshold - 1e-9)
+        .select("id", (F.col("start") * F.lit(1 << 10) + F.col("size") + F.lit(1 << 45))
+                .alias("unit"), "size", "words")
+        .distinct()
     )
+    return plain.unionAll(windows)
 
 
 def document_files(docs: DataFrame) -> DataFrame:
