@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    centroids,
     chat_format,
+    embedding_dedup,
     license_scan,
     minhash,
     mixing,
     neighbours,
     packing,
+    prefix_trie,
     quality,
     simhash_dedup,
     substring_dedup,
@@ -74,9 +77,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_copies(table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pack, op2_token_counts, op3_minhash, op4_mix, op5_substring_dedup, op6_license_scan,
-    op7_neighbours, op8_simhash, op9_chat_format, op10_quality,
+    op7_neighbours, op8_simhash, op9_chat_format, op10_quality, op11_embedding_dedup,
+    op12_prefix_trie, op13_centroids,
 )}
 
 def _license_sql() -> str:
@@ -139,6 +155,42 @@ FROM marked m LEFT JOIN nearest g ON m.folder = g.folder
 """
 
 
+def _centroid_sql(rounds: int = 10) -> str:
+    """Every round written out: nearest centroid by integer distance, then floored means."""
+    def nearest(c: str) -> str:
+        return f"""SELECT vec_id, v, c, d FROM (
+        SELECT vec_id, k.v, c, list_sum(list_transform(
+            list_zip(k.v, m.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM k CROSS JOIN {c} m
+    ) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1"""
+
+    steps = "".join(f"""
+), a{i} AS MATERIALIZED ({nearest(f"c{i}")}
+), s{i} AS (
+    SELECT c, i, sum(x) AS s, count(*) AS n
+    FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS i FROM a{i}) GROUP BY c, i
+), f{i} AS (
+    SELECT c, list(((s - (s % n + n) % n) // n)::BIGINT ORDER BY i) AS v FROM s{i} GROUP BY c
+), c{i + 1} AS MATERIALIZED (
+    SELECT o.c, coalesce(f.v, o.v) AS v FROM c{i} o LEFT JOIN f{i} f ON o.c = f.c""" for i in range(rounds))
+    return f"""
+WITH k AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE len(embedding) = 64
+        AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, v FROM k
+    QUALIFY c < 8{steps}
+), a AS ({nearest(f"c{rounds}")}
+)
+SELECT vec_id, a.c::INTEGER AS cluster, d AS distance,
+    (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+    (sum(d) OVER ())::BIGINT AS inertia,
+    sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM a JOIN c{rounds} m ON a.c = m.c
+"""
+
+
 ORACLES = {
     "op4_mix": r"""
 WITH d AS (
@@ -203,4 +255,65 @@ SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(s.n_removed, 0) AS n_
 FROM d LEFT JOIN s ON d.doc_id = s.doc_id
 """,
     "op6_license_scan": _license_sql(),
+    "op11_embedding_dedup": """
+WITH RECURSIVE v AS MATERIALIZED (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+), ok AS MATERIALIZED (
+    SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND list_dot_product(e, e) > 0
+        AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = len(e)
+), links AS MATERIALIZED (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(a, b) AS (
+    SELECT vec_id, vec_id FROM v UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a
+), n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least ON vec_id = least.a LEFT JOIN n ON vec_id = n.a
+""",
+    "op12_prefix_trie": """
+WITH t AS MATERIALIZED (
+    SELECT conv_id, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS said,
+        row_number() OVER (PARTITION BY conv_id
+            ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS i
+    FROM conversations
+), c AS MATERIALIZED (
+    -- CRC-32 bit by bit: a byte is mixed in, then eight steps follow
+    SELECT conv_id, xor(list_reduce(
+        list_concat([4294967295::BIGINT], flatten(list_transform(
+            string_split(conv_id::VARCHAR, ''),
+            lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)
+            ELSE xor(c // 2, c % 2 * 3988292384) END), 4294967295) % 6 AS h
+    FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+), r AS (
+    SELECT conv_id, i, said FROM t JOIN c USING (conv_id) WHERE i > h UNION ALL
+    SELECT c.conv_id, t.i, t.said FROM c JOIN t
+    ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.i <= c.h
+), s AS MATERIALIZED (
+    SELECT c.conv_id, coalesce(s, []) AS s FROM c
+    LEFT JOIN (SELECT conv_id, list(said ORDER BY i) AS s FROM r GROUP BY conv_id) USING (conv_id)
+), p AS (
+    SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM s
+), n AS MATERIALIZED (
+    SELECT s[1:d] AS p, d, min(conv_id) AS conv_id, count(*) AS n,
+        list(conv_id ORDER BY conv_id) FILTER (WHERE len(s) = d) AS ends
+    FROM p GROUP BY ALL
+), k AS (
+    SELECT p[1:d - 1] AS p, count(*) AS n FROM n WHERE d > 0 GROUP BY ALL
+), f AS MATERIALIZED (
+    SELECT n.*, coalesce(k.n, 0) AS kids, (n.n - 1) * coalesce(length(n.p[n.d].t), 0) AS saves
+    FROM n LEFT JOIN k ON n.p = k.p
+), below AS (
+    SELECT p[1:u] AS p, sum(saves)::BIGINT AS saved, count(*) FILTER (WHERE kids = 0) AS leaves
+    FROM (SELECT p, saves, kids, unnest(range(0, d + 1)) AS u FROM f) GROUP BY ALL
+)
+SELECT f.conv_id, f.d AS depth, up.conv_id AS parent_conv_id, f.n AS n_convs,
+    f.kids AS n_children, below.leaves AS n_leaves, below.saved AS saved_tokens,
+    sha256(coalesce(array_to_string(f.ends, ','), '')) AS ends_sha256
+FROM f JOIN below ON f.p = below.p LEFT JOIN n up ON f.d > 0 AND up.p = f.p[1:f.d - 1]
+""",
+    "op13_centroids": _centroid_sql(),
 }
