@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from helpers import SF_DIR, sample
 
 from tidemark.llm.neighbours import Forest, nearest
@@ -48,8 +49,9 @@ def test_copies_ties_and_vectors_that_take_no_part(spark):
     got = {}
     for r in nearest(df, asked).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
-    assert got[0] == [(i, 1.0) for i in range(1, 21)]
-    assert got[50] == [(i, 1.0) for i in range(20)]
+    # Of the row that comes twice, both are candidates.
+    assert got[0] == [(i, 1.0) for i in sorted([*range(1, 20), 5])]
+    assert got[50] == [(i, 1.0) for i in sorted([*range(19), 5])]
     assert got[100] == [(i, 0.5) for i in range(20)]
     assert got.keys() == {0, 50, 100}
 
@@ -63,12 +65,56 @@ def test_few_candidates_and_none(spark):
     assert nearest(few, none).collect() == []
 
 
-def test_blocks_change_nothing(spark):
+@pytest.mark.parametrize("visited", [0.002, 0.03])
+def test_blocks_and_batches_change_nothing(spark, visited):
     df = sample(spark, "embeddings")
     asked = df.filter("vec_id % 50 = 0")
-    one, two = (sorted(map(tuple, nearest(df, asked, visited=0.03, **o).collect()))
-                for o in ({}, {"vectors_per_block": 90, "queries_per_block": 3}))
-    assert one == two
+
+    def rows(**options):
+        return sorted(map(tuple, nearest(df, asked, visited=visited, **options).collect()))
+
+    want = rows()
+    for vectors, queries in ((90, 3), (40, 4096), (17, 7), (251, 2), (8192, 1)):
+        assert rows(vectors_per_block=vectors, queries_per_block=queries) == want
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert rows(vectors_per_block=100) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_a_leaf_does_not_depend_on_the_batch():
+    rng = np.random.default_rng(3)
+    for n in (5, 64, 501):
+        x = rng.standard_normal((n, 64))
+        forest = Forest(x, 4, 4)
+        whole = forest.leaves(x)
+        assert all((forest.leaves(x[i:i + 1]) == whole[i]).all() for i in range(n))
+        assert forest.visited(x[:20], 9) == [forest.visited(x[i:i + 1], 9)[0] for i in range(min(n, 20))]
+
+
+def test_a_query_that_opens_too_little_is_compared_with_all(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((300, 8)).astype("float32"))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    asked = df.filter("vec_id < 30")
+    want = exact(rows, rows[:30], k=250)
+    for size in (300, 40, 9):
+        got = {}
+        for r in nearest(df, asked, k=250, visited=1e-9, vectors_per_block=size).collect():
+            got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+        assert {q: [v[i] for i in sorted(v)] for q, v in got.items()} \
+            == {q: [i for i, _ in v] for q, v in want.items()}
+
+
+def test_repeated_rows_and_ids_are_candidates(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.5, 0.0]), (2, [0.5, 0.0])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(tuple(r) for r in nearest(df, df.filter("vec_id = 1"), k=9).collect())
+    first = [(1, 1.0), (2, 0.5), (2, 0.5), (1, 0.0)]
+    second = [(1, 0.0), (1, 0.0), (2, 0.0), (2, 0.0)]
+    assert got == sorted((1, n + 1, *r) for part in (first, second) for n, r in enumerate(part))
 
 
 def test_all_leaves_are_an_exact_search(spark):
