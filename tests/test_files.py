@@ -1,7 +1,6 @@
 """Delimited sources and the processed zone."""
 
 import gzip
-import random
 from datetime import datetime
 from pathlib import Path
 
@@ -9,8 +8,19 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, TimestampNTZType
 
-from tidemark.schemas import AUTHORS, BOOKS, REVIEWS, USERS
-from tidemark.sinks import write_processed
+from tidemark.plans import read_accepted
+from tidemark.schemas import (
+    AUTHORS,
+    BOOKS,
+    LONG,
+    REVIEWS,
+    TEXT,
+    TIME,
+    USERS,
+    TableSpec,
+    struct,
+)
+from tidemark.sinks import Database, write_processed
 from tidemark.sources import raw_glob, read_delimited, read_processed, read_raw
 
 
@@ -108,148 +118,52 @@ def test_inference_is_opt_in_and_fragile(spark, tmp_path):
     )
 
 
-# ---------------------------------------------------------------- files read in blocks
-
-
-@pytest.fixture
-def small_blocks(spark):
-    before = {
-        name: spark.conf.get(name)
-        for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
-    }
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
-    spark.conf.set("spark.sql.files.openCostInBytes", "1")
-    yield
-    for name, value in before.items():
-        spark.conf.set(name, value)
-
-
-def messy(seed, line_end, malformed):
-    """Records with quotes, separators and line breaks, some longer than a block."""
-    choose = random.Random(seed)
-
-    def value():
-        length = choose.choice([0, 1, 3, 10, 40, 900])
-        return "".join(choose.choice('ab,"\n x') for _ in range(length))
-
-    def field(text):
-        if choose.random() < 0.3 or any(c in text for c in ',"\n'):
-            text = '"' + text.replace('"', '""') + '"'
-        return text
-
-    faults = ("{0}", "{0},a,b,more", '{0},a"b,5" pipe', '{0},"a" tail "q,z', "", "bad,c,d")
-    lines = ["id,s,t"]
-    for i in range(120):
-        line = f"{i},{field(value())},{field(value())}"
-        if malformed and choose.random() < 0.3:
-            line = choose.choice(faults).format(i)
-        lines.append(line)
-    return line_end.join(lines) + choose.choice(["", line_end])
-
-
-def as_rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)
-
-
-@pytest.mark.parametrize("malformed", [False, True])
-@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
-@pytest.mark.parametrize("seed", [1, 2])
-def test_blocks_give_what_the_reader_gives(
-    spark, tmp_path, small_blocks, seed, line_end, malformed
-):
-    (tmp_path / "f.csv").write_bytes(messy(seed, line_end, malformed).encode())
-    path, columns = str(tmp_path / "f.csv"), schema(spark, "id long, s string, t string")
-    assert spark.read.text(path).rdd.getNumPartitions() > 10
-    split = read_delimited(spark, path, columns, corrupt_column="bad", split=True)
-    whole = read_delimited(spark, path, columns, corrupt_column="bad")
-    assert as_rows(split) == as_rows(whole)
-    assert len(as_rows(split)) > 50
-
-
-ENDS = {"lf": "\n", "crlf": "\r\n"}
-CASES = {
-    "break in quotes": 'id,s,t{e}1,"a{e}b",c{e}2,"x{e}{e}y",z{e}',
-    "blank first lines": '{e}{e}id,s,t{e}1,a,b{e}',
-    "blank lines between": 'id,s,t{e}{e}1,a,b{e}{e}{e}2,c,d',
-    "short, long and bad": 'id,s,t{e}1{e}2,a,b,c{e}x,a,b{e}3,a,b{e}',
-    "quotes in quotes": 'id,s,t{e}1,"a ""b""{e}""",""{e}',
-    "header only": 'id,s,t{e}',
-}
-
-
-@pytest.mark.parametrize("mode", ["PERMISSIVE", "DROPMALFORMED"])
-@pytest.mark.parametrize("end", list(ENDS))
-def test_split_reads_alike(spark, tmp_path, small_blocks, end, mode):
-    columns = schema(spark, "id long, s string, t string")
-    for i, (case, text) in enumerate(CASES.items()):
-        path = tmp_path / f"{i}.csv"
-        path.write_bytes(text.format(e=ENDS[end]).encode())
-        both = [read_delimited(spark, str(path), columns, mode=mode, split=s)
-                for s in (False, True)]
-        assert as_rows(both[1]) == as_rows(both[0]), case
-        assert both[1].columns == both[0].columns
-    both = [as_rows(read_delimited(spark, str(tmp_path), columns, mode=mode, split=s,
-                                   corrupt_column="bad")) for s in (False, True)]
-    assert both[1] == both[0]
-
-
-def test_mixed_line_ends_read_alike(spark, tmp_path):
-    path = tmp_path / "f.csv"
-    path.write_bytes(b'id,s,t\n1,"a\r\nb",c\n2,x,"y\r\n"\n')
-    columns = schema(spark, "id long, s string, t string")
-    whole, split = (as_rows(read_delimited(spark, str(path), columns, split=s))
-                    for s in (False, True))
-    assert split == whole == [(1, "a\r\nb", "c"), (2, "x", "y\r\n")]
-
-
-@pytest.mark.parametrize("mode", ["PERMISSIVE", "DROPMALFORMED"])
-def test_split_fails_fast_too(spark, tmp_path, mode):
-    path = put(tmp_path, "f.csv", "id,s\nx,1\n")
+def test_parsed_rows_can_be_dealt_out(spark, tmp_path):
     columns = schema(spark, "id long, s string")
-    for split in (False, True):
-        assert len(as_rows(read_delimited(spark, path, columns, mode=mode, split=split))) == (
-            mode == "PERMISSIVE")
-        with pytest.raises(Exception):
-            read_delimited(spark, path, columns, mode="FAILFAST", split=split).collect()
-
-
-@pytest.mark.parametrize("text, said", [
-    (b'id,s\n1,a\n2,"b\n3,c\n', "never closed"),
-    (b"id,s\r1,a\r", "carriage return"),
-])
-def test_split_refuses_and_names_the_file(spark, tmp_path, text, said):
-    (tmp_path / "odd.csv").write_bytes(text)
-    columns = schema(spark, "id long, s string")
-    with pytest.raises(Exception, match=said) as error:
-        read_delimited(spark, str(tmp_path), columns, split=True).collect()
-    assert "odd.csv" in str(error.value)
+    rows = [f'{i},"a\n{i}"' for i in range(2000)]
+    path = put(tmp_path, "one.csv", "\n".join(["id,s", *rows]))
+    one, many = (read_delimited(spark, path, columns, spread=s) for s in (False, True))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    assert "REBALANCE" in many._jdf.queryExecution().executedPlan().toString()
 
 
-def test_a_stray_quote_is_not_collected(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("tidemark.sources.records.LONGEST", 100)
-    path = put(tmp_path, "f.csv", 'id,s\n1,"a\n' + "x,y\n" * 100 + '2,b"\n')
-    with pytest.raises(Exception, match="too long"):
-        read_delimited(spark, path, schema(spark, "id long, s string"), split=True).collect()
+# ---------------------------------------------------------------- records left out
 
 
-def test_splitting_is_a_choice(spark, tmp_path):
-    columns = schema(spark, "id long, s string")
-    path = put(tmp_path, "f.csv", "id,s\n1,a\n")
-    for split, scan in ((False, "FileScan csv"), (True, "FileScan text")):
-        plan = read_delimited(spark, path, columns, split=split)
-        assert scan in plan._jdf.queryExecution().executedPlan().toString()
-    for options in ({"escape": "\\"}, {"multi_line": False}):
-        with pytest.raises(ValueError, match="split"):
-            read_delimited(spark, path, columns, split=True, **options)
+DATED = TableSpec("dated", struct(id=LONG, name=TEXT, at=TIME), key="id", raw_name="dated",
+                  raw_text=("at",))
+GOOD = "Sat Jul 04 10:11:12 -0700 2020"
 
 
-def test_blocks_check_the_header_too(spark, tmp_path):
-    path = put(tmp_path, "h.csv", "a,id\nx,1\n")
-    columns = schema(spark, "id int, a string")
-    with pytest.raises(Exception, match="header"):
-        read_delimited(spark, path, columns, split=True).collect()
-    fitting = read_delimited(spark, path, schema(spark, "a string, id int"), split=True)
-    assert as_rows(fitting) == [("x", 1)]
+def test_quarantine_keeps_what_is_left_out(spark, tmp_path):
+    source = tmp_path / "raw"
+    source.mkdir()
+    one = put(source, "dated_1.csv", f'id,name,at\n1,a,{GOOD}\n2,b\nx,c,{GOOD}\n3,"d\n,""e""",nope\n')
+    two = put(source, "dated_2.csv", f"id,name,at\n4,f,{GOOD},more\n5,g,\n6,,{GOOD}\n")
+    rejects = Database(spark, "q", str(tmp_path / "tables"))
+    for _ in range(2):
+        good = read_accepted(spark, str(source), DATED, rejects, "run-1", file_column="file")
+    assert sorted((r.id, r["name"], r.at, Path(r.file).name) for r in good.collect()) == [
+        (1, "a", GOOD, "dated_1.csv"), (5, "g", None, "dated_2.csv"),
+        (6, None, GOOD, "dated_2.csv"),
+    ]
+    got = sorted((Path(r.file).name, r.reason, r.text) for r in rejects.read("rejects").collect())
+    assert got == [
+        ("dated_1.csv", "malformed record", "2,b"),
+        ("dated_1.csv", "malformed record", f"x,c,{GOOD}"),
+        ("dated_1.csv", "unreadable date in at", '3,"d\n,\\"e\\"",nope'),
+        ("dated_2.csv", "malformed record", f"4,f,{GOOD},more"),
+    ]
+    assert {r.entity for r in rejects.read("rejects").collect()} == {"dated"}
+    raw = read_delimited(spark, [one, two], DATED.raw_schema)
+    assert raw.count() == good.count() + rejects.read("rejects").count()
+
+
+def test_quarantine_of_nothing(spark, tmp_path):
+    put(tmp_path, "dated.csv", f"id,name,at\n1,a,{GOOD}\n")
+    rejects = Database(spark, "q", str(tmp_path / "tables"))
+    assert read_accepted(spark, str(tmp_path / "dated.csv"), DATED, rejects).count() == 1
+    assert rejects.read("rejects").isEmpty()
 
 
 # ---------------------------------------------------------------- the processed zone

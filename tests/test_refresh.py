@@ -1,5 +1,6 @@
 """Cleaning jobs, the analytics lists, the whole refresh, incremental pick-up."""
 
+import random
 import uuid
 from datetime import datetime
 
@@ -7,10 +8,13 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from tidemark.operators import EmptyTableError
+import tidemark.streaming.landing as landing_module
+from tidemark.operators import EmptyTableError, in_open_window, key_metrics
 from tidemark.plans import (
     AUTHOR_LISTS,
     BOOK_LISTS,
+    DailyTotals,
+    RepeatedKeys,
     check_warehouse,
     clean_authors,
     clean_books,
@@ -20,6 +24,8 @@ from tidemark.plans import (
     refresh,
     refresh_lists,
 )
+from tidemark.plans.incremental import refresh_new
+from tidemark.plans.totals import edges
 from tidemark.schemas import (
     ANALYTICS_TABLES,
     AUTHORS,
@@ -360,33 +366,258 @@ def test_every_drop_is_picked_up_once(spark, database, tmp_path):
     assert rows(warehouse, "authors", "author_id", "name") == [(2, "b")]
 
 
-def test_split_drops_load_alike(spark, database, tmp_path):
-    """Large drops read by many tasks: same rows, same counts, each file once."""
+def test_a_repeated_batch_changes_nothing(spark, database, tmp_path):
+    """With a new checkpoint keyed rows find themselves; with the old one nothing is added at all."""
     landing = tmp_path / "landing"
-    made = [review(i, i, i, 1.0 * i) for i in range(1, 6)]
-    drop(raw(spark, REVIEWS, *made[:3]), landing / "reviews_1.csv")
-    drop(raw(spark, REVIEWS, *made[2:]), landing / "reviews_2.csv")
-    found = []
-    for split in (False, True):
-        staging, warehouse = (database().create(*WAREHOUSE_TABLES) for _ in range(2))
-        run = lambda: ingest(
-            spark, str(landing), REVIEWS, staging, warehouse,
-            str(tmp_path / f"checkpoint-{split}"), split=split,  # noqa: B023
+    staging, warehouse = (database().create(*WAREHOUSE_TABLES) for _ in range(2))
+    unkeyed = {**review(3, 1, 1, 2.0), "review_id": None}
+    drop(raw(spark, REVIEWS, review(1, 1, 1, 5.0), unkeyed), landing / "reviews.csv")
+    for attempt in ("a", "b"):
+        ingest(spark, str(landing), REVIEWS, staging, warehouse, str(tmp_path / attempt))
+    assert rows(warehouse, "reviews", "review_id") == [(1,)]
+
+    def run(before=None):
+        def kept(df):
+            return before(df) if before else df.drop("x")
+
+        return ingest(
+            spark, str(landing), REVIEWS, staging, warehouse, str(tmp_path / "c"),
+            clean=lambda df: kept(clean_dates(df)),
         )
-        assert run() == {1: 3, 2: 3}
-        assert run() == {}
-        found.append(sorted(map(str, warehouse.read("reviews").collect())))
-    assert found[0] == found[1] and 'a\\n"b"|c' in found[0][0]
-    assert len(found[0]) == 6  # the review of both drops is tied at its time
 
+    def clean_dates(df):
+        return df.select(*(F.col(f.name).cast(f.dataType) if f.name not in REVIEWS.raw_text
+                           else F.lit(None).cast(f.dataType).alias(f.name)
+                           for f in REVIEWS.schema))
 
-def test_a_repeated_batch_changes_nothing(spark, database, tmp_path):
+    run()
+    assert warehouse.read("reviews").count() == 2
+    for note in (tmp_path / "c" / "commits").iterdir():
+        note.unlink()
+    assert run() == {None: 2}  # the batch is read again
+    assert warehouse.read("reviews").count() == 2
+
+
+def test_a_batch_that_failed_half_way_is_done_again(spark, database, tmp_path):
     landing = tmp_path / "landing"
     staging, warehouse = (database().create(*WAREHOUSE_TABLES) for _ in range(2))
-    drop(raw(spark, REVIEWS, review(1, 1, 1, 5.0), review(2, 1, 1, 4.0)), landing / "reviews.csv")
-    for attempt in ("a", "b"):
-        ingest(spark, str(landing), REVIEWS, staging, warehouse, str(tmp_path / attempt))
-    assert rows(warehouse, "reviews", "review_id") == [(1,), (2,)]
+    drop(raw(spark, AUTHORS, author(1, "a"), author(2, "b")), landing / "author_1.csv")
+
+    def run(loaded):
+        return ingest(spark, str(landing), AUTHORS, staging, warehouse, str(tmp_path / "c"),
+                      loaded=loaded)
+
+    def fail(change):
+        raise RuntimeError("half way")
+
+    with pytest.raises(Exception, match="half way"):
+        run(fail)
+    assert rows(warehouse, "authors", "author_id") == [(1,), (2,)]
+    changes = []
+    run(changes.append)
+    assert len(changes) == 1 and warehouse.read("authors").count() == 2
+    assert [c.id for c in warehouse.state("authors").changes if c.kind == "upsert"] in (changes, [])
+
+
+def test_one_content_under_several_names_counts_once(spark, database, tmp_path):
+    landing = tmp_path / "landing"
+    staging, warehouse = (database().create(*WAREHOUSE_TABLES) for _ in range(2))
+    one, two = (raw(spark, AUTHORS, author(i, "a")) for i in (1, 2))
+    run = lambda: ingest(
+        spark, str(landing), AUTHORS, staging, warehouse, str(tmp_path / "checkpoint"),
+    )
+    drop(one, landing / "author_1.csv")
+    drop(one, landing / "author_2.csv")
+    assert sum(run().values()) == 1
+    drop(one, landing / "author_3.csv")
+    assert run() == {}
+    drop(two, landing / "author_4.csv")
+    drop(one, landing / "author_5.csv")
+    assert run() == {4: 1}
+
+
+def test_unreadable_records_of_a_drop_go_to_quarantine(spark, database, tmp_path):
+    landing = tmp_path / "landing"
+    staging, warehouse, rejects = (database().create(*WAREHOUSE_TABLES) for _ in range(3))
+    drop(raw(spark, REVIEWS, review(1, 1, 1, 5.0), review(2, 1, 1, 4.0, added="no date")),
+         landing / "reviews_7.csv")
+    for _ in range(2):
+        ingest(spark, str(landing), REVIEWS, staging, warehouse, str(tmp_path / "c"),
+               quarantine=rejects)
+    assert rows(warehouse, "reviews", "review_id") == [(1,)]
+    (reject,) = rejects.read("rejects").collect()
+    assert reject.reason == "unreadable date in review_added_date" and "no date" in reject.text
+    assert "reviews_7.csv" in reject.file
+
+
+# ---------------------------------------------------------------- day by day
+
+
+def days_of(spark):
+    """Drops of three days: new rows, older versions of known ones, moves and null fields."""
+    return [
+        dict(authors=[author(1, " Ann "), author(2, "Bob")], books=[book(7, "seven")],
+             users=[user(1, "u")],
+             reviews=[review(i, 1 + i % 2, 7, 1.0 * (i % 5), f"2020-07-{1 + i % 28:02d} 10:00:00")
+                      for i in range(60)]),
+        dict(authors=[author(1, "stale", OLD), author(3, "Cy")], books=[book(8, "eight")],
+             users=[user(1, "old", OLD)],
+             reviews=[review(i, 3, 8, 4.5, "2020-07-30 00:00:00") for i in range(0, 20, 3)]
+             + [review(5, 9, 9, 1.0, "2019-01-01 00:00:00")]),
+        dict(authors=[], books=[], users=[],
+             reviews=[review(i, 2, None, None, "2020-07-31 23:59:59") for i in range(0, 20, 6)]
+             + [review(100, None, 8, 2.25, "2020-07-01 00:00:00"),
+                review(101, None, 8, 2.25, "2020-07-01 00:00:01")]),
+    ]
+
+
+def put_day(spark, landing, number, day):
+    for spec, name in ((AUTHORS, "author"), (REVIEWS, "reviews"), (BOOKS, "book"), (USERS, "user")):
+        if day[spec.name]:
+            drop(raw(spark, spec, *day[spec.name]), landing / f"{name}_{number}.csv")
+
+
+def test_days_give_what_a_refresh_of_all_gives(spark, tmp_path, monkeypatch):
+    def made(name, parts):
+        return Database(spark, name, str(tmp_path / "tables"), parts)
+
+    landing, window = tmp_path / "landing", dict(low=LOW, high=HIGH)
+    staging, warehouse, analytics = made("s", 0), made("w", 4), made("a", 1)
+    opened = []
+    read = landing_module.read_delimited
+    monkeypatch.setattr(landing_module, "read_delimited",
+                        lambda spark, names, *a, **o: opened.append(names) or read(spark, names, *a, **o))
+    for number, day in enumerate(days_of(spark)):
+        put_day(spark, landing, number, day)
+        opened.clear()
+        counts = refresh_new(
+            spark, landing=str(landing), checkpoint=str(tmp_path / "c"), staging=staging,
+            warehouse=warehouse, analytics=analytics, **window,
+        )
+        # Only files of the day are opened, and every one of its rows is read.
+        assert opened and all(f"_{number}.csv" in name for names in opened for name in names)
+        assert {k: v for k, v in counts.items() if v} == {
+            table: {number: len(rows)} for table, rows in day.items() if rows
+        }
+    whole = [made(n, 1) for n in ("s2", "w2", "a2")]
+    refresh(spark, source=str(landing), processed=str(tmp_path / "p"), staging=whole[0],
+            warehouse=whole[1], analytics=whole[2], **window)
+    for table in WAREHOUSE_TABLES:
+        both = [sorted(map(str, db.read(table.name).collect())) for db in (warehouse, whole[1])]
+        assert both[0] == both[1] and both[0]
+    for table in ANALYTICS_TABLES:
+        both = [sorted(map(str, db.read(table.name).collect())) for db in (analytics, whole[2])]
+        assert both[0] == both[1]
+    assert analytics.read("best_authors").count() > 0
+    held = {r.checked: r.repeated for r in RepeatedKeys(warehouse).read().collect()}
+    assert held == check_warehouse(warehouse)
+
+
+def test_a_day_without_news_changes_nothing(spark, database, tmp_path):
+    staging, warehouse, analytics = database(), database(), database()
+    put_day(spark, tmp_path / "landing", 0, days_of(spark)[0])
+    made = []
+    for _ in range(2):
+        counts = refresh_new(
+            spark, landing=str(tmp_path / "landing"), checkpoint=str(tmp_path / "c"),
+            staging=staging, warehouse=warehouse, analytics=analytics, low=LOW, high=HIGH,
+        )
+        made.append([sorted(map(str, db.read(t.name).collect()))
+                     for db, ts in ((warehouse, WAREHOUSE_TABLES), (analytics, ANALYTICS_TABLES))
+                     for t in ts])
+    assert made[0] == made[1] and not any(counts.values())
+
+
+def test_new_refresh_stops_at_an_empty_table(spark, database, tmp_path):
+    day = {**days_of(spark)[0], "users": []}
+    put_day(spark, tmp_path / "landing", 0, day)
+    with pytest.raises(EmptyTableError, match="users"):
+        refresh_new(
+            spark, landing=str(tmp_path / "landing"), checkpoint=str(tmp_path / "c"),
+            staging=database(), warehouse=database(), analytics=database(), low=LOW, high=HIGH,
+        )
+
+
+# ---------------------------------------------------------------- daily totals
+
+
+def timed(spark, rows):
+    base = spark.createDataFrame(
+        rows, "review_id long, author_id long, review_rating double, record_create_timestamp string"
+    )
+    return base.select(*(
+        F.col(f.name).cast(f.dataType).alias(f.name) if f.name in base.columns
+        else F.lit(None).cast(f.dataType).alias(f.name) for f in REVIEWS.schema
+    ))
+
+
+def test_windows_from_daily_totals_equal_a_scan(spark, tmp_path):
+    choose = random.Random(11)
+
+    def moment():
+        clock = choose.choice(["00:00:00", "23:59:59.999999", "12:30:00", "07:00:01"])
+        return f"2020-07-{choose.randint(1, 12):02d} {clock}"
+
+    def batch(n):
+        return [(choose.randint(0, 60), choose.choice([None, 1, 2, 3]),
+                 choose.choice([None, 0.1, 0.2, 0.3, 4.5, 5.0]),
+                 choose.choice([moment(), moment(), moment(), None])) for _ in range(n)]
+
+    warehouse = Database(spark, "w", str(tmp_path), 4).create(REVIEWS)
+    totals = DailyTotals(warehouse, AUTHOR_LISTS)
+    for number, size in enumerate((50, 20, 1, 30)):
+        rows = {r[0]: r for r in batch(size)}
+        warehouse.upsert("reviews", timed(spark, list(rows.values())), change=f"c{number}")
+        totals.add(warehouse, f"c{number}")
+    totals.add(warehouse, "c3")
+    reviews = warehouse.read("reviews")
+    held = {(r[0], r[1]): tuple(r)[2:] for r in totals.read().collect()}
+    fresh = DailyTotals(Database(spark, "f", str(tmp_path)), AUTHOR_LISTS).begin(warehouse)
+    assert held == {(r[0], r[1]): tuple(r)[2:] for r in fresh.read().collect()}
+    for _ in range(12):
+        low, high = sorted((moment(), moment()))
+        want = key_metrics(
+            in_open_window(reviews, "record_create_timestamp", low, high), "author_id",
+            review_count=F.count("review_id"), average_review_rating=F.avg("review_rating"),
+        ).collect()
+        got = totals.metrics(reviews, low, high).collect()
+        rounded = [sorted(((r[0], r[1], r[2] and round(r[2], 9)) for r in side), key=repr)
+                   for side in (got, want)]
+        assert rounded[0] == rounded[1]
+
+
+def test_totals_read_only_the_days_that_a_window_cuts(spark, tmp_path):
+    warehouse = Database(spark, "w", str(tmp_path), 1).create(REVIEWS)
+    rows = [(i, 1, 1.0, f"2020-07-{1 + i % 28:02d} 12:00:00") for i in range(280)]
+    warehouse.replace("reviews", timed(spark, rows), change="load")
+    totals = DailyTotals(warehouse, AUTHOR_LISTS).begin(warehouse)
+    reviews = warehouse.read("reviews")
+    cut = edges(reviews, "2020-07-03 06:00:00", "2020-07-20 00:00:00")
+    assert {r[0].day for r in cut.select("record_create_timestamp").collect()} == {3}
+    before = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = edges(warehouse.read("reviews"), "2020-07-03 06:00:00", "2020-07-20 00:00:00")
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.maxMetadataStringLength", before)
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "Or(LessThan(record_create_timestamp,2020-07-04T00:00)" in pushed
+    assert totals.metrics(reviews, "2020-07-03 06:00:00", "2020-07-20 00:00:00").first()[1] == 170
+
+
+def test_many_changes_are_summed_up(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.plans.totals.MOST_CHANGES", 3)
+    warehouse = Database(spark, "w", str(tmp_path), 2).create(REVIEWS)
+    totals, repeats = DailyTotals(warehouse, AUTHOR_LISTS), RepeatedKeys(warehouse)
+    for n in range(7):
+        rows = [(n, 1, 1.0, OLD), (n, 1, 2.0, OLD), (n + 1, 2, 3.0, OLD)]
+        warehouse.upsert("reviews", timed(spark, rows), change=f"c{n}")
+        for _ in range(2):
+            totals.add(warehouse, f"c{n}")
+            repeats.add(warehouse, "reviews", f"c{n}")
+    assert len(warehouse.state(totals.spec.name).changes) <= 4
+    got = {r.author_id: (r.seen, float(r.total)) for r in totals.read().collect()}
+    assert got == {1: (14, 21.0), 2: (1, 3.0)}
+    assert [r.repeated for r in repeats.read().collect()] == [7]
 
 
 def test_drop_time_comes_from_the_name(spark, tmp_path):

@@ -1,5 +1,7 @@
-"""Tables: creation, append, replacement, upsert, layout, crashes, other sessions."""
+"""Tables: creation, append, replacement, upsert, layout, failures, other sessions."""
 
+import random
+import re
 import subprocess
 import sys
 import uuid
@@ -8,6 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import latest
 from tidemark.schemas import (
     ANALYTICS_TABLES,
     LONG,
@@ -17,7 +20,7 @@ from tidemark.schemas import (
     TableSpec,
     struct,
 )
-from tidemark.sinks import ConcurrentChangeError, Database
+from tidemark.sinks import BucketedTable, Database, merged_over_salts
 
 PAIR = TableSpec("pair", struct(k=LONG, p=TEXT), key="k", distribute_on="k")
 TIMED = TableSpec("timed", struct(k=LONG, t=TIME), key="k", sort_by="t")
@@ -25,8 +28,8 @@ TIMED = TableSpec("timed", struct(k=LONG, t=TIME), key="k", sort_by="t")
 
 @pytest.fixture
 def database(spark, tmp_path):
-    def make(buckets=None, fold_at=None):
-        return Database(spark, f"d{uuid.uuid4().hex}", str(tmp_path), buckets, fold_at)
+    def make(parts=None):
+        return Database(spark, f"d{uuid.uuid4().hex}", str(tmp_path), parts)
 
     return make
 
@@ -39,31 +42,18 @@ def content(db, table="pair"):
     return sorted((tuple(r) for r in db.read(table).collect()), key=repr)
 
 
-def state(db, table="pair"):
-    """The folders of the table and of its collected upserts."""
-    now = db._now(table)
-    return [f.path for f in now.base], [f.path for f in now.recent]
+def folders(db, table="pair"):
+    return sorted(p.name for p in Path(f"{db.root}/{table}").iterdir() if p.is_dir())
 
 
-class Crash(Exception):
-    pass
+def read_parts(df):
+    """The parts whose files a DataFrame reads."""
+    return {int(m) for m in re.findall(r"part=(\d+)", " ".join(df.inputFiles()))}
 
 
-@pytest.fixture
-def crashing(monkeypatch):
-    """Makes the n-th commit of a database fail, after everything before it is done."""
-    def arm(db, nth):
-        commit, seen = db._commit, []
-
-        def fail(table, manifest):
-            seen.append(manifest)
-            if len(seen) == nth:
-                raise Crash
-            commit(table, manifest)
-
-        monkeypatch.setattr(db, "_commit", fail)
-
-    return arm
+def part_of(spark, parts, *keys):
+    rows = spark.createDataFrame([(k,) for k in keys], "k long")
+    return {r[0] for r in rows.select(F.pmod(F.xxhash64("k"), F.lit(parts))).collect()}
 
 
 def test_creation_is_idempotent(spark, database):
@@ -119,87 +109,83 @@ def test_any_object_and_session_sees_the_tables(spark, database, tmp_path):
     assert fresh.schema("pair") == PAIR.schema
 
 
-def test_of_two_writers_one_wins(spark, database):
-    db = database().create(PAIR)
-    db.replace("pair", pairs(spark, (1, "a")))
-    for change in ("replace", "append", "upsert"):
-        other = Database(spark, db.name, db.root.rsplit("/", 1)[0])
-        seen = other._now("pair")
-        db.upsert("pair", pairs(spark, (2, change)))
-        before = content(db)
-        other._now = lambda table, seen=seen: seen
-        with pytest.raises(ConcurrentChangeError):
-            getattr(other, change)("pair", pairs(spark, (3, "lost")))
-        assert content(db) == before
-
-
-def test_expiry_keeps_what_is_named(spark, database):
-    db = database(fold_at=1e9).create(PAIR)
+def test_expiry_keeps_what_is_read(spark, database):
+    db = database(4).create(PAIR)
     db.replace("pair", pairs(spark, (1, "a")))
-    db.upsert("pair", pairs(spark, (2, "b")))
-    db.replace("pair", pairs(spark, (3, "c")))
-    db.append("pair", pairs(spark, (4, "d")))
-    db.upsert("pair", pairs(spark, (5, "e")))
-    folder = Path(f"{db.root}/pair")
-    folders = lambda: {p.name for p in folder.iterdir()} - {"_manifest"}
-    assert len(folders()) == 5
-    assert db.expire("pair", keep=1) == [] and len(folders()) == 5
-    assert len(db.expire("pair", keep=1, min_age_hours=-1)) == 2
-    assert folders() == {p.rsplit("/", 1)[1] for side in state(db) for p in side}
-    assert content(db) == [(3, "c"), (4, "d"), (5, "e")]
-    db.fold("pair")
-    assert content(db) == [(3, "c"), (4, "d"), (5, "e")]
-
-
-# ---------------------------------------------------------------- crashes
+    db.replace("pair", pairs(spark, *((i, "b") for i in range(40))))
+    db.upsert("pair", pairs(spark, (2, "c"), (None, "n")))
+    db.append("pair", pairs(spark, (2, "d")))
+    before = content(db)
+    assert db.expire("pair") == [] and content(db) == before
+    gone = db.expire("pair", min_age_hours=-1)
+    # The first content, and the part of the second that the upsert wrote anew.
+    assert len(gone) == 2 and gone[0].startswith("replace-") and "/part=" in gone[1]
+    assert content(db) == before
+    assert db.expire("pair", min_age_hours=-1) == []
+    db.compact("pair")
+    assert content(db) == before and len(db.state("pair").changes) == 1
+    assert len(db.expire("pair", min_age_hours=-1)) == 3 and content(db) == before
+    db.compact("pair")
+    assert len(folders(db)) == 1
+
+
+# ---------------------------------------------------------------- failures and repeats
 
 
 CHANGES = {
     "replace": [(7, "r"), (None, "r")],
     "append": [(2, "again"), (None, "n")],
     "upsert": [(2, "u"), (9, "u"), (None, "u")],
-    "fold": None,
 }
 
 
-@pytest.mark.parametrize("fold_at", [None, 1e9, 1e-9])
+def loaded(spark, db):
+    db.create(PAIR)
+    db.replace("pair", pairs(spark, (1, "a"), (2, "b"), (None, "n"), (None, "n")))
+    db.upsert("pair", pairs(spark, (2, "x"), (3, "y"), (None, "m")))
+    return db
+
+
+@pytest.mark.parametrize("parts", [0, 1, 4])
 @pytest.mark.parametrize("change", list(CHANGES))
-def test_a_crash_leaves_the_old_rows_or_the_new(spark, database, crashing, change, fold_at):
-    """Stops before every commit of a change, and repeats the change afterwards."""
-    start = [(1, "a"), (2, "b"), (None, "n"), (None, "n")]
-    batch = CHANGES[change]
-
-    def loaded():
-        db = database(fold_at=1e9).create(PAIR)
-        db.replace("pair", pairs(spark, *start))
-        db.upsert("pair", pairs(spark, (2, "x"), (3, "y"), (None, "m")))
-        db.fold_at = fold_at
-        return db
-
-    def run(db):
-        getattr(db, change)(*(["pair"] if batch is None else ["pair", pairs(spark, *batch)]))
-
-    whole = loaded()
+def test_a_failed_change_leaves_the_old_rows(spark, database, change, parts):
+    """It fails while rows are written, or before the end is noted; then it is repeated."""
+    whole, batch = loaded(spark, database(parts)), pairs(spark, *CHANGES[change])
     old = content(whole)
-    assert old == sorted([(1, "a"), (2, "x"), (3, "y"), (None, "n"), (None, "n"), (None, "m")],
-                         key=repr)
-    run(whole)
+    getattr(whole, change)("pair", batch)
     new = content(whole)
-    for nth in (1, 2):
-        db = loaded()
-        crashing(db, nth)
-        try:
-            run(db)
-            assert nth > 1
-        except Crash:
-            # The second commit only folds, which changes no row.
-            second_adds = change == "append"
-            assert content(db) == (old if nth == 1 or second_adds else new)
-            fresh = Database(spark, db.name, db.root.rsplit("/", 1)[0], fold_at=fold_at)
-            assert content(fresh) == content(db)
-            if nth == 1:
-                run(fresh)
-                assert content(fresh) == new
+    db = loaded(spark, database(parts))
+    assert content(db) == old
+    broken = F.when(F.col("p").isin("r", "again", "u"), F.raise_error(F.lit("half way")))
+    with pytest.raises(Exception, match="half way"):
+        getattr(db, change)("pair", batch.withColumn("p", broken.otherwise(F.col("p"))))
+    assert content(db) == old
+    getattr(db, change)("pair", batch, "day")
+    (done,) = Path(f"{db.root}/pair").glob("*-day/_SUCCESS")
+    done.unlink()
+    fresh = Database(spark, db.name, db.root.rsplit("/", 1)[0], parts)
+    assert content(fresh) == old
+    getattr(fresh, change)("pair", batch, "day")
+    assert content(fresh) == new
+
+
+@pytest.mark.parametrize("parts", [0, 4])
+@pytest.mark.parametrize("change", list(CHANGES))
+def test_a_change_with_an_id_is_done_once(spark, database, change, parts):
+    db = loaded(spark, database(parts))
+    batch = pairs(spark, *CHANGES[change])
+    getattr(db, change)("pair", batch, "run-1")
+    new, before = content(db), folders(db)
+    getattr(db, change)("pair", batch, "run-1")
+    assert content(db) == new and folders(db) == before
+    getattr(db, change)("pair", batch, "run-2")
+    assert len(folders(db)) == len(before) + 1
+
+
+def test_ids_name_folders(spark, database):
+    db = database().create(PAIR)
+    with pytest.raises(ValueError, match="id"):
+        db.replace("pair", pairs(spark, (1, "a")), change="../away")
 
 
 def test_append_is_by_position_and_does_not_replace(spark, database):
@@ -253,18 +239,117 @@ def test_upsert_on_tables(spark, database):
     assert content(db) == [(1, "a"), (2, "x"), (3, "y"), (None, "n")]
 
 
-@pytest.mark.parametrize("buckets, shuffles", [(None, 1), (4, 0)])
-def test_layout_changes_the_plan_and_not_the_result(spark, database, buckets, shuffles):
-    db = database(buckets).create(PAIR)
-    rows = spark.range(300).select((F.col("id") % 7).alias("k"), F.lit("p").alias("p"))
+# ---------------------------------------------------------------- parts
+
+
+def test_an_upsert_reads_and_writes_only_the_parts_of_its_keys(spark, database):
+    db = database(16).create(PAIR)
+    rows = spark.range(500).select(F.col("id").alias("k"), F.lit("p").alias("p"))
     db.replace("pair", rows)
-    db.upsert("pair", pairs(spark, (3, "x")))
-    counts = db.read("pair").groupBy("k").count()
-    assert counts._jdf.queryExecution().executedPlan().toString().count(
-        "Exchange hashpartitioning"
-    ) == shuffles
-    expected = rows.where("k <> 3").groupBy("k").count().collect()
-    assert sorted(map(tuple, counts.collect())) == sorted([*map(tuple, expected), (3, 1)])
+    touched = part_of(spark, 16, 3, 700)
+    assert len(touched) < 16
+    seen = []
+    load = db._load
+    db._load = lambda spec, names: seen.append(load(spec, names)) or seen[-1]
+    db.upsert("pair", pairs(spark, (3, "x"), (700, "y"), (None, "n")), change="few")
+    (target,) = seen
+    assert read_parts(target) == touched & part_of(spark, 16, *range(500))
+    (folder,) = Path(f"{db.root}/pair").glob("upsert-*")
+    assert {p.name for p in folder.glob("part=*")} == {
+        *(f"part={p}" for p in touched), "part=__HIVE_DEFAULT_PARTITION__"
+    }
+    db._load = load
+    want = {(k, "p") for k in range(500) if k != 3} | {(3, "x"), (700, "y"), (None, "n")}
+    assert set(content(db)) == want and db.read("pair").count() == 502
+    assert read_parts(db.read("pair", change="few")) == touched
+
+
+def test_any_sequence_of_changes_gives_the_same_in_parts_or_whole(spark, database):
+    choose = random.Random(3)
+    changes = []
+    for _ in range(9):
+        batch = [(choose.choice([*range(9), None]), choose.choice("uvw"))
+                 for _ in range(choose.randint(0, 4))]
+        changes.append((choose.choice(["upsert", "upsert", "append", "replace"]), batch))
+    made = []
+    for parts in (0, 1, 5):
+        db = database(parts).create(PAIR)
+        for change, batch in changes:
+            getattr(db, change)("pair", pairs(spark, *batch))
+        made.append(content(db))
+    assert made[0] == made[1] == made[2]
+
+
+def test_a_hot_part_is_several_files(spark, database):
+    db = database(4).create(PAIR)
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("p"),
+    )
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+                "spark.sql.shuffle.partitions": "4"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        db.replace("pair", rows)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    (hot,) = part_of(spark, 4, 1)
+    files = [f for f in db.read("pair").inputFiles() if f"part={hot}/" in f]
+    assert len(files) > 1
+    most = max(spark.read.parquet(f).count() for f in files)
+    assert most < 13_000 and db.read("pair").count() == 40_000
+
+
+def test_the_newest_row_of_a_key_stays(spark, database):
+    db = database(3).create(TIMED)
+    days = [[(1, "2020-01-02"), (2, "2020-01-05"), (3, None)], [(1, "2020-01-01"), (4, "2020-01-01")],
+            [(1, "2020-01-03"), (1, "2020-01-03"), (2, "2020-01-04"), (3, "2020-01-01")]]
+
+    def rows(*days):
+        return spark.createDataFrame([r for d in days for r in d], "k long, t string").select(
+            "k", F.col("t").cast("timestamp_ntz")
+        )
+
+    for day in days:
+        db.upsert("timed", rows(day), newest="t")
+    got = sorted((r.k, str(r.t)[:10]) for r in db.read("timed").collect())
+    assert got == [(1, "2020-01-03"), (1, "2020-01-03"), (2, "2020-01-05"), (3, "2020-01-01"),
+                   (4, "2020-01-01")]
+    assert sorted(map(str, latest(rows(*days), ["k"], "t").collect())) == sorted(
+        map(str, db.read("timed").collect()))
+
+
+def test_rows_around_a_change(spark, database):
+    db = database(4).create(PAIR)
+    db.replace("pair", pairs(spark, *((k, "a") for k in range(20))), change="load")
+    before, after = db.around("pair", "load")
+    assert before.isEmpty() and after.count() == 20 and db.is_whole("pair", "load")
+    db.upsert("pair", pairs(spark, (3, "b"), (None, "n")), change="one")
+    db.upsert("pair", pairs(spark, (3, "c"), (None, "o")), change="two")
+    for change, old, new, key in (("one", "a", "b", "n"), ("two", "b", "c", "o")):
+        sides = [sorted(map(tuple, side.collect()), key=repr) for side in db.around("pair", change)]
+        assert (3, old) in sides[0] and (3, new) in sides[1]
+        assert (None, key) in sides[1] and (None, key) not in sides[0]
+        rest = [[r for r in side if r[0] not in (3, None)] for side in sides]
+        assert rest[0] == rest[1] and 0 < len(rest[0]) < 19
+        assert not db.is_whole("pair", change)
+    with pytest.raises(ValueError, match="no change"):
+        db.around("pair", "three")
+
+
+def test_the_number_of_parts_follows_the_size(spark, database, monkeypatch):
+    db = database().create(PAIR)
+    rows = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("p"))
+    db.replace("pair", rows.toDF("k", "p"))
+    monkeypatch.setattr("tidemark.sinks.tables.PART_BYTES", 100_000)
+    db.replace("pair", rows.toDF("k", "p"))
+    assert db.state("pair").parts > 5
+    assert db.read("pair").count() == 20_000
+    db.upsert("pair", pairs(spark, (1, "x")))
+    assert db.state("pair").parts > 5 and db.read("pair").count() == 20_000
 
 
 def test_rows_are_sorted_by_time_within_a_file(spark, database):
@@ -308,84 +393,64 @@ def test_a_window_skips_files(spark, database):
     assert scanned.count() == expected > 0 and kept <= 2
 
 
-# ---------------------------------------------------------------- collected upserts
-
-
-BATCHES = (
-    [(2, "x"), (3, "y"), (None, "m")],
-    [(3, "z"), (3, "zz"), (4, "w")],
-    [(1, "q"), (None, "m")],
-)
-
-
-@pytest.mark.parametrize("buckets", [None, 4])
-def test_collected_upserts_read_like_plain_ones(spark, database, buckets):
-    plain, collecting = database(buckets), database(buckets, fold_at=1e9)
-    for db in (plain, collecting):
-        db.create(PAIR)
-        db.upsert("pair", pairs(spark, (1, "a"), (2, "b"), (None, "n"), (5, "e")))
-    untouched, _ = state(collecting)
-    for batch in BATCHES:
-        for db in (plain, collecting):
-            db.upsert("pair", pairs(spark, *batch))
-        assert content(collecting) == content(plain)
-    base, recent = state(collecting)
-    assert base == untouched and len(recent) == 1
-    collecting.fold("pair")
-    assert content(collecting) == content(plain)
-    assert state(collecting)[1] == []
-
-
-def test_collected_upserts_are_folded_at_their_share(spark, database):
-    db = database(fold_at=0.5).create(PAIR)
-    base = spark.range(5000).select("id", F.sha2(F.col("id").cast("string"), 256))
-    db.replace("pair", base.toDF("k", "p"))
-    db.upsert("pair", pairs(spark, (1, "a")))
-    assert len(state(db)[1]) == 1
-    db.upsert("pair", base.toDF("k", "p").where("k < 4000"))
-    assert state(db)[1] == []
-    assert db.read("pair").count() == 5000
+def test_a_window_skips_pages_of_a_part(spark, database):
+    db = database(2).create(TIMED)
+    rows = spark.range(20_000).select(
+        F.col("id").alias("k"),
+        F.timestamp_seconds(F.pmod(F.hash("id"), F.lit(10**9))).cast("timestamp_ntz").alias("t"),
+    )
+    db.replace("timed", rows)
+    for file in db.read("timed").inputFiles():
+        times = [r.t for r in spark.read.parquet(file).collect()]
+        assert times == sorted(times)
 
 
-def test_emptiness_is_seen_without_a_join(spark, database):
-    db = database(fold_at=1e9).create(PAIR)
+def test_emptiness(spark, database):
+    db = database().create(PAIR)
     assert db.is_empty("pair")
     db.replace("pair", pairs(spark, (1, "a")).where("false"))
     assert db.is_empty("pair")
     db.upsert("pair", pairs(spark, (1, "a")))
     assert not db.is_empty("pair")
-    db.replace("pair", pairs(spark, (1, "a")))
-    db.upsert("pair", pairs(spark, (1, "b")))
-    seen = []
-    load = db._load
-    db._load = lambda spec, side: seen.append(load(spec, side)) or seen[-1]
-    assert not db.is_empty("pair")
-    for df in seen:
-        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_bucket_count_follows_the_size(spark, database, monkeypatch):
-    db = database(buckets=True).create(PAIR)
-    rows = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("p"))
-    db.replace("pair", rows.toDF("k", "p"))
-    monkeypatch.setattr("tidemark.sinks.tables.BUCKET_BYTES", 100_000)
-    db.replace("pair", rows.toDF("k", "p"))
-    (folder,) = db._now("pair").base
-    assert folder.buckets > 5
-    plan = db.read("pair").groupBy("k").count()._jdf.queryExecution().executedPlan()
-    assert "Exchange" not in plan.toString()
-    assert db.read("pair").count() == 20_000
+# ---------------------------------------------------------------- buckets
 
 
-def test_other_writes_do_not_meet_collected_upserts(spark, database):
-    db = database(fold_at=1e9).create(PAIR)
-    db.replace("pair", pairs(spark, (1, "a")))
-    db.upsert("pair", pairs(spark, (1, "b")))
-    db.append("pair", pairs(spark, (1, "c")))
-    assert content(db) == [(1, "b"), (1, "c")]
-    db.upsert("pair", pairs(spark, (1, "d")))
-    db.replace("pair", pairs(spark, (1, "e")))
-    assert content(db) == [(1, "e")]
-    db.upsert("pair", pairs(spark, (1, "f")))
-    db.drop("pair")
-    assert not db.exists("pair")
+def orders(spark, hot):
+    key = F.when(F.col("id") % 3 == 0, F.lit(1)) if hot else F.when(F.lit(False), F.lit(1))
+    return spark.range(6000).select(
+        key.otherwise(F.when(F.col("id") % 50 != 7, F.col("id") % 500)).alias("k"), "id"
+    )
+
+
+COUNTS = ({"n": F.count, "last": F.max}, {"n": F.sum, "last": F.max})
+
+
+def merged(table):
+    partial, merge = ({n: f(c) for (n, f), c in zip(fs.items(), cs)}
+                      for fs, cs in zip(COUNTS, (("id", "id"), ("n", "last"))))
+    return merged_over_salts(table, "k", partial, merge)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_buckets_with_a_hot_value(spark, tmp_path, hot):
+    rows = orders(spark, hot)
+    table = BucketedTable(spark, str(tmp_path / "b"))
+    heavy = table.write(rows, "k", buckets=8, salts=5, sort_by="id")
+    assert heavy == ([1] if hot else [])
+    read = BucketedTable(spark, str(tmp_path / "b")).read()
+    got = merged(read)
+    want = rows.groupBy("k").agg(F.count("id").alias("n"), F.max("id").alias("last"))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    # One exchange, of the partial rows of the hot value.
+    plan = merged(read)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    light = merged(read.where("salt = 0"))
+    sizes = [r["count"] for r in read.groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert max(sizes) < 6000 / 3 and light.count() >= want.count() - 1
+
+
+def test_a_bucketed_table_has_a_salt_of_its_own(spark, tmp_path):
+    with pytest.raises(ValueError, match="salt"):
+        BucketedTable(spark, str(tmp_path / "b")).write(spark.range(3).toDF("salt"), "salt")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -21,16 +22,45 @@ def align(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
 
 
+def _claimed(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of a batch, thinned to at most LANES copies of each before the shuffle.
+
+    Thinning to one copy would leave them partitioned by key, and the target's side of a join could
+    then no longer be split at a hot key.
+    """
+    lane = F.spark_partition_id() % LANES
+    return staging.select(*keys, lane.alias("_lane")).distinct().drop("_lane")
+
+
 def upsert(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``target`` without the keys of ``staging``, and all rows of ``staging``.
 
     The batch wins whatever the versions. Keys repeated in the batch are all inserted; a null
     key matches nothing, so such rows of either side stay.
     """
-    # Only the keys of the batch are compared, thinned to at most LANES copies of each before
-    # the shuffle. Thinning to one copy would leave them partitioned by key, and the target's
-    # side of the join could then no longer be split at a hot key.
-    lane = F.spark_partition_id() % LANES
-    claimed = staging.select(*keys, lane.alias("_lane")).distinct().drop("_lane")
-    kept = target.join(claimed, list(keys), "left_anti").select(*target.columns)
+    kept = target.join(_claimed(staging, keys), list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(align(staging, target.schema))
+
+
+def upsert_newest(
+    target: DataFrame, staging: DataFrame, keys: Sequence[str], version: str
+) -> DataFrame:
+    """Per key of ``staging`` the rows of either side with the highest ``version``.
+
+    Other keys stay as they are. So batches may come in any order, and give together what
+    ``latest`` gives of all their rows. Rows tied at the highest version are all kept, and a null
+    version is lower than any. A null key matches nothing, so such rows of either side stay.
+    """
+    batch = align(staging, target.schema)
+    claimed, keys = _claimed(staging, keys), list(keys)
+    has_key = reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))
+    kept = target.join(claimed, keys, "left_anti").select(*target.columns)
+    old = target.join(claimed, keys, "left_semi").select(*target.columns)
+    both = old.unionAll(batch.where(has_key))
+    highest = both.groupBy(*keys).agg(F.max(version).alias("_highest")).select(
+        *(F.col(k).alias(f"_{k}") for k in keys), "_highest"
+    )
+    same = F.col(version).eqNullSafe(F.col("_highest"))
+    for key in keys:
+        same = same & (F.col(key) == F.col(f"_{key}"))
+    return kept.unionAll(both.join(highest, same, "left_semi")).unionAll(batch.where(~has_key))

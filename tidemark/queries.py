@@ -30,22 +30,35 @@ from tidemark.operators import (
     require_rows,
     row_counts,
     top_k,
+    top_k_counted,
     top_k_enriched,
     upsert,
 )
-from tidemark.plans import AUTHOR_LISTS, BOOK_LISTS, KeyLists, refresh, refresh_lists
+from tidemark.plans import (
+    AUTHOR_LISTS,
+    BOOK_LISTS,
+    DailyTotals,
+    KeyLists,
+    RepeatedKeys,
+    read_accepted,
+    refresh,
+    refresh_lists,
+)
+from tidemark.plans.incremental import refresh_new
 from tidemark.schemas import (
     BEST_BOOKS_INTEGER,
     DOUBLE,
     INT,
     LONG,
+    REVIEWS,
     TEXT,
     TIME,
     TableSpec,
     struct,
 )
 from tidemark.session import scratch_path
-from tidemark.sinks import Database, write_processed
+from tidemark.sinks import BucketedTable, Database, merged_over_salts, write_processed
+from tidemark.sinks.folders import Folders
 from tidemark.sources import read_delimited, read_processed
 from tidemark.streaming import ingest
 
@@ -286,10 +299,10 @@ def dq_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     SELECT 'repeated keys', count(*) FROM orders WHERE o_orderkey % 3 = 0
 """)
 def dq_collected_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Checks on a table that collects upserts, after a batch that repeats its keys."""
+    """Checks on a table in parts, after a batch that repeats its keys."""
     orders = _table(spark, sf, "orders")
     twice = orders.where("o_orderkey % 3 = 0")
-    tables = _database(spark, "checked", fold_at=100.0).create(ORDERS)
+    tables = _database(spark, "checked", parts=4).create(ORDERS)
     tables.replace("orders", orders)
     tables.upsert("orders", twice.unionAll(twice))
     if tables.is_empty("orders"):
@@ -438,9 +451,9 @@ def upsert_orders_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(UPSERT_ORDERS_SQL)
 def upsert_orders_collected(spark: SparkSession, sf: str) -> DataFrame:
-    """The same in two batches that are kept beside the table and laid over it on reading."""
+    """The same in two batches on a table in parts, the second over the first."""
     target, batch = _upsert_sides(spark, sf)
-    warehouse = _database(spark, "warehouse", fold_at=100.0).create(ORDERS)
+    warehouse = _database(spark, "warehouse", parts=4).create(ORDERS)
     warehouse.replace("orders", target)
     warehouse.upsert("orders", batch.withColumn("o_orderstatus", F.lit("early")))
     warehouse.upsert("orders", batch)
@@ -452,14 +465,105 @@ def upsert_orders_collected(spark: SparkSession, sf: str) -> DataFrame:
     FROM orders GROUP BY o_custkey
 """)
 def bucketed_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """A table bucketed by the grouping key: no shuffle in the aggregation."""
-    tables = _database(spark, "bucketed", buckets=True).create(ORDERS)
-    tables.replace("orders", _table(spark, sf, "orders"))
-    return tables.read("orders").groupBy("o_custkey").agg(
-        F.count("o_orderkey").alias("n"), F.max("o_orderdate").alias("newest")
+    """A table bucketed by the grouping key: no shuffle in the aggregation of most keys."""
+    return _per_bucketed_key(spark, _table(spark, sf, "orders"), "o_custkey")
+
+
+def _per_bucketed_key(spark: SparkSession, orders: DataFrame, key: str) -> DataFrame:
+    table = BucketedTable(spark, scratch_path(spark, "bucketed"))
+    table.write(orders, key, buckets=8, salts=4, sort_by="o_orderdate")
+    return merged_over_salts(
+        table.read(), key,
+        {"n": F.count("o_orderkey"), "newest": F.max("o_orderdate")},
+        {"n": F.sum("n"), "newest": F.max("newest")},
     )
 
 
+@register("""
+    SELECT CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS c,
+           count(o_orderkey) AS n, max(o_orderdate) AS newest
+    FROM orders GROUP BY 1
+""")
+def bucketed_hot_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """The same where one key has a third of the rows, which are dealt over several buckets."""
+    hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("o_custkey"))
+    return _per_bucketed_key(spark, _table(spark, sf, "orders").withColumn("c", hot), "c")
+
+
+# ---------------------------------------------------------------- changes of tables in parts
+
+
+def _as_of(days: int, status: str) -> str:
+    return f"""o_orderkey, o_custkey, '{status}' AS o_orderstatus, o_totalprice,
+        o_orderdate + INTERVAL {days} DAY AS o_orderdate, o_orderpriority"""
+
+
+@register(f"""
+    SELECT * FROM orders WHERE o_orderkey % 997 <> 5
+    UNION ALL SELECT {_as_of(1, "U")} FROM orders WHERE o_orderkey % 997 = 5
+""")
+def upsert_few_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch of few keys, done twice under one id: only parts with its keys are rewritten."""
+    orders = _table(spark, sf, "orders")
+    tables = _database(spark, "parts", parts=64).create(ORDERS)
+    tables.replace("orders", orders)
+    batch = _later(orders.where("o_orderkey % 997 = 5"), 1, "U")
+    for _ in range(2):
+        tables.upsert("orders", batch, change="day-1")
+    return tables.read("orders")
+
+
+def _later(orders: DataFrame, days: int, status: str) -> DataFrame:
+    moved = F.col("o_orderdate") + F.expr(f"INTERVAL {days} DAY")
+    return orders.withColumn("o_orderstatus", F.lit(status)).withColumn("o_orderdate", moved)
+
+
+@register(f"""
+    SELECT * FROM orders WHERE o_orderkey % 3 <> 0
+    UNION ALL SELECT {_as_of(10, "new")} FROM orders WHERE o_orderkey % 3 = 0
+""")
+def upsert_newest_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches in the wrong order of time: a key keeps its newest row."""
+    orders = _table(spark, sf, "orders")
+    tables = _database(spark, "newest", parts=8).create(ORDERS)
+    for batch in (
+        _later(orders.where("o_orderkey % 3 = 0"), 10, "new"), orders, _later(orders, -10, "old"),
+    ):
+        tables.upsert("orders", batch, newest="o_orderdate")
+    return tables.read("orders")
+
+
+@register("SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 5 = 0")
+def append_repeated_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs append; the second is done again, as after a failure, and adds nothing."""
+    orders = _table(spark, sf, "orders")
+    tables = _database(spark, "runs").create(ORDERS)
+    some = orders.where("o_orderkey % 5 = 0")
+    for run, rows in (("run-1", orders), ("run-2", some), ("run-2", some)):
+        tables.append("orders", rows, change=run)
+    return tables.read("orders")
+
+
+@register("""
+    SELECT 'orders' AS checked, count(*) AS repeated FROM orders WHERE o_orderkey % 3 = 1
+""")
+def dq_changed_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Repeated keys counted change by change, each in the parts that it wrote."""
+    orders = _table(spark, sf, "orders")
+    tables = _database(spark, "counted", parts=16).create(ORDERS)
+    repeats = RepeatedKeys(tables)
+    tables.replace("orders", orders, change="load")
+    repeats.add(tables, "orders", "load")
+    both = orders.unionAll(orders)
+    for change, batch in (
+        ("twice", both.where("o_orderkey % 3 < 2")), ("once", orders.where("o_orderkey % 3 = 0")),
+    ):
+        tables.upsert("orders", batch, change=change)
+        for _ in range(2):
+            repeats.add(tables, "orders", change)
+    return repeats.read()
+
+
 # ---------------------------------------------------------------- delimited files
 
 
@@ -490,12 +594,16 @@ def csv_roundtrip_documents(spark: SparkSession, sf: str) -> DataFrame:
     FROM documents CROSS JOIN (VALUES ('whole'), ('split')) AS r(reader)
 """)
 def csv_split_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """The same files read whole, a task each, and split among tasks."""
+    """A drop in large files, a task each, and the same in files of bounded size, dealt out."""
     documents = _table(spark, sf, "documents")
     path = scratch_path(spark, "csv_split_documents")
-    documents.write.option("header", True).option("escape", '"').csv(path)
+    for name, rows in (("whole", 0), ("split", 100)):
+        documents.write.option("header", True).option("escape", '"').option(
+            "maxRecordsPerFile", rows
+        ).csv(f"{path}/{name}")
     whole, split = (
-        read_delimited(spark, path, documents.schema, split=s) for s in (False, True)
+        read_delimited(spark, f"{path}/{name}", documents.schema, spread=name == "split")
+        for name in ("whole", "split")
     )
     return whole.withColumn("reader", F.lit("whole")).unionAll(
         split.withColumn("reader", F.lit("split"))
@@ -528,7 +636,7 @@ def csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
 def csv_malformed(spark: SparkSession, sf: str) -> DataFrame:
     """Short records are filled with null, surplus fields dropped, and both are kept apart.
 
-    Or such records are left out; each by both ways of reading.
+    Or such records are left out; each read by line and as files with line breaks in quotes.
     """
     path = scratch_path(spark, "csv_malformed")
     kind = F.col("c_custkey") % 3
@@ -545,10 +653,46 @@ def csv_malformed(spark: SparkSession, sf: str) -> DataFrame:
         ).select("id", "name", "nation", F.col("malformed").isNotNull().alias("malformed"),
                  F.lit(name + label).alias("reader"))
         for mode, label in (("PERMISSIVE", ""), ("DROPMALFORMED", ", dropping"))
-        for name, how in (("lines", {"multi_line": False}), ("split", {"split": True}))
+        for name, how in (("lines", {"multi_line": False}), ("split", {"spread": True}))
     ))
 
 
+CUSTOMERS = TableSpec(
+    "customers", struct(id=LONG, name=TEXT, nation=INT, since=TIME), key="id",
+    raw_name="customer", raw_text=("since",),
+)
+
+
+@register("""
+    SELECT CASE c_custkey % 5 WHEN 0 THEN 'malformed record' WHEN 1 THEN 'malformed record'
+            WHEN 2 THEN 'unreadable date in since' ELSE 'accepted' END AS reason,
+        CASE c_custkey % 5
+            WHEN 0 THEN c_custkey::VARCHAR
+            WHEN 1 THEN concat_ws(',', c_custkey, c_name, c_nationkey, 'Sat Jul 04 10:11:12 -0700 2020,more')
+            WHEN 2 THEN concat_ws(',', c_custkey, c_name, c_nationkey, 'Sat Jul 44')
+            ELSE c_name END AS text
+    FROM customer
+""")
+def quarantined_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw records of three faults beside good ones: every record is accepted or kept with why not."""
+    source = scratch_path(spark, "quarantined")
+    kind, date = F.col("c_custkey") % 5, F.lit("Sat Jul 04 10:11:12 -0700 2020")
+    three = ("c_custkey", "c_name", "c_nationkey")
+    line = (
+        F.when(kind == 0, F.col("c_custkey").cast("string"))
+        .when(kind == 1, F.concat_ws(",", *three, date, F.lit("more")))
+        .when(kind == 2, F.concat_ws(",", *three, F.lit("Sat Jul 44")))
+        .otherwise(F.concat_ws(",", *three, date))
+    )
+    _table(spark, sf, "customer").select(line.alias("value")).write.text(source)
+    rejects = _database(spark, "rejects")
+    for _ in range(2):
+        accepted = read_accepted(spark, source, CUSTOMERS, rejects, "day-1", header=False)
+    return accepted.select(F.lit("accepted").alias("reason"), F.col("name").alias("text")).unionAll(
+        rejects.read("rejects").select("reason", "text")
+    )
+
+
 @register("""
     SELECT s_suppkey AS author_id, '"the ""' || s_name || '"" author"' AS name FROM supplier
 """)
@@ -598,6 +742,52 @@ def landing_orders(spark: SparkSession, sf: str) -> DataFrame:
     return warehouse.read("orders")
 
 
+UNKEYED_SQL = """
+    SELECT CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey, o_custkey,
+           o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+    FROM orders
+"""
+
+
+def _unkeyed(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders of which some have no key: these are never replaced, so a repeated load shows."""
+    key = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey"))
+    return _table(spark, sf, "orders").withColumn("o_orderkey", key)
+
+
+def _drop(rows: DataFrame, landing: str, stamp: int) -> None:
+    rows.write.option("header", True).option("maxRecordsPerFile", standins.ROWS_PER_FILE).csv(
+        f"{landing}/order_{stamp}.csv"
+    )
+
+
+@register(UNKEYED_SQL)
+def landing_repeated_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch that is done, then done again because its end was not noted: it changes nothing."""
+    landing, checkpoint = (scratch_path(spark, n) for n in ("landing", "landing_checkpoint"))
+    staging, warehouse = (_database(spark, n).create(ORDERS) for n in ("staging", "landed"))
+    _drop(_unkeyed(spark, sf), landing, 1596807367990)
+    for _ in range(2):
+        ingest(spark, landing, ORDERS, staging, warehouse, checkpoint, clean=lambda rows: rows)
+        notes = Folders(spark, f"{checkpoint}/commits")
+        for name in notes.names():
+            notes.delete(name)
+    return warehouse.read("orders")
+
+
+@register(UNKEYED_SQL)
+def landing_same_content(spark: SparkSession, sf: str) -> DataFrame:
+    """A drop that comes under three names, two at once and one later: it counts once."""
+    landing, checkpoint = (scratch_path(spark, n) for n in ("landing", "landing_checkpoint"))
+    staging, warehouse = (_database(spark, n).create(ORDERS) for n in ("staging", "landed"))
+    rows = _unkeyed(spark, sf)
+    for stamps in ((1596807367990, 1596807367991), (1596893767990,)):
+        for stamp in stamps:
+            _drop(rows, landing, stamp)
+        ingest(spark, landing, ORDERS, staging, warehouse, checkpoint, clean=lambda rows: rows)
+    return warehouse.read("orders")
+
+
 # ---------------------------------------------------------------- the whole refresh
 
 
@@ -707,3 +897,82 @@ def refreshed_book_lists(spark: SparkSession, sf: str) -> DataFrame:
     return _labelled(
         *_lists_of(analytics, BOOK_LISTS, "title"), ("best in whole numbers", rounded)
     )
+
+
+# ---------------------------------------------------------------- day by day
+
+
+@register(LISTS_SQL.format(
+    key="author_id", more="", name="s_name", dim="supplier", dim_key="s_suppkey"
+))
+def refreshed_daily_authors(spark: SparkSession, sf: str) -> DataFrame:
+    """The author tables after two days, each of which reads its own drops and no others.
+
+    Old versions come after new ones.
+    """
+    landing, checkpoint = (scratch_path(spark, n) for n in ("landing", "daily_checkpoint"))
+    staging = _database(spark, "staging", parts=0)
+    warehouse, analytics = _database(spark, "warehouse", parts=8), _database(spark, "analytics")
+    for day in range(2):
+        standins.write_raw_day(spark, sf, landing, day)
+        refresh_new(
+            spark, landing=landing, checkpoint=checkpoint, staging=staging, warehouse=warehouse,
+            analytics=analytics, low=LOW, high=HIGH, k=LONG_LIST,
+        )
+    return _labelled(*_lists_of(analytics, AUTHOR_LISTS, "name"))
+
+
+CUT_LOW, CUT_HIGH = "1994-03-05 07:30:00", "1995-11-20 15:45:10"
+
+TIMED_REVIEWS_SQL = """
+    SELECT l_orderkey * 10 + l_linenumber AS review_id, l_partkey AS book_id,
+           l_quantity AS review_rating,
+           l_shipdate + INTERVAL (l_orderkey % 86400) SECOND AS record_create_timestamp
+    FROM lineitem
+"""
+
+
+@register(f"""
+    WITH raw AS ({TIMED_REVIEWS_SQL}), changed AS (
+        SELECT review_id, book_id % 7 AS book_id, review_rating + 1,
+               record_create_timestamp + INTERVAL 36 HOUR
+        FROM raw WHERE review_id % 4 = 0
+    ), now AS (
+        SELECT * FROM raw WHERE review_id % 4 <> 0 UNION ALL SELECT * FROM changed
+    )
+    SELECT book_id, count(review_id) AS review_count, avg(review_rating) AS average_reviews_rating
+    FROM now WHERE record_create_timestamp > TIMESTAMP '{CUT_LOW}'
+    AND record_create_timestamp < TIMESTAMP '{CUT_HIGH}' GROUP BY book_id
+""")
+def window_from_daily_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """A window from daily totals, after an upsert that moved reviews to other books and days."""
+    moment = F.col("l_shipdate") + F.make_dt_interval(secs=F.col("l_orderkey") % 86400)
+    base = _table(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("review_id"),
+        F.col("l_partkey").alias("book_id"), F.col("l_quantity").alias("review_rating"),
+        moment.alias("record_create_timestamp"),
+    )
+    later = F.col("record_create_timestamp") + F.expr("INTERVAL 36 HOUR")
+    changed = base.where("review_id % 4 = 0").withColumns({
+        "book_id": F.col("book_id") % 7, "review_rating": F.col("review_rating") + 1,
+        "record_create_timestamp": later,
+    })
+    warehouse = _database(spark, "totals", parts=8).create(REVIEWS)
+    totals = DailyTotals(warehouse, BOOK_LISTS)
+    for change, rows in (("load", base), ("moved", changed)):
+        filled = rows.select(*(
+            F.col(f.name) if f.name in rows.columns else F.lit(None).alias(f.name)
+            for f in REVIEWS.schema
+        ))
+        warehouse.upsert("reviews", filled, change=change)
+        totals.add(warehouse, change)
+    return totals.metrics(warehouse.read("reviews"), CUT_LOW, CUT_HIGH)
+
+
+@register("""
+    SELECT l_partkey, count(l_orderkey) AS n FROM lineitem
+    GROUP BY l_partkey ORDER BY n DESC, l_partkey LIMIT 25
+""")
+def top_parts_counted(spark: SparkSession, sf: str) -> DataFrame:
+    """The most frequent keys; groups of keys that cannot be among them are not shuffled."""
+    return top_k_counted(_table(spark, sf, "lineitem"), "l_partkey", "l_orderkey", "n", 25)

@@ -2,209 +2,317 @@
 
 from __future__ import annotations
 
+import json
+import re
 import time
 import uuid
-from functools import reduce
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.operators.upsert import align, upsert
+from tidemark.operators.upsert import align, upsert, upsert_newest
 from tidemark.schemas import TableSpec
-from tidemark.sinks.manifest import Folder, Manifest, Manifests
+from tidemark.sinks.folders import Folders
 
-BUCKET_BYTES = 256 << 20
-MOST_BUCKETS = 4096
+SPEC = "spec.json"
+PART = "part"
+PART_BYTES = 256 << 20
+MOST_PARTS = 4096
+# For a first load of which Spark cannot tell the size.
+FIRST_PARTS = 16
+# A size above this is a guess of Spark's that stands for "unknown".
+UNKNOWN_BYTES = 1 << 60
+NO_KEY = f"{PART}=__HIVE_DEFAULT_PARTITION__"
+
+_CHANGE = re.compile(r"(replace|upsert|append)-(\d{10})-(\d+)-([\w.-]+)")
+
+
+@dataclass(frozen=True)
+class Change:
+    """One finished write: its folder, and the parts (folders below it) that it wrote."""
+
+    kind: str
+    number: int
+    parts: int
+    id: str
+    folder: str
+    written: tuple[str, ...]
+
+
+@dataclass(frozen=True)
+class State:
+    """The finished writes that count, from the last whole replacement on."""
+
+    changes: tuple[Change, ...]
+    known: frozenset[str]
+    next: int
+
+    @property
+    def parts(self) -> int | None:
+        """The number of parts by key; 0 for a table without; None before the first write."""
+        return self.changes[0].parts if self.changes else None
+
+    def folders(self, parts: set[int] | None = None) -> list[str]:
+        """The folders with the current rows, of some parts or of all.
+
+        An upsert takes the place of what it wrote; an append, and rows without a key, are added.
+        """
+        wanted = None if parts is None else {f"{PART}={p}" for p in parts}
+        found: dict[str, list[str]] = {}
+        for change in self.changes:
+            for name in change.written:
+                if wanted is not None and name not in wanted:
+                    continue
+                if change.kind == "upsert" and name != NO_KEY:
+                    found[name] = []
+                found.setdefault(name, []).append(f"{change.folder}/{name}".rstrip("/"))
+        return [path for paths in found.values() for path in paths]
 
 
 class Database:
     """The tables of one database, each below ``<root>/<database>/<table>/``.
 
-    A table is a list of folders in a small manifest (schema and key included). Folders are
-    never written to again: new content goes to a new folder, and the change becomes visible,
-    whole, when the next manifest is put beside the last. A reader, or a job that fails half
-    way, sees the old content or the new, and the new may be computed from the old. Nothing is
-    kept in the session or a catalog, so any other session reads and changes the tables too; of
-    two writers at once, one gets ``ConcurrentChangeError`` and changes nothing. ``expire``
-    removes what no manifest names any more.
-
-    Rows of a table with a time column are ranged by it, so that a window opens few files; other
-    rows are written by the tasks that computed them. With ``buckets`` (a number, or True for one
-    per BUCKET_BYTES of the table) a table is stored by the column it is distributed by, which
-    saves the shuffle of aggregations and joins on it. It is off by default, because a bucket is
-    read by one task: it does not suit a column where one value may hold much of the table.
-
-    An upsert rewrites the table. With ``fold_at`` it does not: upserts are collected in a
-    second list of folders, upserted in turn, and folded into the first once they reach that
-    share of its size. ``read`` lays the one over the other, which gives the same rows because
-    two batches may be merged before they meet the table. Small batches then cost in proportion
-    to the recent changes.
+    Rows are partitioned by ``pmod(xxhash64(key), parts)``. Every change is one Spark write to a
+    folder of its own, named by kind, number and id; Spark's ``_SUCCESS`` in it says that it is
+    finished. The newest whole replacement holds the rows, except for the parts that a later
+    upsert wrote: an upsert reads and writes the parts of its batch's keys and no other. So a
+    reader, or a job that fails half way, sees the old rows or the new, and the new may be
+    computed from the old. Nothing is kept in the session or a catalog: any other session reads
+    and changes the tables too. One writer at a time changes a table.
+
+    A change may be given an id, such as a run's or a micro-batch's: one that is finished already is
+    not done again, so a repeated job adds nothing.
+
+    A part larger than others (few keys, much repeated) is several files of several tasks. Rows
+    of a table with a time column are ranged by it within a part, so that a window opens few files
+    and pages. ``parts`` is the number of parts, 0 for rows written as they come, which suits
+    tables that are only replaced; by default it follows the size, one per PART_BYTES.
     """
 
     def __init__(
-        self,
-        spark: SparkSession,
-        name: str,
-        root: str,
-        buckets: int | bool | None = None,
-        fold_at: float | None = None,
+        self, spark: SparkSession, name: str, root: str, parts: int | None = None
     ) -> None:
         self.spark = spark
         self.name = name
         self.root = f"{root.rstrip('/')}/{name}"
-        self.buckets = buckets
-        self.fold_at = fold_at
+        self.parts = parts
 
     def create(self, *specs: TableSpec) -> Database:
         """Creates tables that do not exist; one that exists with another schema is an error."""
         for spec in specs:
-            manifests = self._manifests(spec.name)
-            now = manifests.latest()
-            if now is None or now.dropped:
-                manifests.commit(Manifest.of(spec, now.version + 1 if now else 0))
-            elif now.spec(spec.name).schema != spec.schema:
+            if not self.exists(spec.name):
+                held = {
+                    "schema": json.loads(spec.schema.json()), "key": spec.key,
+                    "distribute_on": spec.distribute_on, "sort_by": spec.sort_by,
+                }
+                self._at(spec.name).put(SPEC, json.dumps(held))
+            elif self.spec(spec.name).schema != spec.schema:
                 raise ValueError(f"table {self.name}.{spec.name} exists with another schema")
         return self
 
     def exists(self, table: str) -> bool:
-        now = self._manifests(table).latest()
-        return now is not None and not now.dropped
+        return self._at(table).exists(SPEC)
 
     def drop(self, *tables: str) -> None:
-        """Forgets tables where they exist; their files stay until they expire."""
+        """Removes tables where they exist."""
         for table in tables:
-            if self.exists(table):
-                manifests = self._manifests(table)
-                manifests.commit(manifests.latest().follow(base=(), recent=(), dropped=True))
-
-    def read(self, table: str) -> DataFrame:
-        return self._rows(table, self._now(table))
+            self._at(table).delete()
 
-    def is_empty(self, table: str) -> bool:
-        """Looks for one row; collected upserts replace rows, so neither side hides the other."""
-        now = self._now(table)
-        spec = now.spec(table)
-        return all(self._load(spec, side).isEmpty() for side in (now.recent, now.base) if side)
+    def spec(self, table: str) -> TableSpec:
+        at = self._at(table)
+        if not at.exists(SPEC):
+            raise ValueError(f"there is no table {self.name}.{table} below {self.root}")
+        held = json.loads(at.text(SPEC))
+        schema = StructType.fromJson(held["schema"])
+        return TableSpec(table, schema, held["key"], held["distribute_on"], held["sort_by"])
 
     def schema(self, table: str) -> StructType:
-        return self._now(table).spec(table).schema
+        return self.spec(table).schema
+
+    def state(self, table: str) -> State:
+        """What the folder names say. A folder without ``_SUCCESS`` is of a write that failed."""
+        at, changes, known, last = self._at(table), [], set(), 0
+        for folder in at.names():
+            match = _CHANGE.fullmatch(folder)
+            if not match:
+                continue
+            last = max(last, int(match[2]))
+            names = at.names(folder)
+            if "_SUCCESS" not in names:
+                continue
+            known.add(match[4])
+            parts = int(match[3])
+            written = tuple(n for n in names if n.startswith(f"{PART}=")) if parts else ("",)
+            changes.append(Change(match[1], int(match[2]), parts, match[4], folder, written))
+        changes.sort(key=lambda c: c.number)
+        whole = [i for i, c in enumerate(changes) if c.kind == "replace"]
+        return State(tuple(changes[whole[-1]:] if whole else ()), frozenset(known), last + 1)
+
+    def read(self, table: str, change: str | None = None) -> DataFrame:
+        """The rows of a table; or, of those, the ones in the parts that a change wrote.
+
+        All rows of a key are in one part, so what a change did to its keys is seen in these.
+        """
+        spec, state = self.spec(table), self.state(table)
+        return self._load(spec, state.folders(
+            None if change is None else self._parts_of(table, state, change)
+        ))
 
-    def append(self, table: str, df: DataFrame) -> None:
-        """Adds rows. Columns are matched by position, whatever they are called."""
-        self.fold(table)
-        now = self._now(table)
-        spec = now.spec(table)
-        added = self._write(spec, df.toDF(*spec.columns), now)
-        self._commit(table, now.follow(base=(*now.base, added)))
+    def around(self, table: str, change: str) -> tuple[DataFrame, DataFrame]:
+        """The rows before and after a change, of the parts that it wrote.
+
+        As long as the folders it took the place of have not expired. After a whole replacement,
+        nothing is before and all is after.
+        """
+        spec, state = self.spec(table), self.state(table)
+        at = self._index_of(table, state, change)
+        done = state.changes[:at + 1]
+        if done[-1].kind == "replace":
+            return self._load(spec, []), self._load(spec, State(done, state.known, 0).folders())
+        parts = self._parts_of(table, state, change)
+        sides = (State(c, state.known, 0).folders(parts) for c in (done[:-1], done))
+        before, after = ([*folders] for folders in sides)
+        if NO_KEY in done[-1].written:
+            after.append(f"{done[-1].folder}/{NO_KEY}")
+        return self._load(spec, before), self._load(spec, after)
+
+    def is_whole(self, table: str, change: str) -> bool:
+        """Whether a change replaced the whole table (also an upsert of a table without parts)."""
+        state = self.state(table)
+        return state.changes[self._index_of(table, state, change)].kind == "replace"
 
-    def replace(self, table: str, df: DataFrame) -> None:
+    def is_empty(self, table: str) -> bool:
+        return self.read(table).isEmpty()
+
+    def append(self, table: str, df: DataFrame, change: str | None = None) -> None:
+        """Adds rows. Columns are matched by position, whatever they are called."""
+        spec, state = self.spec(table), self.state(table)
+        rows = df.toDF(*spec.columns)
+        if state.parts is None:
+            self.replace(table, rows, change)
+        elif change not in state.known:
+            self._write("append", spec, state, rows, change)
+
+    def replace(self, table: str, df: DataFrame, change: str | None = None) -> None:
         """Makes ``df`` the content of the table. Columns are matched by name."""
-        now = self._now(table)
-        folder = self._write(now.spec(table), df, now)
-        self._commit(table, now.follow(base=(folder,), recent=()))
-
-    def upsert(self, table: str, batch: DataFrame) -> None:
-        """Rows of ``batch`` take the place of the rows that have their key."""
-        now = self._now(table)
-        spec = now.spec(table)
-        manifests = self._manifests(table)
-        size = manifests.bytes(now.base) if self.fold_at else 0
-        if not size:
-            rows = upsert(self._rows(table, now), batch, [spec.key])
-            folder = self._write(spec, rows, now)
-            self._commit(table, now.follow(base=(folder,), recent=()))
+        spec, state = self.spec(table), self.state(table)
+        if change not in state.known:
+            parts = self._part_count(table, state, df)
+            self._write("replace", spec, state, df, change, parts)
+
+    def upsert(
+        self, table: str, batch: DataFrame, change: str | None = None, newest: str | None = None
+    ) -> None:
+        """Rows of ``batch`` take the place of the rows that have their key.
+
+        With ``newest`` (a column) a key keeps, of its old and new rows, those with the highest value.
+        Only parts with keys of the batch are read and written; the batch itself is read more than
+        once, so it should be cheap to read.
+        """
+        spec, state = self.spec(table), self.state(table)
+        if change in state.known:
             return
-        merged = align(batch, spec.schema)
-        if now.recent:
-            merged = upsert(self._load(spec, now.recent), batch, [spec.key])
-        recent = self._write(spec, merged, now)
-        self._commit(table, now.follow(recent=(recent,)))
-        if manifests.bytes([recent]) > self.fold_at * size:
-            self.fold(table)
-
-    def fold(self, table: str) -> None:
-        """Brings collected upserts into the table."""
-        now = self._now(table)
-        if now.recent:
-            folder = self._write(now.spec(table), self._rows(table, now), now)
-            self._commit(table, now.follow(base=(folder,), recent=()))
-
-    def expire(self, table: str, keep: int = 2, min_age_hours: float = 24) -> list[str]:
-        """Removes the folders that the last ``keep`` states of a table do not name.
-
-        Folders younger than ``min_age_hours`` stay: a writer may be filling them, and readers
-        that began with an older state need its folders for as long as they run.
+        rows = align(batch, spec.schema)
+
+        def merged(target: DataFrame, keyed: DataFrame) -> DataFrame:
+            if newest:
+                return upsert_newest(target, keyed, [spec.key], newest)
+            return upsert(target, keyed, [spec.key])
+
+        if not state.parts:
+            parts = self._part_count(table, state, batch)
+            new = merged(self._load(spec, state.folders()), rows)
+            self._write("replace", spec, state, new, change, parts)
+            return
+        # At most as many numbers as parts.
+        touched = {
+            r[PART] for r in rows.select(self._part(spec, state.parts)).distinct().collect()
+        } - {None}
+        has_key = F.col(spec.key).isNotNull()
+        target = self._load(spec, state.folders(touched))
+        new = merged(target, rows.where(has_key)).unionByName(rows.where(~has_key))
+        self._write("upsert", spec, state, new, change)
+
+    def compact(self, table: str) -> None:
+        """Writes the table anew, with parts for its present size and no changes to look through."""
+        if len(self.state(table).changes) > 1:
+            self.replace(table, self.read(table))
+
+    def expire(self, table: str, min_age_hours: float = 24) -> list[str]:
+        """Removes the folders that hold no current row, if they are older than ``min_age_hours``.
+
+        Younger ones may belong to a writer at work, and readers that began before the last
+        change need its predecessors for as long as they run. The ids of removed changes are forgotten.
         """
+        at, state = self._at(table), self.state(table)
         before = int((time.time() - 3600 * min_age_hours) * 1000)
-        return self._manifests(table).expire(max(1, keep), before)
-
-    def _now(self, table: str) -> Manifest:
-        now = self._manifests(table).latest()
-        if now is None or now.dropped:
-            raise ValueError(f"there is no table {self.name}.{table} below {self.root}")
-        return now
-
-    def _commit(self, table: str, manifest: Manifest) -> None:
-        self._manifests(table).commit(manifest)
-
-    def _manifests(self, table: str) -> Manifests:
-        return Manifests(self.spark, f"{self.root}/{table}")
-
-    def _rows(self, table: str, now: Manifest) -> DataFrame:
-        spec = now.spec(table)
-        rows = self._load(spec, now.base)
-        if not now.recent:
-            return rows
-        return upsert(rows, self._load(spec, now.recent), [spec.key])
-
-    def _load(self, spec: TableSpec, folders: tuple[Folder, ...]) -> DataFrame:
-        plain = [f.path for f in folders if not f.buckets]
-        frames = [self.spark.table(self._view(spec, f)) for f in folders if f.buckets]
-        if plain:
-            frames.append(self.spark.read.schema(spec.schema).parquet(*plain))
-        if not frames:
+        live, kept = set(state.folders()), {c.folder for c in state.changes}
+        unused = [n for n in at.names() if _CHANGE.fullmatch(n) and n not in kept]
+        unused += [
+            path for c in state.changes for name in c.written if name
+            if (path := f"{c.folder}/{name}") not in live
+        ]
+        gone = [name for name in unused if at.changed_ms(name) < before]
+        for name in gone:
+            at.delete(name)
+        return gone
+
+    def _at(self, table: str) -> Folders:
+        return Folders(self.spark, f"{self.root}/{table}")
+
+    def _index_of(self, table: str, state: State, change: str) -> int:
+        found = [i for i, c in enumerate(state.changes) if c.id == change]
+        if not found:
+            raise ValueError(f"table {self.name}.{table} has no change {change} that counts")
+        return found[0]
+
+    def _parts_of(self, table: str, state: State, change: str) -> set[int]:
+        return {
+            int(name.removeprefix(f"{PART}="))
+            for name in state.changes[self._index_of(table, state, change)].written
+            if name not in ("", NO_KEY)
+        }
+
+    def _part(self, spec: TableSpec, parts: int) -> Column:
+        key = F.col(spec.key)
+        return F.when(key.isNotNull(), F.pmod(F.xxhash64(key), F.lit(parts))).cast("int").alias(PART)
+
+    def _load(self, spec: TableSpec, folders: list[str]) -> DataFrame:
+        if not folders:
             return self.spark.createDataFrame([], spec.schema)
-        return reduce(DataFrame.unionAll, frames)
+        paths = [f"{self.root}/{spec.name}/{folder}" for folder in folders]
+        return self.spark.read.schema(spec.schema).parquet(*paths)
 
-    def _write(self, spec: TableSpec, df: DataFrame, now: Manifest) -> Folder:
-        """Writes rows in the layout of the table to a new folder."""
-        path = f"{self.root}/{spec.name}/d{uuid.uuid4().hex}"
+    def _write(
+        self, kind: str, spec: TableSpec, state: State, df: DataFrame, change: str | None,
+        parts: int | None = None,
+    ) -> None:
+        parts = state.parts if parts is None else parts
+        name = f"{kind}-{state.next:010d}-{parts}-{change or uuid.uuid4().hex}"
+        if not _CHANGE.fullmatch(name):
+            raise ValueError(f"a change's id is made of letters, digits, _, . and -, not {change}")
         rows = align(df, spec.schema)
-        if self.buckets and spec.distribute_on:
-            folder = Folder(path, self._bucket_count(df, spec.name, now))
-            # Hash partitions and buckets number their values alike, so with as many of the
-            # one as of the other a task writes whole buckets; too large ones are split.
-            spread = rows.hint("rebalance", folder.buckets, spec.distribute_on)
-            spread.write.insertInto(self._view(spec, folder))
-            return folder
+        order = [spec.sort_by, spec.key] if spec.sort_by else []
+        if parts:
+            rows = rows.select("*", self._part(spec, parts))
+            order = [PART, *order]
         if spec.sort_by:
             # The key as well, so that one time with very many rows is many files.
-            rows = rows.repartitionByRange(spec.sort_by, spec.key).sortWithinPartitions(
-                spec.sort_by, spec.key
-            )
-        rows.write.parquet(path)
-        return Folder(path)
-
-    def _bucket_count(self, df: DataFrame, table: str, now: Manifest) -> int:
-        if self.buckets is not True:
-            return self.buckets
-        size = self._manifests(table).bytes(now.base)
+            rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        elif parts > 1:
+            rows = rows.hint("rebalance", PART)
+        writer = rows.write.partitionBy(PART) if parts else rows.write
+        writer.parquet(f"{self.root}/{spec.name}/{name}")
+
+    def _part_count(self, table: str, state: State, df: DataFrame) -> int:
+        if self.parts is not None:
+            return self.parts
+        at = self._at(table)
+        size = sum(at.bytes(folder) for folder in state.folders())
         if not size:
             size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        return min(MOST_BUCKETS, max(1, -(-size // BUCKET_BYTES)))
-
-    def _view(self, spec: TableSpec, folder: Folder) -> str:
-        """The name under which this session's catalog shows a folder in buckets.
-
-        Spark uses buckets of catalog tables only; the entry holds nothing that the manifest
-        does not, and any session makes its own.
-        """
-        name = f"`{spec.name}_{folder.path.rsplit('/', 1)[1]}`"
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
-        ordered = f"SORTED BY (`{spec.sort_by}`)" if spec.sort_by else ""
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-            f"CLUSTERED BY (`{spec.distribute_on}`) {ordered} INTO {folder.buckets} BUCKETS "
-            f"LOCATION '{folder.path}'"
-        )
-        return name
+            if size > UNKNOWN_BYTES:
+                return FIRST_PARTS
+        return min(MOST_PARTS, max(1, -(-size // PART_BYTES)))

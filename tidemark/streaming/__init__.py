@@ -1,3 +1,3 @@
-from tidemark.streaming.landing import ingest, read_landing
+from tidemark.streaming.landing import ingest, read_landing, read_landing_files
 
-__all__ = ["ingest", "read_landing"]
+__all__ = ["ingest", "read_landing", "read_landing_files"]
