@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import zlib
 from pathlib import Path
 
 import numpy as np
@@ -53,9 +52,10 @@ def encoder(data: bytes, kind: str):
 def pieces(
     docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end: int = 2,
 ) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32: each text's ids and the end id, cut to capacity.
+    """doc_id, piece, start, length, ids: each text's ids and the end id, cut to capacity.
 
     Only longer ones are cut; all pieces but the first are then full. A null text is the end id.
+    ``ids`` holds a piece's ids as little-endian unsigned 32-bit numbers, one after the other.
     """
     path = Path(tokenizer or vocabulary())
     data = docs.sparkSession.sparkContext.broadcast(path.read_bytes())
@@ -70,17 +70,17 @@ def pieces(
                 first = len(ids) % capacity or capacity
                 edges = [0, *range(first, len(ids) + 1, capacity)]
                 for i, (a, b) in enumerate(zip(edges, edges[1:])):
-                    values = (doc, i, a, b - a, zlib.crc32(ids[a:b].tobytes()))
+                    values = (doc, i, a, b - a, ids[a:b].tobytes())
                     for column, value in zip(out, values):
                         column.append(value)
             yield pa.record_batch(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()),
-                 *[pa.array(c, pa.int64()) for c in out[2:]]],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                 *[pa.array(c, pa.int64()) for c in out[2:4]], pa.array(out[4], pa.binary())],
+                names=["doc_id", "piece", "start", "length", "ids"],
             )
 
     return texts(docs).mapInArrow(
-        cut, "doc_id long, piece int, start long, length long, ids_crc32 long"
+        cut, "doc_id long, piece int, start long, length long, ids binary"
     )
 
 
@@ -123,11 +123,12 @@ def pack(
 ) -> DataFrame:
     """The pieces of ``pieces`` with sequence_id and offset: gapless, at most capacity each.
 
-    Texts are not shuffled, only a row of numbers per piece. Pieces are dealt into shards by
-    hash, one per ``rows_per_shard`` documents up to MOST_SHARDS (beyond, shards grow and
-    nothing else changes). A shard packs as a stream and holds ``open_bins`` bins. The stream
-    comes in blocks of about ``rows_per_shard`` documents, longest piece first in each, so a
-    block's short pieces fill what its long ones leave.
+    Their ids, in order of offset, are the sequences: ready to train on, with no text encoded again.
+    Pieces are dealt into shards by hash, one per ``rows_per_shard`` documents up to MOST_SHARDS
+    (beyond, shards grow and nothing else changes). A shard packs as a stream and holds
+    ``open_bins`` bins; where more would be open, the fullest closes. The stream comes in blocks of
+    about ``rows_per_shard`` documents, longest piece first in each, so a block's short pieces
+    fill what its long ones leave; a shard of one block opens fewer bins than OPEN_BINS.
 
     A shard's order depends on the rows alone, so a repeated task gives the same sequences. A
     null text is a piece of one id; repeated rows are pieces of their own; an empty table gives
@@ -136,7 +137,8 @@ def pack(
     rows = docs.count()
     shards = min(MOST_SHARDS, max(1, -(-rows // rows_per_shard)))
     blocks = max(1, -(-rows // (shards * rows_per_shard)))
-    order = F.pmod(F.xxhash64("piece", "doc_id", "ids_crc32"), F.lit(blocks))
+    digest = F.xxhash64("ids")
+    order = F.pmod(F.xxhash64("piece", "doc_id", digest), F.lit(blocks))
 
     def place(batches):
         bins, base = OpenBins(capacity, open_bins), TaskContext.get().partitionId() << 40
@@ -149,13 +151,11 @@ def pack(
 
     return (
         pieces(docs, tokenizer, capacity, end)
-        .repartition(shards, "doc_id", "piece", "ids_crc32")
-        .sortWithinPartitions(
-            order, F.desc("length"), "doc_id", "piece", "ids_crc32"
-        )
+        .repartition(shards, "doc_id", "piece", digest)
+        .sortWithinPartitions(order, F.desc("length"), "doc_id", "piece", digest)
         .mapInArrow(
             place,
-            "doc_id long, piece int, start long, length long, ids_crc32 long, "
+            "doc_id long, piece int, start long, length long, ids binary, "
             "sequence_id long, offset long",
         )
     )

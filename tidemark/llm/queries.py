@@ -27,7 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    packed = packing.pack(table(spark, sf_dir, "documents"))
+    return packed.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id",
+        "offset",
+    )
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
