@@ -151,9 +151,9 @@ def cluster(
 
     Vectors lie in blocks along a Hilbert curve. A block's box bounds its distance to each
     centroid from both sides, and only centroids that some point of the box may be nearest to are
-    compared, exactly, with its vectors. Null ids and repeated rows are vectors like any other; other
-    vectors have no row; an empty table gives no rows. Only centroids, their sums and inertias
-    pass through the driver.
+    compared, exactly, with its vectors. Null ids and repeated rows are vectors like any other.
+    Vectors that are not kept have no row; an empty table gives no rows. Only centroids, their
+    sums and inertias pass through the driver.
     """
     spark = vectors.sparkSession
     kept = _kept(vectors, id_column, vector_column, size)

@@ -151,9 +151,10 @@ def transcripts(conversations: DataFrame, chunk_turns: int = CHUNK_TURNS) -> Dat
 
     Speakers are marked in four ways, by a hash of conversation and turn: two kinds of name and
     colon, a heading, or a blank line alone. Turns are ordered by number (null last), role and
-    text; a null text is empty, and a role that is null or not of ROLES is "other". Repeated rows are
-    turns of their own. Rows without a conv_id are one conversation. Every ``chunk_turns`` turns of
-    a conversation are a transcript of their own, so none is unbounded; a model reads each afresh.
+    text; a null text is empty, and a role that is null or not of ROLES is "other". Repeated rows
+    are turns of their own. Rows without a conv_id are one conversation. Every ``chunk_turns``
+    turns of a conversation are a transcript of their own, so none is unbounded; a model reads each
+    afresh.
     """
     rows = take(conversations, "conv_id", "turn", "role", "text").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"),
@@ -188,9 +189,9 @@ def fit(examples: DataFrame, sample: int = SAMPLE) -> Speakers:
     """Counts states and what they show in at most ``sample`` transcripts with known turns.
 
     The sample is the transcripts with the smallest hash of conv_id among those whose
-    crc32(conv_id as text) leaves no remainder of 1 by 3. Counts are summed in Spark. What a line shows
-    is counted apart: markers are smoothed towards what a name means, the rest towards even. Words
-    that may also begin a line keep the share they have before counting.
+    crc32(conv_id as text) leaves no remainder of 1 by 3. Counts are summed in Spark. What a line
+    shows is counted apart: markers are smoothed towards what a name means, the rest towards even.
+    Words that may also begin a line keep the share they have before counting.
     """
     chosen = examples.filter("crc32(CAST(conv_id AS STRING)) % 3 != 1").orderBy(
         F.xxhash64("conv_id"), "conv_id", "chunk"

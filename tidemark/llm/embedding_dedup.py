@@ -26,7 +26,7 @@ PAIRS_AT_ONCE = 16_384
 
 
 class Forest:
-    """Trees with one random direction per level and a cut per node; node i splits into 2 i, 2 i + 1.
+    """Trees with a random direction per level and a cut per node; node i splits into 2 i, 2 i + 1.
 
     Points nearer to a cut than ``margin`` go to both sides. The cut of a node is, of the places
     between its sample points in the middle half, the one with the fewest points near it for the
@@ -115,12 +115,13 @@ def near_copies(
     kept. Repeated rows are rows of their own. An empty table gives no rows.
 
     Equal vectors of a label are one class, so copies are never compared. Classes are routed
-    down ``trees`` trees, as deep as brings their label's classes to about ``leaf`` a leaf; what lies within
-    ``spill`` / 2 typical projected distances of a linked pair from a cut goes to both sides. Cuts come from
-    at most ``sample`` vectors with the smallest hashes; every vector is routed. A leaf with more
-    than ``block`` classes (near copies that no cut separates) is dealt into parts, and every two
-    parts meet in a task of their own. A pair is counted in the first leaf it shares. A pair that
-    no tree brings together is missed: the more trees and overlap, the fewer.
+    down ``trees`` trees, as deep as brings their label's classes to about ``leaf`` a leaf. A pair
+    at the threshold differs by some typical amount along a random direction: what lies within
+    ``spill`` times that of a cut goes to both sides. Cuts come from at most ``sample`` vectors with
+    the smallest hashes; every vector is routed. A leaf with more than ``block`` classes (near
+    copies that no cut separates) is dealt into parts, and every two parts meet in a task of their
+    own. A pair is counted in the first leaf it shares. A pair that no tree brings together is
+    missed: the more trees and overlap, the fewer.
     """
     spark = vectors.sparkSession
     rows = _rows(vectors, id_column, vector_column, label_column)
@@ -239,7 +240,7 @@ def _norms(x: np.ndarray) -> np.ndarray:
 
 
 def _compare(table: pa.Table, threshold: float) -> pa.Table:
-    """The linked pairs of two parts of a leaf: links gained per node, and edges that connect them."""
+    """The linked pairs of two parts of a leaf: links gained per node, and connecting edges."""
     node, copies = np.asarray(table["node"]), np.asarray(table["copies"])
     x = _matrix(table["vector"])
     x = x / np.abs(x).max(axis=1, initial=0)[:, None]

@@ -142,7 +142,8 @@ def _shard(name: int, convs: list[int], keys: list[bytes], chars: list[list[int]
         low, high = 0, most
         while low < high:  # how many turns it shares with the one before
             mid = (low + high + 1) // 2
-            low, high = (mid, high) if key[:mid * DIGEST] == before[:mid * DIGEST] else (low, mid - 1)
+            same = key[:mid * DIGEST] == before[:mid * DIGEST]
+            low, high = (mid, high) if same else (low, mid - 1)
         if i:
             closed.append(len(before) // DIGEST - low)
         opened.append(depth - low)
@@ -206,7 +207,7 @@ def _shard(name: int, convs: list[int], keys: list[bytes], chars: list[list[int]
     empty = hashlib.sha256(b"").hexdigest()
     by_tip = {}
     for node in np.flatnonzero(own):
-        # Equal sequences are neighbours, smaller ids first; the node's own come before its children's.
+        # Equal sequences are neighbours, smaller ids first, and come before longer ones.
         at = ends_at[node]
         by_tip[int(node)] = _ids(convs[at:at + own[node]])
     columns = [least, at_depth, members, children, leaves, saved]
