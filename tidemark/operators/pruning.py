@@ -18,10 +18,10 @@ def top_k_counted(
 ) -> DataFrame:
     """``top_k`` of ``count(counted)`` per key: the same rows, from a smaller shuffle.
 
-    Three passes over two columns. A sketch proposes frequent keys, and the k-th highest of
-    their exact counts is a bound that the k-th place reaches. Keys are then counted in ``groups`` by
-    hash: no key has more than its group, so groups below the bound hold no listed key. Only rows
-    of the other groups are aggregated by key and shuffled. A null key is a group of its own, as in
+    Passes over two columns. A sketch proposes frequent keys, and the k-th highest of their exact
+    counts is a bound that the k-th place reaches. Keys are then counted in ``groups`` by hash: no
+    key has more than its group, so groups below the bound hold no listed key. Only rows of the
+    other groups are aggregated by key and shuffled. A null key is a group of its own, as in
     ``key_metrics``. It pays where few keys are frequent; with equal counts nothing is left out.
     """
     if k < 1:

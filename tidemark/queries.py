@@ -674,7 +674,7 @@ CUSTOMERS = TableSpec(
     FROM customer
 """)
 def quarantined_customers(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw records of three faults beside good ones: every record is accepted or kept with why not."""
+    """Records of three faults beside good ones: each is accepted, or kept with the reason."""
     source = scratch_path(spark, "quarantined")
     kind, date = F.col("c_custkey") % 5, F.lit("Sat Jul 04 10:11:12 -0700 2020")
     three = ("c_custkey", "c_name", "c_nationkey")

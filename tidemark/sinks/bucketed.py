@@ -81,7 +81,7 @@ class BucketedTable:
 def merged_over_salts(
     table: DataFrame, column: str, partial: dict[str, Column], merge: dict[str, Column]
 ) -> DataFrame:
-    """An aggregation by ``column``: ``partial`` by column and salt, then ``merge`` of frequent values.
+    """An aggregation by ``column``: ``partial`` by column and salt, then ``merge`` over salts.
 
     ``merge`` gives each name from the partial column of that name (a sum of counts, a maximum of
     maxima). Rows of salt 0 are final after the first step, which shuffles nothing; the second

@@ -207,9 +207,9 @@ class Database:
     ) -> None:
         """Rows of ``batch`` take the place of the rows that have their key.
 
-        With ``newest`` (a column) a key keeps, of its old and new rows, those with the highest value.
-        Only parts with keys of the batch are read and written; the batch itself is read more than
-        once, so it should be cheap to read.
+        With ``newest`` (a column) a key keeps, of its old and new rows, those with the highest
+        value. Only parts with keys of the batch are read and written; the batch itself is read
+        more than once, so it should be cheap to read.
         """
         spec, state = self.spec(table), self.state(table)
         if change in state.known:
@@ -226,10 +226,11 @@ class Database:
             new = merged(self._load(spec, state.folders()), rows)
             self._write("replace", spec, state, new, change, parts)
             return
-        # At most as many numbers as parts.
-        touched = {
-            r[PART] for r in rows.select(self._part(spec, state.parts)).distinct().collect()
-        } - {None}
+        touched = {0}
+        if state.parts > 1:
+            # At most as many numbers as parts.
+            numbers = rows.select(self._part(spec, state.parts)).distinct().collect()
+            touched = {r[PART] for r in numbers} - {None}
         has_key = F.col(spec.key).isNotNull()
         target = self._load(spec, state.folders(touched))
         new = merged(target, rows.where(has_key)).unionByName(rows.where(~has_key))
@@ -244,7 +245,8 @@ class Database:
         """Removes the folders that hold no current row, if they are older than ``min_age_hours``.
 
         Younger ones may belong to a writer at work, and readers that began before the last
-        change need its predecessors for as long as they run. The ids of removed changes are forgotten.
+        change need its predecessors for as long as they run. The ids of removed changes are
+        forgotten.
         """
         at, state = self._at(table), self.state(table)
         before = int((time.time() - 3600 * min_age_hours) * 1000)
@@ -276,8 +278,8 @@ class Database:
         }
 
     def _part(self, spec: TableSpec, parts: int) -> Column:
-        key = F.col(spec.key)
-        return F.when(key.isNotNull(), F.pmod(F.xxhash64(key), F.lit(parts))).cast("int").alias(PART)
+        number = F.pmod(F.xxhash64(spec.key), F.lit(parts)).cast("int")
+        return F.when(F.col(spec.key).isNotNull(), number).alias(PART)
 
     def _load(self, spec: TableSpec, folders: list[str]) -> DataFrame:
         if not folders:
