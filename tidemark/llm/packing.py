@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import texts
 
 CAPACITY = 1024
-OPEN_BINS = 65_536
-ROWS_PER_SHARD = 32_768
+OPEN_BINS = 4096
+ROWS_PER_SHARD = 8192
 MOST_SHARDS = 20_000
 
 
@@ -128,7 +128,7 @@ def pack(
     (beyond, shards grow and nothing else changes). A shard packs as a stream and holds
     ``open_bins`` bins; where more would be open, the fullest closes. The stream comes in blocks of
     about ``rows_per_shard`` documents, longest piece first in each, so a block's short pieces
-    fill what its long ones leave; a shard of one block opens fewer bins than OPEN_BINS.
+    fill what its long ones leave. A block by itself opens fewer bins than OPEN_BINS.
 
     A shard's order depends on the rows alone, so a repeated task gives the same sequences. A
     null text is a piece of one id; repeated rows are pieces of their own; an empty table gives
