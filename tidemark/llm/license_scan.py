@@ -14,6 +14,7 @@ from tidemark.llm.common import take, written
 from tidemark.llm.license_texts import FULL, KEYS, SHORT
 
 THRESHOLD = 0.8
+NARROW = 32
 LICENSE_FILE = r"(?i)^(licen[cs]e|copying)([.-].*)?$"
 
 # Notices of public licences, as their publishers word them.
@@ -57,21 +58,26 @@ FREQUENT = frozenset(
 )
 
 
-def _terms(text: str) -> Counter:
+def terms(text: str) -> Counter:
     return Counter(_words(text))
 
 
-def weights(templates=TEMPLATES):
-    """Inverse document frequencies (of the templates; others have the largest) and unit vectors."""
-    counts = [_terms(text) for _, text in templates]
+def weights(templates=TEMPLATES, files: int = 0, found: dict[str, int] | None = None):
+    """Inverse document frequencies of the templates' words, and the templates as unit vectors.
+
+    Documents are the templates and the ``files``, of which ``found`` counts those with a word.
+    """
+    counts = [terms(text) for _, text in templates]
     seen = Counter(term for c in counts for term in c)
-    idf = {t: math.log((1 + len(counts)) / (1 + n)) + 1 for t, n in seen.items()}
+    total = len(counts) + files
+    idf = {t: math.log((1 + total) / (1 + n + (found or {}).get(t, 0))) + 1
+           for t, n in seen.items()}
     vectors = []
     for count in counts:
         raw = {t: n * idf[t] for t, n in count.items()}
         length = math.sqrt(sum(w * w for w in raw.values()))
         vectors.append({t: w / length for t, w in raw.items()})
-    return idf, math.log(1 + len(counts)) + 1, vectors
+    return idf, vectors
 
 
 def anchors(vectors, threshold: float) -> list[str]:
@@ -98,6 +104,16 @@ def _taken(vector, terms, threshold: float) -> set[str]:
     return found
 
 
+def _least(vector, threshold: float) -> int:
+    """How many terms a text must share at least: of the heaviest, enough for the threshold."""
+    shared, parts = 0.0, sorted((w * w for w in vector.values()), reverse=True)
+    for n, part in enumerate(parts, 1):
+        shared += part
+        if shared >= threshold * threshold - 1e-9:
+            return n
+    return len(parts)
+
+
 def key_words(vector, threshold: float) -> set[str]:
     """KEYS, the heaviest first, without which a text cannot come near, or all that there are.
 
@@ -106,6 +122,13 @@ def key_words(vector, threshold: float) -> set[str]:
     return _taken(vector, sorted(KEYS & vector.keys(), key=lambda t: (-vector[t], t)), threshold)
 
 
+def key_pairs(template: str, vector, threshold: float) -> list[tuple[int, str]]:
+    """Where two neighbouring words of a template, one of them a key word, stand, and the two."""
+    words, keys = _words(template), key_words(vector, threshold)
+    return [(at, f"{a} {b}") for at, (a, b) in enumerate(zip(words, words[1:]))
+            if a in keys or b in keys]
+
+
 def license_scan(
     files: DataFrame, threshold: float = THRESHOLD, templates=ALL,
 ) -> DataFrame:
@@ -120,24 +143,39 @@ def license_scan(
     template, then the first part. A file without one inherits from the nearest directory above it
     that holds a licence file (by its name) with a licence of its own; of several the largest score, then the smallest path.
 
+    Document frequencies are counted over all rows of ``files``, and the templates as one document
+    each, so that a licence's own words weigh more than those of all licences in few files too.
+    A window lies where two neighbouring words, one of them a key word, are those of a template of
+    its length at the same place; templates of one word have no windows.
+
     Only parts and texts that hold an anchor word are cut into words; no other can reach the
     threshold. Inheritance is solved for directories, a row each, before files join them, so a
     directory with most files costs rows of one join that Spark can split. A null path keeps its
     own licence and inherits nothing; a path without a slash lies in the root directory. A null
     text has no licence. Repeated rows stay. An empty table gives no rows.
     """
-    _, _, vectors = weights(templates)
-    needed = set(anchors(weights()[2], threshold)).union(
-        *[key_words(v, threshold) or anchors([v], threshold) for v in vectors])
-    hold = "(^|[^a-z0-9])(" + "|".join(sorted(needed)) + ")([^a-z0-9]|$)"
     plain = take(files, "path", "text")
     lowered = plain.select(
         F.col("path"), F.lower(F.coalesce("text", F.lit(""))).alias("text"),
     )
+    frequencies = written(lowered.select(F.explode(F.array_distinct(
+        F.regexp_extract_all("text", F.lit("[a-z0-9]+"), 0))).alias("term"),
+    ).groupBy("term").agg(F.count("*").alias("n")), "license-words")
+    total = plain.count()
+    known = sorted(weights(templates)[0])
+    counted = frequencies.filter(F.col("term").isin(known)).collect()
+    idf, vectors = weights(templates, total, {r["term"]: r["n"] for r in counted})
+    needed = set(anchors(
+        [v for v, template in zip(vectors, templates) if template in TEMPLATES], threshold,
+    )).union(*[key_words(v, threshold) or anchors([v], threshold) for v in vectors])
+    hold = "(^|[^a-z0-9])(" + "|".join(sorted(needed)) + ")([^a-z0-9]|$)"
+    rare = frequencies.select(
+        "term", (F.log(F.lit(1.0 + total + len(templates)) / (1 + F.col("n"))) + 1).alias("idf"))
     slash = F.length("path") - F.length(F.substring_index("path", "/", -1)) - 1
     folder = F.when(slash > 0, F.expr("left(path, cast(length(path) - "
                                       "length(substring_index(path, '/', -1)) - 1 as int))"))
-    own = _own(lowered.filter(F.col("text").rlike(hold)), hold, templates, threshold)
+    own = _own(
+        lowered.filter(F.col("text").rlike(hold)), hold, templates, threshold, idf, vectors, rare)
     named = F.element_at(_constant("array<string>", [n for n, _ in templates]), F.col("template"))
     own = written(own.withColumn("license", named), "licenses")
     keyed = plain.select("path", F.xxhash64(
@@ -184,36 +222,45 @@ def _constant(kind: str, value):
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
-def _own(texts, hold, templates, threshold):
+def _small(spark, kind: str, rows):
+    """Rows made from the templates, bounded by them, as a table: plans stay small."""
+    made = spark.range(1).select(F.inline(_constant(f"array<struct<{kind}>>", rows)))
+    return F.broadcast(written(made, "templates"))
+
+
+def _own(texts, hold, templates, threshold, idf, vectors, rare):
     """own_path, own_key, template (from 1), score, whole: the best of a file's parts and text."""
-    idf, largest, vectors = weights(templates)
     spark, lengths = texts.sparkSession, [len(_words(text)) for _, text in templates]
     base = written(
         texts.select("path", F.xxhash64("text").alias("key"), "text").distinct()
         .withColumn("id", F.monotonically_increasing_id())
         .withColumn("words", F.regexp_extract_all("text", F.lit("[a-z0-9]+"), 0)), "license-texts",
     )
-    units = _units(base, hold, templates, vectors, threshold).repartition("id", "unit")
-    tf = units.select("id", "unit", "size", F.explode("words").alias("term")).groupBy(
-        "id", "unit", "size", "term").agg(F.count("*").alias("tf"))
-    held = {(term, size): [] for term in idf for size in {0, *lengths}}
+    units = written(_units(base, hold, templates, vectors, threshold), "license-units")
+    tf = units.repartition("id", "unit").select(
+        "id", "unit", "size", F.explode("words").alias("term"),
+    ).groupBy("id", "unit", "size", "term").agg(F.count("*").alias("tf"))
+    held = {}
     for t, vector in enumerate(vectors):
         for term, w in vector.items():
             for size in (0, lengths[t]):
-                held[term, size].append({"t": t, "w": w})
-    postings = spark.range(1).select(F.inline(_constant(
-        "array<struct<term string, size int, idf double, held array<struct<t int, w double>>>>",
-        [{"term": term, "size": size, "idf": idf[term], "held": found}
-         for (term, size), found in sorted(held.items())],
-    )))
-    weighed = tf.join(F.broadcast(postings), ["term", "size"], "left").withColumn(
-        "w", F.col("tf") * F.coalesce("idf", F.lit(largest))
-    )
+                held.setdefault((term, size), []).append({"t": t, "w": w})
+    postings = _small(
+        spark, "term string, size int, held array<struct<t int, w double>>",
+        [{"term": term, "size": size, "held": found}
+         for (term, size), found in sorted(held.items())])
+    known = _small(spark, "term string, idf double",
+                   [{"term": term, "idf": w} for term, w in sorted(idf.items())])
+    # Words of templates, the most frequent ones among them, need no shuffle by word.
+    others = tf.join(known, "term", "left_anti").join(rare, "term").select(
+        "id", "unit", F.lit(-1).alias("t"), F.pow(F.col("tf") * F.col("idf"), 2).alias("v"))
+    weighed = tf.join(known, "term").join(postings, ["term", "size"], "left").withColumn(
+        "w", F.col("tf") * F.col("idf"))
     near = F.coalesce("held", _constant("array<struct<t int, w double>>", []))
     sums = weighed.select("id", "unit", F.inline(F.concat(
         F.array(F.struct(F.lit(-1).alias("t"), (F.col("w") * F.col("w")).alias("v"))),
         F.transform(near, lambda p: F.struct(p["t"].alias("t"), (F.col("w") * p["w"]).alias("v"))),
-    ))).groupBy("id", "unit", "t").agg(F.sum("v").alias("v"))
+    ))).unionAll(others).groupBy("id", "unit", "t").agg(F.sum("v").alias("v"))
     scored = sums.groupBy("id", "unit").agg(
         F.sqrt(F.max(F.when(F.col("t") < 0, F.col("v")))).alias("length"),
         F.collect_list(F.when(F.col("t") >= 0, F.struct("t", "v"))).alias("dots"),
@@ -240,9 +287,11 @@ def _own(texts, hold, templates, threshold):
 def _units(base, hold, templates, vectors, threshold):
     """id, unit, size, words: size is 0 for texts, lines and paragraphs, else a window's length.
 
-    A window lies so that a key word of the text is on the same word of a template, and is left out
-    if the words it shares make too short a part of that template to reach the threshold.
+    A wide window is left out if it shares fewer words with each template of its length than the
+    heaviest of that template's that could reach the threshold.
     """
+    spark = base.sparkSession
+    base = base.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
     lines, blocks = F.split("text", "\n"), F.split("text", "\n[^a-z0-9\n]*\n")
     parts = F.concat(
         F.array(F.struct(F.lit(0).cast("long").alias("unit"), F.col("text").alias("part"))),
@@ -254,42 +303,37 @@ def _units(base, hold, templates, vectors, threshold):
     plain = base.select("id", F.inline(F.filter(parts, lambda p: p["part"].rlike(hold)))).select(
         "id", "unit", F.lit(0).alias("size"),
         F.regexp_extract_all("part", F.lit("[a-z0-9]+"), 0).alias("words"))
-    places, widest = {}, 1
+    places, wide = {}, {}
     for (_, text), vector in zip(templates, vectors):
-        words, found = _words(text), key_words(vector, threshold)
-        widest = max(widest, len(words))
-        for at, word in enumerate(words):
-            if word in found:
-                places.setdefault(word, []).append({
-                    "size": len(words), "shift": at,
-                    "shares": [{"term": t, "part": w * w} for t, w in sorted(vector.items())]})
-    kind = "struct<size int, shift int, shares array<struct<term string, part double>>>"
-    table = base.sparkSession.range(1).select(F.inline(_constant(
-        f"array<struct<term string, places array<{kind}>>>",
-        [{"term": t, "places": p} for t, p in sorted(places.items())],
-    )))
-    low = F.greatest(F.col("pos") - F.lit(widest), F.lit(0))
-    keyed = base.select("id", "words", F.explode(F.filter(
-        F.sequence(F.lit(0), F.size("words") - 1),
-        lambda i: F.get("words", i).isin(sorted(places)),
-    )).alias("pos")).select(
-        "id", "pos", F.get("words", F.col("pos")).alias("term"), low.alias("low"),
-        F.slice("words", low + 1, F.lit(2 * widest)).alias("around"),
-    )
-    start = F.greatest(F.col("pos") - F.col("shift"), F.lit(0))
-    shared = F.aggregate(
-        F.filter("shares", lambda x: F.array_contains("words", x["term"])), F.lit(0.0),
-        lambda total, x: total + x["part"],
-    )
+        size = len(_words(text))
+        for at, pair in key_pairs(text, vector, threshold):
+            places.setdefault(pair, set()).add((size, at))
+        if size > NARROW:
+            wide.setdefault(size, []).append(
+                {"terms": sorted(vector), "least": _least(vector, threshold)})
+    table = _small(spark, "pair string, places array<struct<size int, shift int>>", [
+        {"pair": pair, "places": [{"size": n, "shift": at} for n, at in sorted(found)]}
+        for pair, found in sorted(places.items())])
+    bounds = _small(
+        spark, "size int, bounds array<struct<terms array<string>, least int>>",
+        [{"size": n, "bounds": found} for n, found in sorted(wide.items())])
+    pair = lambda i: F.concat(F.get("words", i), F.lit(" "), F.get("words", i + 1))
+    starts = base.filter(F.size("words") > 1).select("id", F.inline(F.filter(F.transform(
+        F.sequence(F.lit(0), F.size("words") - 2),
+        lambda i: F.struct(i.alias("pos"), pair(i).alias("pair")),
+    ), lambda at: at["pair"].isin(sorted(places)))))
     windows = (
-        keyed.join(F.broadcast(table), "term")
-        .select("id", "pos", "low", "around", F.inline("places"))
-        .select("id", "size", "shares", start.alias("start"), F.slice(
-            "around", start - F.col("low") + 1, F.col("size")).alias("words"))
-        .filter(shared >= threshold * threshold - 1e-9)
+        starts.join(table, "pair").select("id", "pos", F.inline("places"))
+        .select("id", "size", F.greatest(F.col("pos") - F.col("shift"), F.lit(0)).alias("start"))
+        .distinct()
+        .join(base.select("id", "words"), "id")
+        .select("id", "size", "start", F.slice("words", F.col("start") + 1, F.col("size"))
+                .alias("words"))
+        .join(bounds, "size", "left")
+        .filter(F.col("bounds").isNull() | F.exists("bounds", lambda b: F.size(
+            F.array_intersect("words", b["terms"])) >= b["least"]))
         .select("id", (F.col("start") * F.lit(1 << 10) + F.col("size") + F.lit(1 << 45))
                 .alias("unit"), "size", "words")
-        .distinct()
     )
     return plain.unionAll(windows)
 

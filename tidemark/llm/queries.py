@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,14 +102,16 @@ QUERIES = {f.__name__: f for f in (
 )}
 
 def _license_sql() -> str:
-    idf, largest, vectors = license_scan.weights()
-    terms = ", ".join(f"('{t}', {w!r}::DOUBLE)" for t, w in sorted(idf.items()))
-    postings = ", ".join(
-        f"({i}, '{t}', {w!r}::DOUBLE)" for i, v in enumerate(vectors) for t, w in sorted(v.items())
+    """Whole texts and lines, the templates of one-line notices, words counted over all files."""
+    tf = ", ".join(
+        f"({i}, '{t}', {n})" for i, (_, text) in enumerate(license_scan.TEMPLATES)
+        for t, n in sorted(license_scan.terms(text).items())
     )
+    seen = Counter(t for _, text in license_scan.ALL for t in license_scan.terms(text))
+    prior = ", ".join(f"('{t}', {n})" for t, n in sorted(seen.items()))
     names = ", ".join(f"({i}, '{n}')" for i, (n, _) in enumerate(license_scan.TEMPLATES))
     return f"""
-WITH idf(term, idf) AS (VALUES {terms}), postings(t, term, weight) AS (VALUES {postings}),
+WITH prior(term, n) AS (VALUES {prior}), template(t, term, n) AS (VALUES {tf}),
 names(t, license) AS (VALUES {names}),
 files AS (
     SELECT doc_id, lower(coalesce(text, '')) AS text,
@@ -115,6 +119,17 @@ files AS (
             || CASE WHEN doc_id % 1000 = 0 THEN '' ELSE '/' || (doc_id // 100) END AS folder,
         CASE WHEN doc_id % 100 = 0 THEN 'LICENSE' ELSE doc_id || '.txt' END AS name
     FROM documents
+), df AS (
+    SELECT term, sum(n) AS n FROM (
+        SELECT term, n FROM prior UNION ALL
+        SELECT unnest(list_distinct(regexp_extract_all(text, '[a-z0-9]+'))), 1 FROM files
+    ) GROUP BY term
+), idf AS (
+    SELECT term, ln((1 + {len(license_scan.ALL)} + (SELECT count(*) FROM files)) / (1 + n)) + 1 AS idf
+    FROM df
+), postings AS (
+    SELECT t, template.term, template.n * idf / sqrt(sum((template.n * idf) ** 2) OVER (PARTITION BY t)) AS weight
+    FROM template JOIN idf ON template.term = idf.term
 ), lines AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM files),
 units AS (
     SELECT doc_id, 0 AS unit, text AS part FROM files UNION ALL
@@ -124,8 +139,7 @@ units AS (
 ), tf AS (
     SELECT doc_id, unit, term, count(*) AS n FROM words GROUP BY ALL
 ), w AS (
-    SELECT doc_id, unit, tf.term, n * coalesce(idf, {largest!r}::DOUBLE) AS w
-    FROM tf LEFT JOIN idf ON tf.term = idf.term
+    SELECT doc_id, unit, tf.term, n * idf AS w FROM tf JOIN idf ON tf.term = idf.term
 ), lengths AS (
     SELECT doc_id, unit, sqrt(sum(w * w)) AS length FROM w GROUP BY ALL
 ), scores AS (
