@@ -237,9 +237,6 @@ def _own(texts, hold, templates, threshold, idf, vectors, rare):
         .withColumn("words", F.regexp_extract_all("text", F.lit("[a-z0-9]+"), 0)), "license-texts",
     )
     units = written(_units(base, hold, templates, vectors, threshold), "license-units")
-    tf = units.repartition("id", "unit").select(
-        "id", "unit", "size", F.explode("words").alias("term"),
-    ).groupBy("id", "unit", "size", "term").agg(F.count("*").alias("tf"))
     held = {}
     for t, vector in enumerate(vectors):
         for term, w in vector.items():
@@ -251,20 +248,31 @@ def _own(texts, hold, templates, threshold, idf, vectors, rare):
          for (term, size), found in sorted(held.items())])
     known = _small(spark, "term string, idf double",
                    [{"term": term, "idf": w} for term, w in sorted(idf.items())])
-    # Words of templates, the most frequent ones among them, need no shuffle by word.
-    others = tf.join(known, "term", "left_anti").join(rare, "term").select(
-        "id", "unit", F.lit(-1).alias("t"), F.pow(F.col("tf") * F.col("idf"), 2).alias("v"))
-    weighed = tf.join(known, "term").join(postings, ["term", "size"], "left").withColumn(
-        "w", F.col("tf") * F.col("idf"))
+
+    def frequent(units):
+        return units.repartition("id", "unit").select(
+            "id", "unit", "size", F.explode("words").alias("term"),
+        ).groupBy("id", "unit", "size", "term").agg(F.count("*").alias("tf"))
+
+    # First with words of templates alone: the cosine can only fall by the others.
+    weighed = frequent(units).join(known, "term").join(
+        postings, ["term", "size"], "left").withColumn("w", F.col("tf") * F.col("idf"))
     near = F.coalesce("held", _constant("array<struct<t int, w double>>", []))
     sums = weighed.select("id", "unit", F.inline(F.concat(
         F.array(F.struct(F.lit(-1).alias("t"), (F.col("w") * F.col("w")).alias("v"))),
         F.transform(near, lambda p: F.struct(p["t"].alias("t"), (F.col("w") * p["w"]).alias("v"))),
-    ))).unionAll(others).groupBy("id", "unit", "t").agg(F.sum("v").alias("v"))
-    scored = sums.groupBy("id", "unit").agg(
-        F.sqrt(F.max(F.when(F.col("t") < 0, F.col("v")))).alias("length"),
+    ))).groupBy("id", "unit", "t").agg(F.sum("v").alias("v"))
+    hopeful = written(sums.groupBy("id", "unit").agg(
+        F.max(F.when(F.col("t") < 0, F.col("v"))).alias("square"),
         F.collect_list(F.when(F.col("t") >= 0, F.struct("t", "v"))).alias("dots"),
-    )
+    ).withColumn("dots", F.filter(
+        "dots", lambda d: d["v"] >= F.sqrt("square") * (threshold - 1e-6),
+    )).filter(F.size("dots") > 0), "license-near")
+    rest = frequent(units.join(hopeful.select("id", "unit"), ["id", "unit"], "left_semi")).join(
+        known, "term", "left_anti").join(rare, "term").groupBy("id", "unit").agg(
+        F.sum(F.pow(F.col("tf") * F.col("idf"), 2)).alias("more"))
+    scored = hopeful.join(rest, ["id", "unit"], "left").withColumn(
+        "length", F.sqrt(F.col("square") + F.coalesce("more", F.lit(0.0))))
     full = [t for t, template in enumerate(templates) if template in FULL]
     best = F.array_max(F.filter(
         F.transform("dots", lambda d: F.struct(
