@@ -38,7 +38,11 @@ def removal(texts, window):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"batch_chars": 3000, "bucket_windows": 500}])
+@pytest.mark.parametrize("options", [
+    {}, {"batch_chars": 3000, "bucket_windows": 500},
+    {"batch_chars": 3000, "bucket_windows": 50, "most_bits": 1},
+    {"batch_chars": 3000, "bucket_windows": 500, "most_bits": 0},
+])
 def test_substrings_against_brute_force(spark, options):
     for df in (small(spark), sample(spark)):
         texts = [(r[0], r[1]) for r in take(df, "doc_id", "text").collect()]
@@ -131,6 +135,19 @@ def test_near_duplicates_against_brute_force(spark):
     assert deduplicated(empty(spark)).collect() == []
 
 
+def test_rows_of_one_id_that_differ(spark):
+    """The same one of them stays, whatever the order and partitions of the rows."""
+    rows = [(1, "one text of a few words", f"s{i}") for i in range(20)] + [(2, "another", "s")]
+    kept = {
+        tuple(sorted(map(tuple, deduplicated(
+            spark.createDataFrame(given, "doc_id long, text string, fp string").repartition(n),
+            carry=("fp",),
+        ).collect())))
+        for given, n in ((rows, 1), (rows[::-1], 3), (rows + rows, 5))
+    }
+    assert len(kept) == 1 and [r[0] for r in kept.pop()] == [1, 2]
+
+
 def test_links_in_dense_groups_and_small_shards(spark):
     """Fingerprints in chains and balls: whatever the shards, the classes are the same."""
     rng = np.random.default_rng(3)

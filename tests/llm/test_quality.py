@@ -3,7 +3,17 @@ import zlib
 import numpy as np
 from helpers import ROWS, SF_DIR, empty, sample, small
 
-from tidemark.llm.quality import Model, _dense, _unit, classify, features, fit, vote
+from tidemark.llm.quality import (
+    WIDTH,
+    Model,
+    _dense,
+    _unit,
+    classify,
+    document_counts,
+    features,
+    fit,
+    vote,
+)
 from tidemark.llm.queries import op10_quality
 
 SF2 = SF_DIR.replace("sf0.001", "sf0.01")
@@ -22,6 +32,14 @@ def test_held_out_accuracy(spark):
     assert len(held) > 50 and right >= 0.97 * len(held)
 
 
+def test_frequencies_cover_all_documents(spark):
+    for df in (small(spark), sample(spark), small(spark).repartition(7), empty(spark)):
+        found = [features(r["text"])[0] for r in df.collect()]
+        total, seen = document_counts(df)
+        plain = np.bincount(np.concatenate([np.empty(0, np.int64), *found]), minlength=WIDTH)
+        assert total == len(found) and (seen == plain).all()
+
+
 def test_votes_against_a_plain_search(spark):
     model = fit(sample(spark), sample(spark, "labels"))
     found = [features(r[0]) for r in sample(spark).select("text").limit(60).collect()]

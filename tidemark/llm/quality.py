@@ -95,6 +95,24 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.where(length > 0, length, 1)
 
 
+def document_counts(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """How many rows there are, and how many hold each feature. A task sends its sums once."""
+    def count(batches):
+        seen = np.zeros(WIDTH + 1, np.int64)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                seen[features(text)[0]] += 1
+            seen[WIDTH] += batch.num_rows
+        yield pa.record_batch({"i": pa.array(np.arange(WIDTH + 1)), "n": pa.array(seen)})
+
+    sums = texts(docs).select("text").mapInArrow(count, "i long, n long").groupBy("i").agg(
+        F.sum("n").alias("n")).collect()
+    seen = np.zeros(WIDTH + 1, np.int64)
+    for i, n in sums:
+        seen[i] = n
+    return int(seen[WIDTH]), seen[:WIDTH]
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, label: str = "quality",
     sample: int = SAMPLE, rank: int = RANK,
@@ -104,7 +122,8 @@ def fit(
     Learns from at most ``sample`` documents with a label of 0 or 1 whose crc32(doc_id as text)
     leaves no remainder of 1 by 3; the sample is the ids with the smallest hash. A doc_id with
     both labels counts as 0; one with several texts is learnt from one of them. Inverse document
-    frequencies and the axes (a truncated singular value decomposition) come from the sample.
+    frequencies are counted over all documents, with labels or without; the axes (a truncated
+    singular value decomposition) come from the sample.
     Without any labelled document, every score is 0.5.
     """
     chosen = (
@@ -138,8 +157,8 @@ def fit(
          np.frombuffer(r["row"]["v"], np.float32)) for r in rows
     ]
     y = np.array([r["row"]["y"] for r in rows], np.float32)
-    seen = np.bincount(np.concatenate([f[0] for f in found]), minlength=WIDTH)
-    idf = (np.log((1 + len(found)) / (1 + seen)) + 1).astype(np.float32)
+    total, seen = document_counts(docs)
+    idf = (np.log((1 + total) / (1 + seen)) + 1).astype(np.float32)
     x = _dense(found, idf)
     axes = _axes(x, min(rank, *x.shape))
     return Model(idf, axes, _unit(x @ axes), y, float(y.mean()))

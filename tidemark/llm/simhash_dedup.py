@@ -69,17 +69,26 @@ def hexed(name: str):
 def deduplicated(
     docs: DataFrame, width: int = 3, radius: int = 3, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """One row of each component: the one with the smallest doc_id (null last), then fingerprint."""
-    rows = fingerprints(docs, width, carry)
-    labelled = _labelled(written(rows.select("doc_id", "fp"), "simhash"), radius)
-    chosen = labelled.groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp")).alias("best")
-    ).select(F.col("best.doc_id").alias("chosen_id"), F.col("best.fp").alias("chosen_fp"))
+    """One row of each component: the one with the smallest doc_id (null last), then fingerprint.
+
+    Of rows with one doc_id and fingerprint that differ, the one with the smallest hash of all
+    columns (maps left out) stays.
+    """
+    rows = texts(docs, *carry)
+    hashed = [F.col(f.name) for f in rows.schema if "map<" not in f.dataType.simpleString()]
+    rows = rows.withColumn("row", F.xxhash64(*hashed))
+    keyed = written(
+        fingerprints(rows, width, ("row",)).select("doc_id", "row", "fp"), "simhash")
+    labelled = _labelled(keyed.select("doc_id", "fp"), radius).select("fp", "root").distinct()
+    chosen = keyed.join(labelled, "fp").groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "row",
+    )).alias("best")).select(
+        F.col("best.doc_id").alias("chosen_id"), F.col("best.row").alias("chosen_row"))
     kept = rows.join(
-        chosen, F.col("doc_id").eqNullSafe(F.col("chosen_id")) & (F.col("fp") == F.col("chosen_fp")),
+        chosen, F.col("doc_id").eqNullSafe(F.col("chosen_id")) & (F.col("row") == F.col("chosen_row")),
         "left_semi",
     )
-    return kept.dropDuplicates(["doc_id", "fp"]).drop("fp")
+    return restored(kept.dropDuplicates(["doc_id", "row"]).drop("row"), carry)
 
 
 def _labelled(fps: DataFrame, radius: int) -> DataFrame:

@@ -12,12 +12,13 @@ from tidemark.llm.common import NO_ID, binary, hashes, restored, rolling, split_
 BATCH_CHARS = 8 << 20
 BUCKET_WINDOWS = 1 << 21
 CHARS_PER_WORD = 6
-MOST_BITS = 18
+MOST_BITS = 20
 
 
 def substring_dedup(
     docs: DataFrame, window: int = 13, carry: tuple[str, ...] = (), rejoin: bool = True,
     batch_chars: int = BATCH_CHARS, bucket_windows: int = BUCKET_WINDOWS,
+    most_bits: int = MOST_BITS,
 ) -> DataFrame:
     """Per row: doc_id, carried columns, n_words, n_removed, removed and kept.
 
@@ -30,7 +31,9 @@ def substring_dedup(
     window's smallest doc_id is known at once, so a batch sends each window once, however many
     documents hold it: a passage in a third of all documents is a row per batch. Windows meet in
     buckets by the leading bits of their hash; a bucket answers a batch with the windows that a
-    smaller doc_id of another batch holds. Texts are shuffled once and hashes once.
+    smaller doc_id of another batch holds. Texts are shuffled once and hashes once. There are up to
+    2 ** ``most_bits`` buckets of about ``bucket_windows`` windows; beyond, a bucket holds more, and
+    is sorted in passes of about that many by the bits that follow.
 
     Hashes have 64 bits: of n windows, about n * n / 2**65 pairs are taken for equal wrongly.
     A null text has no words. A null doc_id counts as the largest. Rows that repeat a doc_id do
@@ -39,7 +42,7 @@ def substring_dedup(
     rows = texts(docs, *carry)
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     batches = max(1, -(-chars // batch_chars))
-    bits = min(MOST_BITS, max(0, (chars // CHARS_PER_WORD // bucket_windows).bit_length()))
+    bits = min(most_bits, max(0, (chars // CHARS_PER_WORD // bucket_windows).bit_length()))
     dealt = rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)))
 
     def scan(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -64,27 +67,23 @@ def substring_dedup(
         })
 
     def meet(table: pa.Table) -> pa.Table:
-        found = [np.frombuffer(b, np.uint64) for b in table.column("hashes").to_pylist()]
-        docs_of = [
-            np.repeat(np.frombuffer(i, np.int64), np.frombuffer(c, np.uint32))
-            for i, c in zip(table.column("ids").to_pylist(), table.column("counts").to_pylist())
-        ]
-        sizes = [len(f) for f in found]
-        h, doc = np.concatenate(found), np.concatenate(docs_of)
-        batch = np.repeat(np.asarray(table.column("batch"), np.int64), sizes)
-        del found, docs_of
-        order = np.lexsort((doc, h))
-        h, doc, batch = h[order], doc[order], batch[order]
-        first = np.r_[True, h[1:] != h[:-1]]
-        least = doc[np.flatnonzero(first)][np.cumsum(first) - 1]
-        late = doc > least
-        h, batch = h[late], batch[late]
-        by = np.argsort(batch, kind="stable")
-        h, batch = h[by], batch[by]
-        names, starts = np.unique(batch, return_index=True)
+        hashed, ids, counts = (
+            [np.frombuffer(b.as_buffer(), kind) for b in table.column(name)]
+            for name, kind in (("hashes", np.uint64), ("ids", np.int64), ("counts", np.uint32)))
+        names = table.column("batch").to_numpy()
+        more = max(0, -(-sum(map(len, hashed)) // (2 * bucket_windows)) - 1).bit_length()
+        batches, known = [], []
+        for turn in range(1 << more):
+            picks = [_turn(h, bits, more) == turn if more else slice(None) for h in hashed]
+            h = np.concatenate([h[p] for h, p in zip(hashed, picks)])
+            doc = np.concatenate([np.repeat(i, c)[p] for i, c, p in zip(ids, counts, picks)])
+            sizes = [len(h[p]) for h, p in zip(hashed, picks)]
+            batch, late = _later(h, doc, np.repeat(names, sizes))
+            found, starts = np.unique(batch, return_index=True)
+            batches.append(found)
+            known += np.split(late, starts[1:]) if len(found) else []
         return pa.table({
-            "batch": pa.array(names, pa.int64()),
-            "known": binary(np.split(h, starts[1:])) if len(names) else pa.array([], pa.binary()),
+            "batch": pa.array(np.concatenate(batches), pa.int64()), "known": binary(known),
         })
 
     def cut(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
@@ -141,6 +140,22 @@ def substring_dedup(
     return restored(result, carry)
 
 
+def _turn(h, bits: int, more: int):
+    """The ``more`` bits of the hashes after the leading ``bits``."""
+    return (h << np.uint64(bits)) >> np.uint64(64 - more)
+
+
+def _later(h, doc, batch):
+    """Batch and hash, by batch, of the windows that a smaller doc_id holds too."""
+    order = np.lexsort((doc, h))
+    h, doc, batch = h[order], doc[order], batch[order]
+    first = np.r_[True, h[1:] != h[:-1]][:len(h)]
+    late = doc > doc[np.flatnonzero(first)][np.cumsum(first) - 1]
+    h, batch = h[late], batch[late]
+    by = np.argsort(batch, kind="stable")
+    return batch[by], h[by]
+
+
 def _windows(table: pa.Table, width: int):
     """Rows in order of doc_id, each with its window hashes, and all doc_ids."""
     ids = table.column("doc_id").fill_null(NO_ID).to_numpy()
