@@ -79,10 +79,11 @@ def deduplicated(
     rows = rows.withColumn("row", F.xxhash64(*hashed))
     keyed = written(
         fingerprints(rows, width, ("row",)).select("doc_id", "row", "fp"), "simhash")
-    labelled = _labelled(keyed.select("doc_id", "fp"), radius).select("fp", "root").distinct()
-    chosen = keyed.join(labelled, "fp").groupBy("root").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "row",
-    )).alias("best")).select(
+    # One row per fingerprint before the join: copies of a document do not meet in one task.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "row"))
+    firsts = keyed.groupBy("fp").agg(first.alias("first"))
+    chosen = firsts.join(_rooted(keyed, radius), "fp").groupBy("root").agg(
+        F.min("first").alias("best")).select(
         F.col("best.doc_id").alias("chosen_id"), F.col("best.row").alias("chosen_row"))
     kept = rows.join(
         chosen, F.col("doc_id").eqNullSafe(F.col("chosen_id")) & (F.col("row") == F.col("chosen_row")),
@@ -92,15 +93,20 @@ def deduplicated(
 
 
 def _labelled(fps: DataFrame, radius: int) -> DataFrame:
-    """doc_id, fp, root (a fingerprint of the component) and component_id."""
+    """doc_id, fp and component_id."""
+    rooted = _rooted(fps, radius)
+    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = rooted.join(names, "root").select("fp", "component_id")
+    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def _rooted(fps: DataFrame, radius: int) -> DataFrame:
+    """Per fingerprint: fp, least (its smallest doc_id) and root (a fingerprint of the component)."""
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(written(links(nodes.select("fp"), radius), "links"))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(names, "root").select("fp", "root", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def links(nodes: DataFrame, radius: int = 3, shard: int = SHARD) -> DataFrame:
