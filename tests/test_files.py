@@ -219,6 +219,13 @@ def test_fan_out_and_file_size(spark, tmp_path):
     assert parts("sized") == 1
 
 
+def test_rows_dealt_out_already_are_written_where_they_are(spark, tmp_path):
+    rows = spark.range(0, 30, 1, 3)
+    write_processed(rows, str(tmp_path / "p"), spread=False)
+    assert len(list((tmp_path / "p").glob("*.csv.gz"))) == 3
+    assert read_processed(spark, str(tmp_path / "p"), rows.schema).count() == 30
+
+
 def test_projection_reaches_the_text_parser(spark, tmp_path):
     put(tmp_path, "author.csv", authors_csv("1,n,r,u,1.5,2,3,2020-07-01 00:00:00"))
     plan = read_raw(spark, str(tmp_path), AUTHORS).select(F.col("author_id"))

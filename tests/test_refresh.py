@@ -9,7 +9,8 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 import tidemark.streaming.landing as landing_module
-from tidemark.operators import EmptyTableError, in_open_window, key_metrics
+from tidemark import standins
+from tidemark.operators import EmptyTableError, in_open_window, key_metrics, upsert
 from tidemark.plans import (
     AUTHOR_LISTS,
     BOOK_LISTS,
@@ -23,6 +24,7 @@ from tidemark.plans import (
     process_raw,
     refresh,
     refresh_lists,
+    refresh_warehouse,
 )
 from tidemark.plans.incremental import refresh_new
 from tidemark.plans.totals import edges
@@ -36,8 +38,10 @@ from tidemark.schemas import (
     WAREHOUSE_TABLES,
 )
 from tidemark.sinks import Database
+from tidemark.sources import read_raw
 from tidemark.streaming import ingest, read_landing
 
+SF = "/root/testdata/sf0.001"
 LOW, HIGH = "2020-07-01 00:00:00.000000", "2020-08-01 00:00:00.000000"
 OLD, NEW = "2020-07-02 00:00:00", "2020-07-03 00:00:00"
 
@@ -193,6 +197,42 @@ def test_single_lists_equal_the_shared_pass(loaded):
     assert "ReusedExchange" in both._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_first_load_shuffles_rows_once(spark, database, tmp_path):
+    """Staging is read once and whole, so it has no layout; an empty target needs no join."""
+    standins.write_raw(spark, SF, str(tmp_path / "raw"))
+    process_raw(spark, str(tmp_path / "raw"), str(tmp_path / "processed"))
+    staging, warehouse = database(), database()
+    refresh_warehouse(spark, str(tmp_path / "processed"), staging, warehouse)
+    assert {staging.state(t.name).parts for t in WAREHOUSE_TABLES} == {0}
+    got, want = (d.read("reviews") for d in (warehouse, staging))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    empty = database().create(REVIEWS).read("reviews")
+    plan = upsert(empty, want, ["review_id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_raw_drops_are_gzipped_and_hold_both_dates(spark, tmp_path):
+    standins.write_raw(spark, SF, str(tmp_path))
+    parts = list(tmp_path.glob("reviews_*.csv/part-*"))
+    assert parts and all(p.name.endswith(".csv.gz") for p in parts)
+    rows = read_raw(spark, str(tmp_path), REVIEWS)
+    assert rows.count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert rows.where(
+        r"not review_added_date rlike '^[A-Z][a-z]{2} [A-Z][a-z]{2} [0-9]{2} 00:00:00 -0700 [0-9]{4}$'"
+    ).isEmpty()
+
+
+def test_date_texts_do_not_go_through_the_shuffle(spark):
+    """Only the texts that are no dates do; those of old versions are neither counted nor errors."""
+    rows = raw(spark, REVIEWS, review(1, 1, 1, 5.0), review(1, 1, 1, 1.0, OLD, "bad"))
+    seen = Observation("old")
+    cleaned = clean_reviews(rows, strict=True, invalid=seen)
+    plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftSemi") < plan.index("RLIKE")
+    assert [r.review_added_date for r in cleaned.collect()] == [datetime(2020, 7, 4, 10, 11, 12)]
+    assert seen.get["review_added_date"] == 0
+
+
 def test_rerun_replaces_or_appends(loaded):
     warehouse, analytics = loaded
     for _ in range(2):

@@ -16,16 +16,21 @@ def write_processed(
     *,
     files: int | None = None,
     rows_per_file: int = ROWS_PER_FILE,
+    spread: bool = True,
 ) -> None:
     """Replaces ``path`` by gzipped ``|``-separated files with a header.
 
     Timestamps are cut to milliseconds. Null is written as nothing and an empty string as
     ``""``; both are null when read back. ``files`` fixes the number of writing tasks; left
-    out, adaptive execution sizes the files.
+    out, adaptive execution sizes the files. Without ``spread`` the tasks that hold the rows write
+    them, for rows that a shuffle has dealt out already.
     """
-    spread = df.repartition(files) if files else df.hint("rebalance")
+    if files:
+        df = df.repartition(files)
+    elif spread:
+        df = df.hint("rebalance")
     (
-        spread.write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("header", True)
         .option("sep", PROCESSED_SEPARATOR)
         .option("quote", '"')
