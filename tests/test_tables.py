@@ -322,6 +322,19 @@ def test_the_newest_row_of_a_key_stays(spark, database):
         map(str, db.read("timed").collect()))
 
 
+def test_only_few_outdated_keys_are_broadcast(spark, database, monkeypatch):
+    db = database(3).create(TIMED)
+    rows = spark.range(3_000).selectExpr("id AS k", "timestamp_ntz '2020-01-02' AS t")
+    older = rows.withColumn("t", F.expr("timestamp_ntz '2020-01-01'"))
+    spec = db.spec("timed")
+    for most, join in ((2_999, "SortMergeJoin"), (3_000, "BroadcastHashJoin")):
+        monkeypatch.setattr("tidemark.sinks.tables.BROADCAST_KEYS", most)
+        with db._merged(spec, rows, older, "t") as got:
+            assert len(got.collect()) == 3_000
+            ran = got._jdf.queryExecution().executedPlan().toString()
+            assert join in ran.partition("Initial Plan")[0]
+
+
 def test_rows_around_a_change(spark, database):
     db = database(4).create(PAIR)
     db.replace("pair", pairs(spark, *((k, "a") for k in range(20))), change="load")
